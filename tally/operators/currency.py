@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,7 @@ def rates_frame(
     """
     if not isinstance(manual, Mapping):
         manual = dict(parse_rate(text) for text in manual or ())
-    parts = [_literal_rates(spark, manual, 0)]
+    parts = [_literal_rates(spark, manual, 0)] if manual else []
     if isinstance(table, Mapping):
         parts.append(_literal_rates(spark, table, 1))
     elif table is not None:
@@ -59,7 +61,8 @@ def rates_frame(
                 F.upper("ccy").alias("ccy"), F.col("rate"), F.lit(1).alias("priority")
             )
         )
-    listed = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    parts = parts or [_literal_rates(spark, {}, 0)]
+    listed = reduce(DataFrame.unionByName, parts)
     listed = listed.filter(F.col("rate").isNotNull() & (F.col("rate") != 0))
     best = listed.groupBy("ccy").agg(
         F.min_by("rate", F.struct("priority", "rate")).alias("rate")
@@ -68,26 +71,29 @@ def rates_frame(
 
 
 def _literal_rates(spark: SparkSession, rates: Mapping[str, float], priority: int) -> DataFrame:
-    rows = [(code.upper(), float(rate), priority) for code, rate in rates.items()]
-    return spark.createDataFrame(rows, "ccy string, rate double, priority int")
+    exact = bool(rates) and all(isinstance(r, Decimal) for r in rates.values())
+    kind = "decimal(18,10)" if exact else "double"
+    rows = [(code.upper(), rate if exact else float(rate), priority) for code, rate in rates.items()]
+    return spark.createDataFrame(rows, f"ccy string, rate {kind}, priority int")
 
 
 def _with_minor_units(best: DataFrame) -> DataFrame:
     """Expand every major-unit row into itself and its minor units; listed rates win."""
-    minors = F.lit(None).cast("array<struct<ccy:string,rate:double,derived:int>>")
+    kind = best.schema["rate"].dataType
+    row_type = f"array<struct<ccy:string,rate:{kind.simpleString()},derived:int>>"
+    minors = F.array().cast(row_type)
     for minor, (major, units) in MINOR_UNITS.items():
         made = F.array(
             F.struct(
                 F.lit(minor).alias("ccy"),
-                (F.col("rate") / F.lit(units)).alias("rate"),
+                (F.col("rate") / F.lit(units)).cast(kind).alias("rate"),
                 F.lit(1).alias("derived"),
             )
         )
         minors = F.when(F.col("ccy") == major, made).otherwise(minors)
     itself = F.array(F.struct("ccy", "rate", F.lit(0).alias("derived")))
-    every = F.concat(itself, F.coalesce(minors, F.array().cast("array<struct<ccy:string,rate:double,derived:int>>")))
     return (
-        best.select(F.inline(every))
+        best.select(F.inline(F.concat(itself, minors)))
         .groupBy("ccy")
         .agg(F.min_by("rate", "derived").alias("rate"))
     )
@@ -104,7 +110,7 @@ def convert(
     df: DataFrame, value: str, currency: str, rates: DataFrame, target: str = DEFAULT_TARGET,
     into: str = "converted",
 ) -> DataFrame:
-    """Add ``into``: ``value`` in the target currency.
+    """Add ``into``: ``value`` in the target currency, exact when value and rates are decimals.
 
     Empty or target currency leaves the value as it is. A currency without rate
     fails the job; :func:`unconvertible` finds such currencies beforehand.
@@ -114,9 +120,9 @@ def convert(
     missing = F.raise_error(F.concat(F.lit("no rate to " + target + " for "), source))
     amount = F.col(value)
     converted = (
-        F.when((source == "") | (source == target), amount.cast("double"))
-        .when(F.col("__rate").isNotNull(), (amount * F.col("__rate")).cast("double"))
-        .otherwise(missing.cast("double"))
+        F.when((source == "") | (source == target), amount)
+        .when(F.col("__rate").isNotNull(), amount * F.col("__rate"))
+        .otherwise(missing)
     )
     return with_rate(df, rates, currency).withColumn(into, converted).drop("__rate")
 
@@ -156,15 +162,15 @@ def normalize_currency(
         _check_convertible(events, rates, target)
     failed = F.raise_error(F.concat(F.lit("event cannot be converted to " + target + " from '"), source, F.lit("'")))
     rate = (
-        F.when(source == "", failed.cast("double"))
-        .when(source == target, F.lit(1.0))
-        .otherwise(F.coalesce(broker_rate.cast("double"), F.col("__rate").cast("double"), failed.cast("double")))
+        F.when(source == "", failed)
+        .when(source == target, F.lit(1))
+        .otherwise(F.coalesce(broker_rate, F.col("__rate"), failed))
     )
     amount = F.col("cash_amount")
     value = (
-        F.when(source == target, amount.cast("double"))
-        .when(broker_rate.isNotNull(), (amount * F.col("target_fx_rate")).cast("double"))
-        .otherwise((amount * F.col("__rate")).cast("double"))
+        F.when(source == target, amount)
+        .when(broker_rate.isNotNull(), amount * F.col("target_fx_rate"))
+        .otherwise(amount * F.col("__rate"))
     )
     looked_up = with_rate(events, rates, "security_ccy")
     return looked_up.withColumns(

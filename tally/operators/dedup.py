@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tally.operators.shaping import join_checked, same
+from tally.operators.shaping import join_checked, keys_of, match_keys
 
 RAW_KEY = ("broker", "source", "payload_hash")
 IBKR_EVENT_KEY = ("event_id",)
@@ -76,8 +76,7 @@ def drop_known(incoming: DataFrame, existing: DataFrame, keys: Sequence[str] = R
     map-side before the shuffle; copies inside the incoming batch all stay, and
     a hot key among them is split by the adaptive skew join.
     """
-    known = existing.select(*keys).distinct()
-    return incoming.join(known, same(incoming, known, keys), "left_anti")
+    return incoming.join(keys_of(existing, keys), match_keys(incoming, keys), "left_anti")
 
 
 def merge_newest(df: DataFrame, tiebreak: Sequence[Column] | None = None) -> DataFrame:
@@ -88,5 +87,4 @@ def merge_newest(df: DataFrame, tiebreak: Sequence[Column] | None = None) -> Dat
 def orphans(destination: DataFrame, merged: DataFrame, keys: Sequence[str] = RAW_KEY) -> DataFrame:
     """Destination keys that no merged row has."""
     held = destination.select(*keys).distinct()
-    kept = merged.select(*keys).distinct()
-    return held.join(kept, same(held, kept, keys), "left_anti")
+    return held.join(keys_of(merged, keys), match_keys(held, keys), "left_anti")

@@ -43,7 +43,7 @@ def consolidate_holdings(
         (F.current_timestamp() if fetched_at is None else fetched_at).alias("fetched_at"),
         "broker",
         "ticker",
-        F.col("security_value").cast("double").alias("security_value"),
+        "security_value",
         _dash("security_ccy").alias("security_ccy"),
         "target_value",
         F.lit(target.upper()).alias("target_ccy"),
@@ -85,11 +85,11 @@ def aggregate_percentages(
         F.sum("converted").alias("value"),
         *[F.min(F.nullif(F.col(c), F.lit(""))).alias(c) for c in ("identifier", "security_ccy", "description")],
     )
-    worth = total(converted, F.sum("converted"))
-    checked = F.when(worth == 0, F.raise_error(F.lit("net worth is zero")).cast("double")).otherwise(worth)
+    worth = total(converted, F.sum("converted").cast("double"))
+    checked = F.when(worth == 0, F.raise_error(F.lit("net worth is zero"))).otherwise(worth)
     shares = grouped.filter(F.col("value") != 0).select(
         "ticker",
-        (F.col("value") / checked * F.lit(100.0)).alias("percentage"),
+        (F.col("value").cast("double") / checked * F.lit(100.0)).alias("percentage"),
         "broker",
         *[F.coalesce(F.col(c), F.lit("-")).alias(c) for c in ("identifier", "security_ccy", "description")],
     )

@@ -59,9 +59,14 @@ def join_checked(
     return big.join(F.broadcast(small) if is_short(small, rows) else small, on, how)
 
 
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all ``keys``."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys under names of their own, ready for :func:`match_keys`."""
+    return df.select([F.col(k).alias(f"__other_{k}") for k in keys]).distinct()
+
+
+def match_keys(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Null-safe equality of ``df`` with a :func:`keys_of` table."""
+    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(f"__other_{k}")) for k in keys])
 
 
 def total(df: DataFrame, value: Column) -> Column:
