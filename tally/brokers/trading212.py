@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tally.brokers.base import Broker
 from tally.functions.fernet import Key
 from tally.functions.values import lookup, safe_float, text_or_empty
 from tally.operators.dedup import TRADING212_EVENT_KEY, dedup_newest, latest_per_source
-from tally.operators.shaping import conform
+from tally.operators.shaping import conform, row_struct
 from tally.schemas import BROKER_NAMES, EVENTS, SNAPSHOT, plain
 from tally.sources.json_payloads import decode_rows, explode_events, unwrap
 from tally.sources.landing import (
@@ -137,8 +140,8 @@ def tax_sum(taxes: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(summed, F.lit(0.0))
 
 
-def order_fields() -> dict[str, Column]:
-    order, fill = F.col("item.order"), F.col("item.fill")
+def order_fields(item: Column) -> dict[str, Column]:
+    order, fill = item["order"], item["fill"]
     instrument, wallet = order["instrument"], fill["walletImpact"]
     rate = F.coalesce(wallet["fxRate"], F.lit(1.0))
     net = F.coalesce(wallet["netValue"], order["filledValue"])
@@ -162,8 +165,7 @@ def order_fields() -> dict[str, Column]:
     }
 
 
-def dividend_fields() -> dict[str, Column]:
-    d = F.col("item")
+def dividend_fields(d: Column) -> dict[str, Column]:
     return {
         "event_id": d["reference"],
         "event_type": F.lit("DIVIDEND"),
@@ -184,8 +186,7 @@ def dividend_fields() -> dict[str, Column]:
     }
 
 
-def transaction_fields() -> dict[str, Column]:
-    t = F.col("item")
+def transaction_fields(t: Column) -> dict[str, Column]:
     blank = {n: F.lit("") for n in ("settle_date", "ticker", "isin", "description", "side")}
     zero = {n: F.lit(0.0) for n in ("quantity", "price", "fee_amount", "tax_amount")}
     return {
@@ -207,13 +208,28 @@ _ENDPOINTS = {
 }
 
 
-def endpoint_events(rows: DataFrame, path: str) -> DataFrame:
-    """Events of one endpoint's decoded rows."""
-    element, fields = _ENDPOINTS[path]
-    exploded = explode_events(rows.filter(is_endpoint(path)), element)
-    fixed = {"broker": F.lit(_NAME), "account_id": F.lit("")}
-    mapped = [c.alias(n) for n, c in {**fixed, **fields()}.items()]
-    return conform(exploded.select("fetched_at", "source", *mapped), plain(EVENTS))
+# what the payload says about an event; the rest comes from its raw row
+_FROM_PAYLOAD = T.StructType(
+    [f for f in plain(EVENTS).fields if f.name not in ("fetched_at", "broker", "account_id", "source")]
+)
+
+
+def _mapped(elements: Column, fields: Callable[[Column], dict[str, Column]]) -> Column:
+    return F.transform(elements, lambda item: row_struct(fields(item), _FROM_PAYLOAD))
+
+
+def page_events(rows: DataFrame) -> DataFrame:
+    """Events of decoded pages of all endpoints, in one pass over the rows.
+
+    Each page is parsed with its endpoint's element type only.
+    """
+    found = F.lit(None)
+    for path, (element, fields) in _ENDPOINTS.items():
+        found = F.when(is_endpoint(path), _mapped(unwrap("text", element), fields)).otherwise(found)
+    exploded = rows.select("fetched_at", "source", F.inline(found))
+    return conform(
+        exploded.withColumns({"broker": F.lit(_NAME), "account_id": F.lit("")}), plain(EVENTS)
+    )
 
 
 def currency_mismatches(rows: DataFrame) -> DataFrame:
@@ -232,9 +248,7 @@ def events(raw: DataFrame, key: Key | None = None, observation: Observation | No
     """Events of all history pages, newest version per (event type, event id)."""
     wanted = raw.filter(is_endpoint(ORDERS_PATH) | is_endpoint(DIVIDENDS_PATH) | is_endpoint(TRANSACTIONS_PATH))
     rows = decode_rows(wanted, key, observation=observation)
-    parts = [endpoint_events(rows, path) for path in _ENDPOINTS]
-    mapped = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return dedup_newest(mapped, TRADING212_EVENT_KEY)
+    return dedup_newest(page_events(rows), TRADING212_EVENT_KEY)
 
 
 BROKER = Broker("trading212", snapshot, events, uses_current_batch=True)

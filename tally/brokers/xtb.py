@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tally.brokers.base import Broker
 from tally.functions.fernet import Key
-from tally.functions.values import account_from_file_name, iso_offset_text, lookup, round_exact, trade_comment
+from tally.functions.values import account_from_file_name, excel_timestamp, iso_offset_text, lookup, trade_comment
 from tally.operators.dedup import XTB_EVENT_KEY, dedup_newest, keep_first
 from tally.operators.shaping import conform
 from tally.schemas import BROKER_NAMES, EVENTS, SNAPSHOT, plain
 from tally.sources.json_payloads import decode_rows
 from tally.sources.landing import XTB_REPORT
-from tally.sources.workbook import parse_reports, read_workbooks
+from tally.sources.workbook import parse_reports, read_workbooks, with_amounts
 
 # --- fixed values: operation types ---
 OPERATION_TYPES = {
@@ -71,12 +71,12 @@ def report_notes(reports: DataFrame) -> DataFrame:
 
 
 def report_holdings(reports: DataFrame) -> DataFrame:
-    """One row per open position, and the free cash of reports that state it (0 included)."""
+    """One row per open position worth something, and the free cash of reports that state it (0 included)."""
     positions = F.transform(
         "positions",
         lambda p: F.struct(
             F.lit("EQUITY").alias("position_type"), p["ticker"].alias("label"), p["category"].alias("asset_class"),
-            p["value"].alias("security_value"), p["instrument"].alias("description"),
+            F.coalesce(p["value"], F.lit("0")).alias("value_text"), p["instrument"].alias("description"),
         ),
     )
     cash = F.array(
@@ -84,7 +84,7 @@ def report_holdings(reports: DataFrame) -> DataFrame:
             F.lit("CASH").alias("position_type"),
             F.concat(F.lit("CASH "), "account_ccy").alias("label"),
             F.lit("CASH").alias("asset_class"),
-            round_exact("free_cash", 2).alias("security_value"),
+            F.col("free_cash").alias("value_text"),
             F.concat(F.lit("Cash "), "account_ccy").alias("description"),
         )
     )
@@ -93,7 +93,9 @@ def report_holdings(reports: DataFrame) -> DataFrame:
     rows = reports.select(
         "fetched_at", "account_id", F.col("account_ccy").alias("security_ccy"), F.lit("").alias("isin"), F.inline(every)
     )
-    return conform(rows, plain(SNAPSHOT))
+    valued = with_amounts(rows, security_value="value_text")
+    kept = (F.col("position_type") == "CASH") | (F.col("security_value") != 0)
+    return conform(valued.filter(kept), plain(SNAPSHOT))
 
 
 def snapshot(raw: DataFrame, key: Key | None = None) -> DataFrame:
@@ -101,22 +103,21 @@ def snapshot(raw: DataFrame, key: Key | None = None) -> DataFrame:
 
 
 def closing_lookup(closed: Column) -> Column:
-    """Position id to commission and close time within a report; the last row of an id wins."""
-    rows = F.coalesce(closed, F.array().cast("array<struct<at:int,position:string,close_time:timestamp,commission:double>>"))
+    """Position id to its last closed row, within one report."""
+    rows = F.coalesce(closed, F.array().cast("array<struct<at:int,position:string,close_time:string,commission:string>>"))
     ordered = F.array_sort(
-        F.transform(rows, lambda r: F.struct(r["position"], r["at"], r["commission"], r["close_time"]))
-    )
-    following = F.transform(ordered, lambda r, i: F.struct(r.alias("r"), F.get(ordered, i + 1)["position"].alias("next")))
-    winners = F.filter(following, lambda p: ~p["next"].eqNullSafe(p["r"]["position"]))
-    return F.map_from_entries(
         F.transform(
-            winners,
-            lambda p: F.struct(
-                p["r"]["position"],
-                F.struct(p["r"]["commission"].alias("commission"), p["r"]["close_time"].alias("close_time")),
+            rows,
+            lambda r: F.named_struct(
+                F.lit("position"), r["position"], F.lit("at"), r["at"],
+                F.lit("commission"), r["commission"], F.lit("close_time"), r["close_time"],
             ),
         )
     )
+    last_of_id = F.filter(
+        ordered, lambda r, i: ~F.get(F.transform(ordered, lambda o: o["position"]), i + 1).eqNullSafe(r["position"])
+    )
+    return F.map_from_entries(F.transform(last_of_id, lambda r: F.struct(r["position"], r)))
 
 
 def enrich_closings(operations: DataFrame, closed: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -130,22 +131,22 @@ def enrich_closings(operations: DataFrame, closed: DataFrame, keys: list[str], o
 
 
 def operation_fields() -> dict[str, Column]:
+    """Columns over ``op``, ``amount``, ``fee`` and ``closed_at``."""
     op = F.col("op")
     is_trade = op["type"].isin(*TRADE_TYPES)
     parsed = {n: F.when(is_trade, c) for n, c in trade_comment(op["comment"]).items()}
-    closing = F.when(op["type"].isin(*CLOSING_TYPES), F.try_element_at("closings", op["position"]))
     return {
         "event_id": op["id"],
         "event_type": classify_operation(op["type"]),
         "raw_event_type": op["type"],
-        "event_datetime": iso_offset_text(op["time"]),
-        "cash_amount": op["amount"],
-        "settle_date": iso_offset_text(closing["close_time"]),
+        "event_datetime": iso_offset_text("at"),
+        "cash_amount": F.col("amount"),
+        "settle_date": iso_offset_text("closed_at"),
         "ticker": F.when(is_trade, op["ticker"]).otherwise(F.lit("")),
         "isin": F.lit(""),
         "description": op["comment"],
         **parsed,
-        "fee_amount": closing["commission"],
+        "fee_amount": F.col("fee"),
     }
 
 
@@ -155,9 +156,22 @@ def report_events(reports: DataFrame) -> DataFrame:
         "fetched_at", "source", "account_id", "account_ccy", closing_lookup(F.col("closed")).alias("closings"),
         F.explode("operations").alias("op"),
     )
+    closing = F.when(
+        F.col("op.type").isin(*CLOSING_TYPES), F.try_element_at("closings", F.col("op.position"))
+    )
+    matched = rows.withColumn("closing", closing).drop("closings")
+    texts = matched.withColumns(
+        {
+            "amount_text": F.coalesce("op.amount", F.lit("0")),
+            "fee_text": F.when(F.col("closing").isNotNull(), F.coalesce("closing.commission", F.lit("0"))),
+            "at": excel_timestamp("op.time"),
+            "closed_at": excel_timestamp("closing.close_time"),
+        }
+    )
+    valued = with_amounts(texts, amount="amount_text", fee="fee_text")
     fixed = {"broker": F.lit(_NAME), "security_ccy": F.col("account_ccy")}
     mapped = [c.alias(n) for n, c in {**fixed, **operation_fields()}.items()]
-    return conform(rows.select("fetched_at", "source", "account_id", *mapped), plain(EVENTS))
+    return conform(valued.select("fetched_at", "source", "account_id", *mapped), plain(EVENTS))
 
 
 def unread_comments(events: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ def european_float(value: ColumnLike, default: float = 0.0) -> Column:
 def round_half_even(value: ColumnLike, digits: int) -> Column:
     """Scale, round ties to even, scale back."""
     scale = float(10**digits)
-    return F.rint(as_col(value) * F.lit(scale)) / F.lit(scale)
+    # adding zero turns a rounded negative zero into zero
+    return F.rint(as_col(value) * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
 
 
 def round_exact(value: ColumnLike, digits: int) -> Column:

@@ -5,12 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.operators.shaping import join_checked
 from tally.schemas import DEFAULT_TARGET
 
 # --- fixed values: minor currency units, (major currency, units per major) ---
@@ -48,40 +46,47 @@ def rates_frame(
     """``(ccy, rate)``, one row per currency: table rates, manual ones in their place, minor units derived.
 
     A manual rate for a minor unit beats the derived one; null and zero table
-    rates count as absent.
+    rates count as absent. Rates given as mappings become a literal relation,
+    whose size the planner knows exactly.
     """
     if not isinstance(manual, Mapping):
         manual = dict(parse_rate(text) for text in manual or ())
-    parts = [_literal_rates(spark, manual, 0)] if manual else []
-    if isinstance(table, Mapping):
-        parts.append(_literal_rates(spark, table, 1))
-    elif table is not None:
-        parts.append(
-            table.select(
-                F.upper("ccy").alias("ccy"), F.col("rate"), F.lit(1).alias("priority")
-            )
-        )
-    parts = parts or [_literal_rates(spark, {}, 0)]
-    listed = reduce(DataFrame.unionByName, parts)
+    if table is None or isinstance(table, Mapping):
+        known = _usable(table or {}) | _usable(manual)
+        return _literal_rates(spark, _derived(known) | known)
+    listed = table.select(F.upper("ccy").alias("ccy"), "rate", F.lit(1).alias("priority"))
+    if manual:
+        own = _literal_rates(spark, _usable(manual)).withColumn("priority", F.lit(0))
+        listed = listed.unionByName(own)
     listed = listed.filter(F.col("rate").isNotNull() & (F.col("rate") != 0))
-    best = listed.groupBy("ccy").agg(
-        F.min_by("rate", F.struct("priority", "rate")).alias("rate")
-    )
+    best = listed.groupBy("ccy").agg(F.min_by("rate", F.struct("priority", "rate")).alias("rate"))
     return _with_minor_units(best)
 
 
-def _literal_rates(spark: SparkSession, rates: Mapping[str, float], priority: int) -> DataFrame:
+def _usable(rates: Mapping[str, float]) -> dict[str, float | Decimal]:
+    return {code.upper(): rate for code, rate in rates.items() if rate}
+
+
+def _derived(known: Mapping[str, float | Decimal]) -> dict[str, float | Decimal]:
+    return {minor: known[major] / units for minor, (major, units) in MINOR_UNITS.items() if major in known}
+
+
+def _literal_rates(spark: SparkSession, rates: Mapping[str, float | Decimal]) -> DataFrame:
     exact = bool(rates) and all(isinstance(r, Decimal) for r in rates.values())
-    kind = "decimal(18,10)" if exact else "double"
-    rows = [(code.upper(), rate if exact else float(rate), priority) for code, rate in rates.items()]
-    return spark.createDataFrame(rows, f"ccy string, rate {kind}, priority int")
+    kind = "DECIMAL(18,10)" if exact else "DOUBLE"
+    if not rates:
+        return spark.createDataFrame([], "ccy string, rate double")
+    rows, args = [], {}
+    for at, (code, rate) in enumerate(sorted(rates.items())):
+        rows.append(f"(:code{at}, CAST(:rate{at} AS {kind}))")
+        args |= {f"code{at}": code, f"rate{at}": rate if exact else float(rate)}
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS rates(ccy, rate)", args=args)
 
 
 def _with_minor_units(best: DataFrame) -> DataFrame:
     """Expand every major-unit row into itself and its minor units; listed rates win."""
     kind = best.schema["rate"].dataType
-    row_type = f"array<struct<ccy:string,rate:{kind.simpleString()},derived:int>>"
-    minors = F.array().cast(row_type)
+    minors = F.array().cast(f"array<struct<ccy:string,rate:{kind.simpleString()},derived:int>>")
     for minor, (major, units) in MINOR_UNITS.items():
         made = F.array(
             F.struct(
@@ -100,10 +105,13 @@ def _with_minor_units(best: DataFrame) -> DataFrame:
 
 
 def with_rate(df: DataFrame, rates: DataFrame, currency: str, alias: str = "__rate") -> DataFrame:
-    """Left lookup of the rate of ``currency`` (compared in upper case)."""
+    """Left lookup of the rate of ``currency`` (compared in upper case).
+
+    No broadcast hint: the planner broadcasts the rates when their known size
+    is below its threshold and shuffles otherwise.
+    """
     table = rates.select(F.col("ccy").alias("__ccy"), F.col("rate").alias(alias))
-    joined = join_checked(df, table, F.upper(df[currency]) == table["__ccy"], "left")
-    return joined.drop("__ccy")
+    return df.join(table, F.upper(df[currency]) == table["__ccy"], "left").drop("__ccy")
 
 
 def convert(
@@ -151,7 +159,7 @@ def normalize_currency(
     """Fill ``target_fx_rate``, ``target_value`` and ``target_ccy`` of every event.
 
     Rate: 1 for the target currency itself, else the broker's own non-zero rate,
-    else the table. With ``check``, two narrow aggregates run first and raise
+    else the table. With ``check``, one narrow pass runs first and raises
     :class:`ConversionError` naming every currency that cannot be converted, so
     nothing is written on failure; without it the job itself fails on such a row.
     """
@@ -179,11 +187,12 @@ def normalize_currency(
 
 
 def _check_convertible(events: DataFrame, rates: DataFrame, target: str) -> None:
-    blank = F.coalesce(F.col("security_ccy"), F.lit("")) == ""
-    if not events.filter(blank).isEmpty():
+    code = F.upper(F.coalesce(F.col("security_ccy"), F.lit("")))
+    own_rate = F.coalesce(F.col("target_fx_rate"), F.lit(0)) != 0
+    stuck = (code == "") | ((code != target) & ~own_rate & F.col("__rate").isNull())
+    narrow = with_rate(events.select("security_ccy", "target_fx_rate"), rates, "security_ccy")
+    named = _names(narrow.filter(stuck).select(code.alias("ccy")), "ccy")
+    if "" in named:
         raise ConversionError("an event has no security_ccy; its amount cannot be converted")
-    needs_table = F.coalesce(F.col("target_fx_rate"), F.lit(0)) == 0
-    failing = unconvertible(events, "security_ccy", rates, target, needs_table)
-    named = _names(failing, "ccy")
     if named:
         raise ConversionError(f"no rate to {target} for {named}; pass CURRENCY=RATE overrides")

@@ -69,6 +69,22 @@ def match_keys(df: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(f"__other_{k}")) for k in keys])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Ahead of heavy row-wise work: use all cores when the scan has fewer splits than that.
+
+    A large table has more splits than cores and is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def row_struct(fields: dict[str, Column], schema: T.StructType) -> Column:
+    """A struct of the schema's columns; those without a field are null."""
+    return F.struct(
+        *[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 def total(df: DataFrame, value: Column) -> Column:
     """A whole-table aggregate as a scalar subquery: one value, no join, no window."""
     return df.agg(value.alias("total")).scalar()

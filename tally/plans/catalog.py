@@ -604,18 +604,18 @@ def _(spark, d):
 
 @register(
     "cash_flow_outliers",
-    _FLOWS_SQL.replace("CAST(sum(target_value) AS DOUBLE) AS value",
-                       "CAST(sum(CASE WHEN event_type = 'FEE' THEN target_value / 1000 ELSE target_value END) AS DOUBLE) AS value")
-    + """, p AS (SELECT event_type, max(abs(value)) AS peak FROM flows GROUP BY event_type),
+    _FLOWS_SQL + """, scaled AS (SELECT event_type, CASE WHEN event_type = 'FEE' THEN value / 1000.0 ELSE value END AS value FROM flows),
+    p AS (SELECT event_type, max(abs(value)) AS peak FROM scaled GROUP BY event_type),
     b AS (SELECT a.event_type, a.peak, (SELECT max(peak) FROM p) / 100.0 AS floor,
       (SELECT min(o.peak) FROM p o WHERE o.event_type <> a.event_type AND o.peak > 0) AS other FROM p a)
     SELECT event_type, peak, coalesce(peak > 10.0 * greatest(other, floor), false) AS is_outlier FROM b""",
 )
 def _(spark, d):
-    flows = _daily_flows(spark, d).withColumn(
-        "target_value", F.expr("CASE WHEN event_type = 'FEE' THEN target_value / 1000 ELSE target_value END")
+    daily = _daily_flows(spark, d).groupBy("event_type", "period_month").agg(
+        F.sum("target_value").cast("double").alias("target_value")
     )
-    return R.cash_flow_outliers(R.cash_flow_peaks(flows))
+    small = F.when(F.col("event_type") == "FEE", F.col("target_value") / F.lit(1000.0)).otherwise(F.col("target_value"))
+    return R.cash_flow_outliers(R.cash_flow_peaks(daily.withColumn("target_value", small)))
 
 
 # ================================================================ quality
@@ -1080,34 +1080,39 @@ def _(spark, d):
     )
 
 
+def _two_uploads(spark, d) -> DataFrame:
+    """A second upload per account, unreadable for every third of them."""
+    first = L.customer_workbooks(spark, d).withColumn("fetched_at", F.lit("2024-01-01").cast("timestamp"))
+    broken = F.col("payload_hash").cast("bigint") % 3 == 0
+    second = first.withColumns(
+        {
+            "fetched_at": F.lit("2024-01-02").cast("timestamp"),
+            "payload": F.when(broken, F.lit(b"not a workbook")).otherwise(F.col("payload")),
+        }
+    )
+    return xtb.parsed_reports(first.unionByName(second))
+
+
 @register(
     "xtb_report_notes",
-    "SELECT CAST(0 AS BIGINT) AS unusable_reports, CAST(0 AS BIGINT) AS dropped_cash_rows, CAST(0 AS BIGINT) AS account_mismatches",
+    """SELECT count(*) FILTER (WHERE c_custkey % 3 = 0) AS unusable_reports, CAST(0 AS BIGINT) AS dropped_cash_rows,
+      CAST(0 AS BIGINT) AS account_mismatches FROM customer""",
 )
 def _(spark, d):
-    return xtb.report_notes(xtb.parsed_reports(L.customer_workbooks(spark, d)))
+    return xtb.report_notes(_two_uploads(spark, d))
 
 
 @register(
     "xtb_latest_report_fallback",
-    """SELECT CAST(10000000 + c_custkey AS VARCHAR) AS account_id, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS upload FROM customer""",
+    "SELECT CAST(10000000 + c_custkey AS VARCHAR) AS account_id, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS upload FROM customer",
 )
 def _(spark, d):
-    # a second upload per account, unreadable for every third of them
-    first = L.customer_workbooks(spark, d).withColumn("fetched_at", F.lit("2024-01-01").cast("timestamp"))
-    second = first.withColumns(
-        {
-            "fetched_at": F.lit("2024-01-02").cast("timestamp"),
-            "payload": F.when(F.col("payload_hash").cast("bigint") % 3 == 0, F.lit(b"not a workbook")).otherwise(F.col("payload")),
-        }
-    )
-    latest = xtb.latest_reports(xtb.parsed_reports(first.unionByName(second)))
-    return latest.select("account_id", F.dayofmonth("fetched_at").alias("upload"))
+    return xtb.latest_reports(_two_uploads(spark, d)).select("account_id", F.dayofmonth("fetched_at").alias("upload"))
 
 
 @register(
     "workbook_cells",
-    """SELECT 'cash operation' AS sheet, CAST(6 AS BIGINT) AS first_cells, count(*) AS reports FROM customer
+    """SELECT 'cash operation' AS sheet, CAST(7 AS BIGINT) AS first_cells, count(*) AS reports FROM customer
     UNION ALL SELECT 'closed position', 4, count(*) FROM customer UNION ALL SELECT 'open position', 8, count(*) FROM customer""",
 )
 def _(spark, d):

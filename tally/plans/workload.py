@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from tally.operators.currency import normalize_currency, rates_frame
 from tally.operators.holdings import consolidate_holdings, portfolio_holdings
 from tally.operators.income import with_periods
-from tally.operators.shaping import conform
-from tally.schemas import EVENTS, plain
+from tally.operators.shaping import spread
 
 TARGET = "EUR"
 DEMO_KEY = "cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4="
@@ -185,8 +184,8 @@ HOLDINGS_SQL = f"""{RATES_SQL}, held AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ), consolidated AS (
   SELECT h.broker, h.ticker, h.security_value, h.security_ccy,
-    CASE WHEN h.security_ccy = 'EUR' THEN h.security_value * CAST(1 AS DECIMAL(18,10))
-      ELSE h.security_value * r.rate END AS target_value,
+    CAST(h.security_value AS DECIMAL(20,4))
+      * CASE WHEN h.security_ccy = 'EUR' THEN CAST(1 AS DECIMAL(18,10)) ELSE r.rate END AS target_value,
     'EUR' AS target_ccy, coalesce(nullif(h.identifier, ''), '-') AS identifier, h.description, h.position_type
   FROM held h LEFT JOIN rates r ON h.security_ccy = r.ccy
 ), whole AS (SELECT CAST(sum(target_value) AS DOUBLE) AS t FROM consolidated
@@ -211,7 +210,7 @@ def gold_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_from(rows: DataFrame, broker: str, source: str, text: str, fetched: str = "TIMESTAMP'2024-01-01 00:00:00'") -> DataFrame:
     """Plain (not encrypted) raw rows whose payload is the expression ``text``."""
-    made = rows.selectExpr(
+    made = spread(rows).selectExpr(
         f"{fetched} AS fetched_at", f"'{broker}' AS broker", f"{source} AS source", f"CAST({text} AS BINARY) AS payload"
     )
     return made.withColumns({"payload_hash": F.sha2("payload", 256), "source_file": F.lit("")})
@@ -490,13 +489,9 @@ def customer_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pd.DataFrame({"c_custkey": b.c_custkey, "payload": books})
 
     columns = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    made = columns.mapInPandas(build, "c_custkey bigint, payload binary")
+    made = spread(columns).mapInPandas(build, "c_custkey bigint, payload binary")
     return made.selectExpr(
         "TIMESTAMP'2024-01-01 00:00:00' AS fetched_at", "'XTB' AS broker", "'XTB_REPORT' AS source", "payload",
         "CAST(c_custkey AS STRING) AS payload_hash",
         "concat('PLN_', 10000000 + c_custkey, '_2006-01-01_2026-08-03.xlsx') AS source_file",
     )
-
-
-def as_events(rows: DataFrame) -> DataFrame:
-    return conform(rows, plain(EVENTS))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.functions.values import european_float, excel_timestamp, header_text, round_exact
+from tally.functions.values import european_float, header_text, round_exact
 from tally.operators.shaping import join_checked
 
 # --- fixed values: sheets by name fragment, header signatures, cell positions ---
@@ -94,15 +94,23 @@ def workbook_sheets(data: bytes) -> dict[str, list[list[str | None]] | None]:
         return found
 
 
+# Parsed reports are handed on after this many payload bytes.
+_FLUSH_BYTES = 4 << 20
+
+
 def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for at in range(len(batch)):
-            row = batch.iloc[[at]].drop(columns="body")
+        start, size, parsed = 0, 0, []
+        for at, body in enumerate(batch["body"], 1):
             try:
-                sheets, readable = workbook_sheets(batch["body"].iat[at]), True
+                parsed.append({"readable": True, **workbook_sheets(body)})
             except Exception:  # whatever is wrong with the bytes, the report is just unreadable
-                sheets, readable = dict.fromkeys(SHEETS), False
-            yield row.assign(readable=readable, **{k: [v] for k, v in sheets.items()})
+                parsed.append({"readable": False, **dict.fromkeys(SHEETS)})
+            size += len(body)
+            if size >= _FLUSH_BYTES or at == len(batch):
+                rows = batch.iloc[start:at].drop(columns="body")
+                yield rows.assign(**{k: [p[k] for p in parsed] for k in ("readable", *SHEETS)})
+                start, size, parsed = at, 0, []
 
 
 def read_workbooks(rows: DataFrame) -> DataFrame:
@@ -137,8 +145,14 @@ def cell_text(row: Column, index: int) -> Column:
     return F.regexp_replace(text, r"^(\d+)\.0+$", "$1")
 
 
-def cell_amount(row: Column, index: int) -> Column:
-    return round_exact(european_float(cell(row, index)), 2)
+def with_amounts(df: DataFrame, **texts: str) -> DataFrame:
+    """Add amounts with two digits read from cell texts; a null text stays null.
+
+    The number is parsed in a projection of its own, as rounding uses it often.
+    """
+    parsed = {f"__{n}": F.when(F.col(t).isNotNull(), european_float(t)) for n, t in texts.items()}
+    rounded = {n: round_exact(f"__{n}", 2) for n in texts}
+    return df.withColumns(parsed).withColumns(rounded).drop(*parsed)
 
 
 def header_is(row: Column, *names: str | tuple[str, ...]) -> Column:
@@ -187,69 +201,58 @@ def summary_currency(rows: Column) -> Column:
     return F.coalesce(F.when(at > 0, F.get(codes, F.lit(0))), F.lit(""))
 
 
-def open_positions(rows: Column) -> Column:
-    """Aggregate rows (no type) with a ticker and a value that is not zero."""
+def open_positions(body: Column) -> Column:
+    """Aggregate rows (no type) with a ticker; the value stays text."""
     c = OPEN_CELLS
-    kept = F.filter(
-        body_after(rows, header_position(rows, *OPEN_HEADER)),
-        lambda r: (cell_text(r, c["type"]) == "")
-        & (cell_text(r, c["ticker"]) != "")
-        & (cell_amount(r, c["value"]) != 0),
-    )
+    kept = F.filter(body, lambda r: (cell_text(r, c["type"]) == "") & (cell_text(r, c["ticker"]) != ""))
     return F.transform(
         kept,
         lambda r: F.struct(
             *[cell_text(r, c[n]).alias(n) for n in ("product", "instrument", "ticker", "category")],
-            cell_amount(r, c["value"]).alias("value"),
+            cell(r, c["value"]).alias("value"),
         ),
     )
 
 
-def _cash_body(rows: Column) -> Column:
-    return F.filter(
-        body_after(rows, header_position(rows, *CASH_HEADER)), lambda r: cell_text(r, CASH_CELLS["type"]) != ""
-    )
+def free_cash(body: Column) -> Column:
+    """Amount text of the last total row (empty cell: ``0``); null when there is none."""
+    totals = F.filter(body, lambda r: (header_text(cell(r, 0)) == "total") & (F.size(r) > 5))
+    amounts = F.transform(totals, lambda r: F.coalesce(cell(r, CASH_CELLS["amount"]), F.lit("0")))
+    return F.try_element_at(amounts, F.lit(-1))
 
 
-def free_cash(rows: Column) -> Column:
-    """Amount of the last total row; null when there is none."""
-    totals = F.filter(_cash_body(rows), lambda r: (header_text(cell(r, 0)) == "total") & (F.size(r) > 5))
-    amounts = F.transform(totals, lambda r: cell_amount(r, CASH_CELLS["amount"]))
-    return F.get(amounts, F.size(totals) - 1)
+def _blank(row: Column, index: int) -> Column:
+    return F.coalesce(cell(row, index), F.lit("")) == ""
 
 
-def _operation_rows(rows: Column) -> Column:
+def operation_rows(body: Column) -> Column:
+    """Typed rows without totals and internal transfers."""
     return F.filter(
-        _cash_body(rows), lambda r: ~header_text(cell(r, 0)).isin("total", "subaccount transfer")
+        body,
+        lambda r: (cell_text(r, CASH_CELLS["type"]) != "")
+        & ~header_text(cell(r, 0)).isin("total", "subaccount transfer"),
     )
 
 
-def _blank(row: Column, index: int) -> Column:
-    return F.coalesce(cell(row, index), F.lit("")) == ""
-
-
-def cash_operations(rows: Column) -> Column:
-    """Operations with a time; totals and internal transfers are left out."""
+def cash_operations(operations: Column) -> Column:
+    """Operations with a time."""
     c = CASH_CELLS
-    timed = F.filter(_operation_rows(rows), lambda r: ~_blank(r, c["time"]))
+    timed = F.filter(operations, lambda r: ~_blank(r, c["time"]))
     return F.transform(
         timed,
         lambda r: F.struct(
             *[cell_text(r, c[n]).alias(n) for n in ("type", "ticker", "id", "comment", "position")],
-            excel_timestamp(cell(r, c["time"])).alias("time"),
-            cell_amount(r, c["amount"]).alias("amount"),
+            cell(r, c["time"]).alias("time"),
+            cell(r, c["amount"]).alias("amount"),
         ),
     )
 
 
-def dropped_cash_rows(rows: Column) -> Column:
-    return F.size(F.filter(_operation_rows(rows), lambda r: _blank(r, CASH_CELLS["time"])))
-
-
-def _closed_rows(rows: Column) -> Column:
+def closed_rows(body: Column) -> Column:
+    """Rows with a position id and a close time, without totals."""
     c = CLOSED_CELLS
     return F.filter(
-        body_after(rows, header_position(rows, *CLOSED_HEADER)),
+        body,
         lambda r: ~header_text(cell(r, 0)).isin("profit/loss", "total")
         & (cell_text(r, c["position"]) != "")
         & ~_blank(r, c["close_time"]),
@@ -259,51 +262,62 @@ def _closed_rows(rows: Column) -> Column:
 def closed_positions(rows: Column) -> Column:
     c = CLOSED_CELLS
     return F.transform(
-        _closed_rows(rows),
+        rows,
         lambda r, i: F.struct(
             i.alias("at"),
             cell_text(r, c["position"]).alias("position"),
-            excel_timestamp(cell(r, c["close_time"])).alias("close_time"),
-            cell_amount(r, c["commission"]).alias("commission"),
+            cell(r, c["close_time"]).alias("close_time"),
+            cell(r, c["commission"]).alias("commission"),
         ),
     )
 
 
-def has_bad_date(cash_rows: Column, closed_rows: Column) -> Column:
-    """A filled date cell that is no date makes the whole report unusable."""
-    cash = F.exists(
-        _operation_rows(cash_rows),
-        lambda r: ~_blank(r, CASH_CELLS["time"]) & excel_timestamp(cell(r, CASH_CELLS["time"])).isNull(),
-    )
-    closed = F.exists(
-        _closed_rows(closed_rows), lambda r: excel_timestamp(cell(r, CLOSED_CELLS["close_time"])).isNull()
-    )
-    return F.coalesce(cash, F.lit(False)) | F.coalesce(closed, F.lit(False))
+def _bad_date(rows: Column, index: int) -> Column:
+    """A filled date cell that is no date."""
+    bad = F.exists(rows, lambda r: ~_blank(r, index) & cell(r, index).try_cast("double").isNull())
+    return F.coalesce(bad, F.lit(False))
 
 
 def parse_reports(workbooks: DataFrame, account_override: str | None = None) -> DataFrame:
-    """Typed contents of every report, with ``ok`` telling whether it can be used.
+    """Contents of every report, with ``ok`` telling whether it can be used.
 
-    A report is usable when it is a workbook, its summary block names a currency
-    (if it has an open-positions sheet at all) and its dates are dates.
+    Numbers and dates are still cell texts; they are read after the rows are
+    exploded (:func:`with_amounts`, ``excel_timestamp``). A report is usable
+    when it is a workbook, its summary block names a currency (if it has an
+    open-positions sheet at all) and its dates are dates. Each step is a
+    projection of its own, so headers and bodies are found once.
     """
-    opened, cash, closed = F.col("open_rows"), F.col("cash_rows"), F.col("closed_rows")
+    opened, cash, closed = (F.col(c) for c in SHEETS)
     account = F.coalesce(sheet_account(opened), sheet_account(cash), sheet_account(closed), F.lit(""))
-    currency = F.when(opened.isNotNull(), summary_currency(opened)).otherwise(F.lit(""))
-    typed = workbooks.withColumns(
+    located = workbooks.withColumns(
         {
             "account_id": F.lit(account_override) if account_override else account,
-            "account_ccy": currency,
+            "account_ccy": F.when(opened.isNotNull(), summary_currency(opened)).otherwise(F.lit("")),
+            "no_summary": opened.isNotNull(),
+            "open_at": header_position(opened, *OPEN_HEADER),
+            "cash_at": header_position(cash, *CASH_HEADER),
+            "closed_at": header_position(closed, *CLOSED_HEADER),
+        }
+    )
+    bodies = located.withColumns(
+        {
+            "open_rows": body_after(opened, F.col("open_at")),
+            "cash_rows": body_after(cash, F.col("cash_at")),
+            "closed_rows": closed_rows(body_after(closed, F.col("closed_at"))),
+            "no_summary": F.col("no_summary") & (F.col("account_ccy") == ""),
+        }
+    )
+    typed = bodies.withColumns({"free_cash": free_cash(cash), "cash_rows": operation_rows(cash)})
+    bad_date = _bad_date(cash, CASH_CELLS["time"]) | _bad_date(closed, CLOSED_CELLS["close_time"])
+    return typed.withColumns(
+        {
             "positions": open_positions(opened),
             "operations": cash_operations(cash),
             "closed": closed_positions(closed),
-            "free_cash": free_cash(cash),
-            "dropped_rows": F.coalesce(dropped_cash_rows(cash), F.lit(0)),
-            "bad_date": has_bad_date(cash, closed),
+            "dropped_rows": F.coalesce(F.size(F.filter(cash, lambda r: _blank(r, CASH_CELLS["time"]))), F.lit(0)),
+            "ok": F.col("readable") & ~F.col("no_summary") & ~bad_date,
         }
-    )
-    ok = F.col("readable") & (opened.isNull() | (F.col("account_ccy") != "")) & ~F.col("bad_date")
-    return typed.withColumn("ok", ok).drop(*SHEETS, "bad_date")
+    ).drop(*SHEETS, "no_summary", "open_at", "cash_at", "closed_at")
 
 
 # ---------------------------------------------------------------- long form
