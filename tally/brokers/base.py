@@ -18,12 +18,15 @@ class Broker:
 
     ``uses_current_batch`` brokers return their whole history with every fetch,
     so their transforms read the fresh batch instead of the accumulated table.
+    ``needs_target`` brokers state rates to their base currency, which count
+    only when that is the ledger's target.
     """
 
     name: str
     snapshot: Callable[..., DataFrame]
     events: Callable[..., DataFrame]
     uses_current_batch: bool = False
+    needs_target: bool = False
 
     @property
     def display_name(self) -> str:

@@ -343,4 +343,4 @@ def events(
     return dedup_newest(mapped, IBKR_EVENT_KEY)
 
 
-BROKER = Broker("ibkr", snapshot, events)
+BROKER = Broker("ibkr", snapshot, events, needs_target=True)

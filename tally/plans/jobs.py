@@ -107,8 +107,11 @@ def transform_broker(
         if raw is None or raw.isEmpty():
             log.warning("%s %s: no input, table left as it is", broker.display_name, layer)
             continue
-        build: Callable[..., DataFrame] = broker.snapshot if layer == "snapshot" else broker.events
-        rows = build(raw, ledger.key, **(events_options if layer == "events" else {}))
+        if layer == "snapshot":
+            rows = broker.snapshot(raw, ledger.key)
+        else:
+            target = {"target": ledger.target} if broker.needs_target else {}
+            rows = broker.events(raw, ledger.key, **{**target, **events_options})
         sealed = conform(encrypt_columns(rows, money, ledger.key), schema)
         ledger.lake.overwrite(sealed, "normalized", f"{broker.name}_{layer}")
         written.append(layer)

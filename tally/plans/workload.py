@@ -438,13 +438,17 @@ def workbook_bytes(sheets: dict[str, list[list[object]]]) -> bytes:
     )
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as book:
-        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>{listed}</sheets></workbook>')
-        book.writestr(
+
+        def put(name: str, text: str) -> None:
+            book.writestr(zipfile.ZipInfo(name), text)  # a fixed date: equal contents are equal bytes
+
+        put("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>{listed}</sheets></workbook>')
+        put(
             "xl/_rels/workbook.xml.rels",
             f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>',
         )
         for i, rows in enumerate(sheets.values(), 1):
-            book.writestr(f"xl/worksheets/sheet{i}.xml", _sheet(rows))
+            put(f"xl/worksheets/sheet{i}.xml", _sheet(rows))
     return buffer.getvalue()
 
 
