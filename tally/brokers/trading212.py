@@ -108,13 +108,13 @@ def snapshot(raw: DataFrame, key: Key | None = None) -> DataFrame:
     rows = decode_rows(latest_per_source(wanted), key)
 
     def newest(path: str) -> Column:
-        age = F.when(is_endpoint(path), F.struct("fetched_at", "source", "payload_hash"))
+        age = F.when(is_endpoint(path) & F.col("text").isNotNull(), F.struct("fetched_at", "source", "payload_hash"))
         return F.max_by("text", age)
 
     pair = rows.agg(
         newest(SUMMARY_PATH).alias("summary"),
         newest(POSITIONS_PATH).alias("positions"),
-        F.max("fetched_at").alias("fetched_at"),
+        F.max(F.when(F.col("text").isNotNull(), F.col("fetched_at"))).alias("fetched_at"),
     ).filter(F.col("summary").isNotNull() & F.col("positions").isNotNull())
     is_list = F.ltrim("positions").startswith("[")
     listed = F.when(is_list, unwrap("positions", POSITION_JSON))

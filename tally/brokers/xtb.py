@@ -42,7 +42,7 @@ def classify_operation(kind: Column) -> Column:
 
 
 def parsed_reports(raw: DataFrame, key: Key | None = None) -> DataFrame:
-    """All reports, parsed; undecryptable rows are dropped."""
+    """All reports, parsed; one that cannot be decrypted or read is not ``ok``."""
     rows = raw.filter(F.col("source") == XTB_REPORT).withColumn("source_file", F.coalesce("source_file", F.lit("")))
     return parse_reports(read_workbooks(decode_rows(rows, key, require_json=False).drop("text")))
 

@@ -88,9 +88,15 @@ def seal(df: DataFrame, columns: Iterable[str], key: Key, seconds: int | None =
 
 
 def _encode(key: FernetKey, box: Column) -> Column:
-    text = F.base64(F.concat(box, _hmac(key, box)))
     # base64() breaks lines every 76 characters; drop the breaks.
-    return F.translate(text, "+/\r\n", "-_").cast("binary")
+    return _swap(F.base64(F.concat(box, _hmac(key, box))), ("\r\n", ""), ("+", "-"), ("/", "_")).cast("binary")
+
+
+def _swap(text: Column, *pairs: tuple[str, str]) -> Column:
+    """Plain replacements; on long text far cheaper than a character map."""
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def _open_expr(key: FernetKey, raw: Column) -> tuple[Column, Column]:
@@ -121,7 +127,7 @@ def unseal(df: DataFrame, columns: Iterable[str], key: Key, strict: bool = True)
         return df
     decoded = {
         _scratch(df, "raw", c): F.try_to_binary(
-            F.translate(F.col(c).cast("string"), "-_", "+/"), F.lit("base64")
+            _swap(F.col(c).cast("string"), ("-", "+"), ("_", "/")), F.lit("base64")
         )
         for c in columns
     }

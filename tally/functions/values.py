@@ -137,9 +137,9 @@ def iso_datetime(value: ColumnLike) -> Column:
     return F.regexp_replace(with_time, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3T00:00:00Z")
 
 
+# What a rewritten event time must look like to count.
 _EVENT_TIME_SHAPE = (
-    r"^(?:\d{8}(?: \d{6})?"
-    r"|\d{4}-\d{2}-\d{2}(?: \d{2}:\d{2}:\d{2}|T\d{2}:\d{2}:\d{2}(?:\.\d+)?[+-]\d{2}:?\d{2})?)$"
+    r"^\d{4}-\d{2}-\d{2}(?: \d{2}:\d{2}:\d{2}|T\d{2}:\d{2}:\d{2}(?:\.\d+)?[+-]\d{2}:\d{2})?$"
 )
 
 
@@ -148,25 +148,14 @@ def event_time(value: ColumnLike) -> Column:
 
     Accepted: compact datetime, compact date, ``Y-m-d H:M:S``, ISO with an
     offset (or ``Z``) and plain date. An ISO time without offset is not accepted.
-    The shape is checked once and the text rewritten so a single cast parses it.
+    Each step uses the one before it once, so the input is never evaluated twice.
     """
     text = F.regexp_replace(as_col(value), r"(?s)^([^Z]*)Z", "$1+00:00")
     text = F.regexp_replace(text, r"(?s)^([^;]*);", "$1 ")
-
-    def cut(start: int, length: int) -> Column:
-        return F.substring(text, start, length)
-
-    day = F.concat_ws("-", cut(1, 4), cut(5, 2), cut(7, 2))
-    clock = F.concat_ws(":", cut(10, 2), cut(12, 2), cut(14, 2))
-    readable = (
-        F.when(F.length(text) == 8, day)
-        .when(F.length(text) == 15, F.concat_ws(" ", day, clock))
-        .otherwise(F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2"))
-    )
-    plain_day = F.when(F.length(text) == 10, text)
-    return F.when(
-        text.rlike(_EVENT_TIME_SHAPE), F.coalesce(plain_day, readable).try_cast("timestamp")
-    )
+    text = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2}) (\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6")
+    text = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    text = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.regexp_extract(text, _EVENT_TIME_SHAPE, 0).try_cast("timestamp")
 
 
 def period_month(moment: ColumnLike) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.values import event_time, period_month, period_quarter
@@ -43,23 +43,30 @@ def unreadable_times(events: DataFrame) -> DataFrame:
     return events.agg(F.count_if(event_time("event_datetime").isNull()).alias("unreadable"))
 
 
-def _sums() -> list[Column]:
-    return [
+def _rollup(events: DataFrame, keys: Sequence[str], labels: Sequence[str] = ("target_ccy",)) -> DataFrame:
+    """Sums and event count per ``keys``, with the smallest non-null value of each label.
+
+    The labels (one currency per group, as a rule) are keys of a first, hash
+    aggregated level, because a minimum over text would force a sort of every
+    event; the second level runs over the few groups that leaves.
+    """
+    fine = events.groupBy(*keys, *labels).agg(
+        F.sum("cash_amount").alias("cash_amount"),
+        F.sum("target_value").alias("target_value"),
+        F.count("event_id").alias("event_count"),
+    )
+    return fine.groupBy(*keys).agg(
         F.coalesce(F.sum("cash_amount").cast("double"), F.lit(0.0)).alias("cash_amount"),
         F.sum("target_value").cast("double").alias("target_value"),
-        F.min("target_ccy").alias("target_ccy"),
-        F.count("event_id").alias("event_count"),
-    ]
-
-
-def _rollup(events: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
-    return events.groupBy(*keys).agg(*_sums(), *more)
+        F.sum("event_count").alias("event_count"),
+        *[F.min(label).alias(label) for label in labels],
+    )
 
 
 def dividend_income(periodic: DataFrame) -> DataFrame:
     """DIVIDEND events per month, broker, security and currency."""
     rows = periodic.filter(F.col("event_type") == "DIVIDEND")
-    return _rollup(rows, DIVIDEND_KEYS, F.min("instrument_ccy").alias("instrument_ccy"))
+    return _rollup(rows, DIVIDEND_KEYS, ("target_ccy", "instrument_ccy"))
 
 
 def interest_income(periodic: DataFrame) -> DataFrame:

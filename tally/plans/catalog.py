@@ -768,11 +768,11 @@ def _(spark, d):
         entry(F.when(F.col("event_id") % 2 == 0, fee).otherwise(other)),
         entry(F.when(F.col("event_id") % 3 == 0, F.lit("FRENCH_TRANSACTION_TAX")).otherwise(other)),
     )
-    page = F.to_json(taxes)
-    parsed = F.from_json(page, trading212.TAXES_JSON)
-    return L.table(spark, d, "events").select(
-        "event_id", trading212.tax_sum(parsed, trading212.FEE_NAMES).alias("fee"),
-        trading212.tax_sum(parsed, trading212.TAX_NAMES).alias("tax"),
+    pages = L.spread(L.table(spark, d, "events")).select("event_id", F.to_json(taxes).alias("page"))
+    parsed = pages.select("event_id", F.from_json("page", trading212.TAXES_JSON).alias("taxes"))
+    return parsed.select(
+        "event_id", trading212.tax_sum(F.col("taxes"), trading212.FEE_NAMES).alias("fee"),
+        trading212.tax_sum(F.col("taxes"), trading212.TAX_NAMES).alias("tax"),
     )
 
 

@@ -22,6 +22,9 @@ def build_session(app: str = "tally", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.redaction.string.regex": REDACT_PATTERN,
+        # call-site capture for every column expression is slow and not needed here
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.sql.dataFrameQueryContext.enabled": "false",
     }
     settings.update(conf)
     for key, value in settings.items():

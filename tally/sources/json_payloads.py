@@ -31,7 +31,11 @@ def element_count(text: ColumnLike) -> Column:
 def decode_rows(
     raw: DataFrame, key: Key | None, *, require_json: bool = True, observation: Observation | None = None
 ) -> DataFrame:
-    """Raw rows with ``body`` (plain bytes) and ``text``; unreadable rows are dropped.
+    """Raw rows with ``body`` (plain bytes) and ``text``; both are null where the row is unreadable.
+
+    ``text`` is also null when JSON is required and the payload is not JSON.
+    Unreadable rows drop out where their elements are exploded. They are not
+    filtered here: a filter would move below the decryption and repeat it.
 
     With an ``observation`` the run reports ``rows``, ``decode_failures``,
     ``parse_failures`` and ``empty_payloads``. ``key=None`` takes payloads as plain.
@@ -40,18 +44,19 @@ def decode_rows(
     if key is not None:
         plain = decrypt_payload(plain, key, "body")
     rows = plain.drop("payload").withColumn("text", F.col("body").cast("string"))
-    decoded = F.col("body").isNotNull()
-    parsed = F.coalesce(is_json("text"), F.lit(False)) if require_json else F.lit(True)
+    if require_json:
+        rows = rows.withColumn("text", F.when(is_json("text"), F.col("text")))
     if observation is not None:
+        decoded, parsed = F.col("body").isNotNull(), F.col("text").isNotNull()
         counted = [
             F.count(F.lit(1)).alias("rows"),
             F.count_if(~decoded).alias("decode_failures"),
             F.count_if(decoded & ~parsed).alias("parse_failures"),
         ]
         if require_json:
-            counted.append(F.count_if(decoded & parsed & (element_count("text") == 0)).alias("empty_payloads"))
+            counted.append(F.count_if(parsed & (element_count("text") == 0)).alias("empty_payloads"))
         rows = rows.observe(observation, *counted)
-    return rows.filter(decoded & parsed)
+    return rows
 
 
 def explode_events(rows: DataFrame, element_ddl: str, alias: str = "item") -> DataFrame:

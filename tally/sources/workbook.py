@@ -15,7 +15,7 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,21 +96,35 @@ def workbook_sheets(data: bytes) -> dict[str, list[list[str | None]] | None]:
 
 # Parsed reports are handed on after this many payload bytes.
 _FLUSH_BYTES = 4 << 20
+_GRID = pa.list_(pa.list_(pa.string()))
 
 
-def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parsed(bodies: list[bytes | None]) -> list[pa.Array]:
+    """Arrow columns ``readable`` and the three sheets."""
+    readable, sheets = [], {name: [] for name in SHEETS}
+    for body in bodies:
+        try:
+            found = workbook_sheets(body)
+        except Exception:  # whatever is wrong with the bytes, the report is just unreadable
+            found = None
+        readable.append(found is not None)
+        for name, column in sheets.items():
+            column.append(found[name] if found else None)
+    return [pa.array(readable, pa.bool_()), *[pa.array(c, _GRID) for c in sheets.values()]]
+
+
+def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        start, size, parsed = 0, 0, []
-        for at, body in enumerate(batch["body"], 1):
-            try:
-                parsed.append({"readable": True, **workbook_sheets(body)})
-            except Exception:  # whatever is wrong with the bytes, the report is just unreadable
-                parsed.append({"readable": False, **dict.fromkeys(SHEETS)})
-            size += len(body)
-            if size >= _FLUSH_BYTES or at == len(batch):
-                rows = batch.iloc[start:at].drop(columns="body")
-                yield rows.assign(**{k: [p[k] for p in parsed] for k in ("readable", *SHEETS)})
-                start, size, parsed = at, 0, []
+        body = batch.column("body")
+        kept = batch.drop_columns(["body"])
+        start, size = 0, 0
+        for at in range(len(batch)):
+            size += len(body[at].as_buffer() or b"") if body[at].is_valid else 0
+            if size >= _FLUSH_BYTES or at + 1 == len(batch):
+                columns = kept.slice(start, at + 1 - start).columns
+                parsed = _parsed(body.slice(start, at + 1 - start).to_pylist())
+                yield pa.RecordBatch.from_arrays([*columns, *parsed], [*kept.schema.names, "readable", *SHEETS])
+                start, size = at + 1, 0
 
 
 def read_workbooks(rows: DataFrame) -> DataFrame:
@@ -120,7 +134,7 @@ def read_workbooks(rows: DataFrame) -> DataFrame:
     schema = T.StructType(
         [*kept, T.StructField("readable", T.BooleanType()), *[T.StructField(c, grid) for c in SHEETS]]
     )
-    return rows.mapInPandas(_read_batches, schema)
+    return rows.mapInArrow(_read_batches, schema)
 
 
 def cells(reports: DataFrame, keys: list[str]) -> DataFrame:
