@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import io
 import posixpath
-import re
 import zipfile
 from collections.abc import Iterator
+from functools import lru_cache
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -33,9 +33,10 @@ _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
-def _column_index(reference: str) -> int:
+@lru_cache(maxsize=4096)
+def _column_index(letters: str) -> int:
     index = 0
-    for letter in re.match(r"[A-Z]*", reference).group():
+    for letter in letters:
         index = index * 26 + ord(letter) - 64
     return index - 1
 
@@ -69,7 +70,8 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> list[lis
             rows.append([])
         cells = rows[number - 1]
         for cell in row.iter(f"{_MAIN}c"):
-            at = _column_index(cell.get("r", "")) if cell.get("r") else len(cells)
+            reference = cell.get("r")
+            at = _column_index(reference.rstrip("0123456789")) if reference else len(cells)
             cells.extend([None] * (at + 1 - len(cells)))
             cells[at] = _cell_text(cell, shared)
     return rows
