@@ -293,7 +293,7 @@ def opening_deposits(events: DataFrame, account_rows: DataFrame, target: str = D
         F.lit(datetime(2020, 1, 1)).cast("timestamp"),
     )
     first_fetch = events.agg(F.min("fetched_at")).scalar()
-    deposits = account_rows.select(
+    deposits = account_rows.withColumn("day", earliest).select(
         F.coalesce(first_fetch, "fetched_at").alias("fetched_at"),
         F.lit(_NAME).alias("broker"),
         "account_id",
@@ -301,10 +301,10 @@ def opening_deposits(events: DataFrame, account_rows: DataFrame, target: str = D
         F.lit("CashTransaction").alias("source"),
         F.lit("DEPOSIT").alias("event_type"),
         F.lit(DEPOSITS_WITHDRAWALS).alias("raw_event_type"),
-        F.date_format(earliest, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("event_datetime"),
+        F.date_format("day", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("event_datetime"),
         F.col("base_ccy").alias("security_ccy"),
         F.lit(PAPER_DEPOSIT).alias("cash_amount"),
-        F.date_format(earliest, "yyyy-MM-dd").alias("settle_date"),
+        F.date_format("day", "yyyy-MM-dd").alias("settle_date"),
         F.lit("").alias("ticker"),
         F.lit("").alias("isin"),
         F.lit("Initial paper account deposit").alias("description"),

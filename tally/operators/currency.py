@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterable, Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tally.schemas import DEFAULT_TARGET
@@ -154,7 +154,8 @@ def unconvertible(
 
 
 def normalize_currency(
-    events: DataFrame, rates: DataFrame, target: str = DEFAULT_TARGET, *, check: bool = True
+    events: DataFrame, rates: DataFrame, target: str = DEFAULT_TARGET, *, check: bool = True,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Fill ``target_fx_rate``, ``target_value`` and ``target_ccy`` of every event.
 
@@ -162,13 +163,17 @@ def normalize_currency(
     else the table. With ``check``, one narrow pass runs first and raises
     :class:`ConversionError` naming every currency that cannot be converted, so
     nothing is written on failure; without it the job itself fails on such a row.
+    With an ``observation`` there is no extra pass: such rows get no rate and
+    the run counts them as ``stuck``, for the caller to act on before it
+    publishes the result.
     """
     target = target.upper()
     source = F.upper(F.coalesce(F.col("security_ccy"), F.lit("")))
     broker_rate = F.nullif(F.col("target_fx_rate"), F.lit(0))
-    if check:
-        _check_convertible(events, rates, target)
-    failed = F.raise_error(F.concat(F.lit("event cannot be converted to " + target + " from '"), source, F.lit("'")))
+    if check and observation is None:
+        require_convertible(events, rates, target)
+    message = F.concat(F.lit(f"event cannot be converted to {target} from '"), source, F.lit("'"))
+    failed = F.lit(None) if observation is not None else F.raise_error(message)
     rate = (
         F.when(source == "", failed)
         .when(source == target, F.lit(1))
@@ -181,17 +186,25 @@ def normalize_currency(
         .otherwise(amount * F.col("__rate"))
     )
     looked_up = with_rate(events, rates, "security_ccy")
+    if observation is not None:
+        looked_up = looked_up.observe(observation, F.count_if(_stuck(target)).alias("stuck"))
     return looked_up.withColumns(
         {"target_fx_rate": rate, "target_value": value, "target_ccy": F.lit(target)}
     ).drop("__rate")
 
 
-def _check_convertible(events: DataFrame, rates: DataFrame, target: str) -> None:
+def _stuck(target: str) -> Column:
+    """No rate applies (over rows that have been looked up)."""
     code = F.upper(F.coalesce(F.col("security_ccy"), F.lit("")))
     own_rate = F.coalesce(F.col("target_fx_rate"), F.lit(0)) != 0
-    stuck = (code == "") | ((code != target) & ~own_rate & F.col("__rate").isNull())
+    return (code == "") | ((code != target) & ~own_rate & F.col("__rate").isNull())
+
+
+def require_convertible(events: DataFrame, rates: DataFrame, target: str) -> None:
+    """Raise :class:`ConversionError` naming the currencies that cannot be converted."""
     narrow = with_rate(events.select("security_ccy", "target_fx_rate"), rates, "security_ccy")
-    named = _names(narrow.filter(stuck).select(code.alias("ccy")), "ccy")
+    code = F.upper(F.coalesce(F.col("security_ccy"), F.lit("")))
+    named = _names(narrow.filter(_stuck(target.upper())).select(code.alias("ccy")), "ccy")
     if "" in named:
         raise ConversionError("an event has no security_ccy; its amount cannot be converted")
     if named:

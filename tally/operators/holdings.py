@@ -54,9 +54,12 @@ def consolidate_holdings(
 
 
 def percentage_of(value: Column, whole: Column) -> Column:
-    """Share of ``whole`` in percent, four digits; a zero (or absent) whole gives 0."""
+    """Share of ``whole`` in percent, four digits; a zero whole gives 0.
+
+    ``whole`` appears once, so that a scalar subquery is planned once.
+    """
     share = round_half_even(F.try_divide(value.cast("double"), whole.cast("double")) * F.lit(100.0), 4)
-    return F.when(F.coalesce(whole, F.lit(0)) == 0, F.lit(0.0)).otherwise(share)
+    return F.when(value.isNotNull(), F.coalesce(share, F.lit(0.0)))
 
 
 def portfolio_holdings(consolidated: DataFrame) -> DataFrame:
@@ -86,10 +89,10 @@ def aggregate_percentages(
         *[F.min(F.nullif(F.col(c), F.lit(""))).alias(c) for c in ("identifier", "security_ccy", "description")],
     )
     worth = total(converted, F.sum("converted").cast("double"))
-    checked = F.when(worth == 0, F.raise_error(F.lit("net worth is zero"))).otherwise(worth)
+    share = F.coalesce(F.try_divide(F.col("value").cast("double"), worth), F.raise_error(F.lit("net worth is zero")))
     shares = grouped.filter(F.col("value") != 0).select(
         "ticker",
-        (F.col("value").cast("double") / checked * F.lit(100.0)).alias("percentage"),
+        (share * F.lit(100.0)).alias("percentage"),
         "broker",
         *[F.coalesce(F.col(c), F.lit("-")).alias(c) for c in ("identifier", "security_ccy", "description")],
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.values import event_time, period_month, period_quarter
@@ -20,10 +20,17 @@ class MissingTargetError(ValueError):
     """Events that were not converted to the target currency."""
 
 
-def require_target(events: DataFrame) -> DataFrame:
-    """Raise when any event of any type lacks its target value or currency."""
-    missing = events.filter(F.col("target_value").isNull() | F.col("target_ccy").isNull())
-    rows = missing.count()
+def lacks_target() -> Column:
+    return F.col("target_value").isNull() | F.col("target_ccy").isNull()
+
+
+def require_target(events: DataFrame, rows: int | None = None) -> DataFrame:
+    """Raise when any event of any type lacks its target value or currency.
+
+    ``rows`` is the number of such events where it is known already.
+    """
+    missing = events.filter(lacks_target())
+    rows = missing.count() if rows is None else rows
     if rows:
         named = [c for c in _names(missing, "security_ccy") if c is not None]
         raise MissingTargetError(f"{rows} event(s) without target value or currency (security_ccy: {named})")
@@ -43,18 +50,22 @@ def unreadable_times(events: DataFrame) -> DataFrame:
     return events.agg(F.count_if(event_time("event_datetime").isNull()).alias("unreadable"))
 
 
-def _rollup(events: DataFrame, keys: Sequence[str], labels: Sequence[str] = ("target_ccy",)) -> DataFrame:
-    """Sums and event count per ``keys``, with the smallest non-null value of each label.
+_LABELS = ("target_ccy",)
+_DIVIDEND_LABELS = ("target_ccy", "instrument_ccy")
+_DIVIDEND_ONLY = ("ticker", "isin", "description", "instrument_ccy")
 
-    The labels (one currency per group, as a rule) are keys of a first, hash
-    aggregated level, because a minimum over text would force a sort of every
-    event; the second level runs over the few groups that leaves.
-    """
-    fine = events.groupBy(*keys, *labels).agg(
+
+def _fine(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """First level: hash aggregated, as every text column is a key."""
+    return events.groupBy(*keys).agg(
         F.sum("cash_amount").alias("cash_amount"),
         F.sum("target_value").alias("target_value"),
         F.count("event_id").alias("event_count"),
     )
+
+
+def _coarse(fine: DataFrame, keys: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """Second level over few rows: sums per ``keys``, the smallest non-null value of each label."""
     return fine.groupBy(*keys).agg(
         F.coalesce(F.sum("cash_amount").cast("double"), F.lit(0.0)).alias("cash_amount"),
         F.sum("target_value").cast("double").alias("target_value"),
@@ -63,15 +74,31 @@ def _rollup(events: DataFrame, keys: Sequence[str], labels: Sequence[str] = ("ta
     )
 
 
+def _rollup(events: DataFrame, keys: Sequence[str], labels: Sequence[str] = _LABELS) -> DataFrame:
+    """Sums and event count per ``keys`` and a value per label, in two levels.
+
+    The labels (one currency per group, as a rule) are keys of the first level,
+    because a minimum over text would force a sort of every event.
+    """
+    return _coarse(_fine(events, [*keys, *labels]), keys, labels)
+
+
+def _dividends(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("event_type") == "DIVIDEND")
+
+
+def _interest(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("event_type") == "INTEREST")
+
+
 def dividend_income(periodic: DataFrame) -> DataFrame:
     """DIVIDEND events per month, broker, security and currency."""
-    rows = periodic.filter(F.col("event_type") == "DIVIDEND")
-    return _rollup(rows, DIVIDEND_KEYS, ("target_ccy", "instrument_ccy"))
+    return _rollup(_dividends(periodic), DIVIDEND_KEYS, _DIVIDEND_LABELS)
 
 
 def interest_income(periodic: DataFrame) -> DataFrame:
     """INTEREST events per month, broker and currency."""
-    return _rollup(periodic.filter(F.col("event_type") == "INTEREST"), INTEREST_KEYS)
+    return _rollup(_interest(periodic), INTEREST_KEYS)
 
 
 def cash_flow_summary(periodic: DataFrame) -> DataFrame:
@@ -79,6 +106,26 @@ def cash_flow_summary(periodic: DataFrame) -> DataFrame:
     return _rollup(periodic, CASH_FLOW_KEYS)
 
 
+def income_base(periodic: DataFrame) -> DataFrame:
+    """One aggregate of all events that each of the three tables follows from.
+
+    Security columns are kept for dividends only; elsewhere they are null, so
+    that they do not multiply the groups.
+    """
+    is_dividend = F.col("event_type") == "DIVIDEND"
+    slim = periodic.withColumns({c: F.when(is_dividend, F.col(c)) for c in _DIVIDEND_ONLY})
+    return _fine(slim, [*CASH_FLOW_KEYS, "target_ccy", *_DIVIDEND_ONLY])
+
+
+def income_tables(base: DataFrame) -> dict[str, DataFrame]:
+    """The three tables from :func:`income_base`."""
+    return {
+        "dividend_income": _coarse(_dividends(base), DIVIDEND_KEYS, _DIVIDEND_LABELS),
+        "interest_income": _coarse(_interest(base), INTEREST_KEYS, _LABELS),
+        "cash_flow_summary": _coarse(base, CASH_FLOW_KEYS, _LABELS),
+    }
+
+
 # display orders of the three tables
 SORT_DIVIDEND = ("period_month", "broker", "ticker")
 SORT_INTEREST = ("period_month", "broker", "security_ccy")

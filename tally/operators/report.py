@@ -101,7 +101,7 @@ def cash_flow_outliers(peaks: DataFrame, ratio: float = OUTLIER_RATIO) -> DataFr
 
     The baseline of a row is the smallest other non-zero peak, but at least
     ``max / ratio²``. The two smallest non-zero peaks are enough to know every
-    row's smallest other one.
+    row's smallest other one. There are as many peaks as event types, ten at most.
     """
     positive = F.when(F.col("peak") > 0, F.col("peak"))
     facts = peaks.agg(
@@ -111,11 +111,11 @@ def cash_flow_outliers(peaks: DataFrame, ratio: float = OUTLIER_RATIO) -> DataFr
             F.count(F.lit(1)).alias("types"),
         ).alias("facts")
     ).scalar()
-    first, second = F.get(facts["lowest"], F.lit(0)), F.get(facts["lowest"], F.lit(1))
+    first, second = F.get("facts.lowest", F.lit(0)), F.get("facts.lowest", F.lit(1))
     other = F.when(F.col("peak") == first, second).otherwise(first)
-    floor = F.greatest(facts["highest"], F.lit(0.0)) / F.lit(ratio * ratio)
-    outlier = (facts["types"] >= 2) & other.isNotNull() & (F.col("peak") > F.lit(ratio) * F.greatest(other, floor))
-    return peaks.select("event_type", "peak", F.coalesce(outlier, F.lit(False)).alias("is_outlier"))
+    floor = F.greatest("facts.highest", F.lit(0.0)) / F.lit(ratio * ratio)
+    outlier = (F.col("facts.types") >= 2) & other.isNotNull() & (F.col("peak") > F.lit(ratio) * F.greatest(other, floor))
+    return peaks.withColumn("facts", facts).select("event_type", "peak", F.coalesce(outlier, F.lit(False)).alias("is_outlier"))
 
 
 def status_counts(quality: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +86,18 @@ def row_struct(fields: dict[str, Column], schema: T.StructType) -> Column:
     )
 
 
+def observed(observation: Observation, name: str) -> int | None:
+    """An observed count; None when the run had nothing left to observe.
+
+    Adaptive execution replaces a plan whose input turns out empty, metrics
+    included, so a missing count says nothing about the rows.
+    """
+    try:
+        return observation.get.get(name)
+    except Py4JJavaError:
+        return None
+
+
 def total(df: DataFrame, value: Column) -> Column:
     """A whole-table aggregate as a scalar subquery: one value, no join, no window."""
     return df.agg(value.alias("total")).scalar()

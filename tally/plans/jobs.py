@@ -7,22 +7,20 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tally.brokers import BROKERS, Broker
 from tally.functions.fernet import Key, decrypt_columns, encrypt_columns, encrypt_payload
-from tally.operators.currency import ConversionError, normalize_currency, rates_frame
+from tally.operators.currency import ConversionError, normalize_currency, rates_frame, require_convertible
 from tally.operators.dedup import drop_known
 from tally.operators.holdings import consolidate_holdings, portfolio_holdings
-from tally.operators.income import (
-    cash_flow_summary, dividend_income, interest_income, require_target, with_periods,
-)
+from tally.operators.income import income_base, income_tables, lacks_target, require_target, with_periods
 from tally.operators.ledger import consolidate_events
 from tally.operators.quality import (
     Check, exit_code, previous_counts, reconciliation_check, results_frame, select_tables, table_checks,
 )
-from tally.operators.shaping import conform, union_all
+from tally.operators.shaping import conform, observed, union_all
 from tally.schemas import (
     CASH_FLOW_SUMMARY, CHECKED_TABLES, CONSOLIDATED_HOLDINGS, DATA_QUALITY, DEFAULT_TARGET, DIVIDEND_INCOME,
     EVENTS, EVENTS_MONEY, FAIL, HOLDINGS_MONEY, INCOME_MONEY, INTEREST_INCOME, PORTFOLIO_HOLDINGS, RAW,
@@ -59,18 +57,20 @@ class Ledger:
 # ---------------------------------------------------------------- raw
 
 
-def ingest_raw(ledger: Ledger, batch: DataFrame, name: str) -> DataFrame:
-    """Encrypt a batch, append what is new, return the whole encrypted batch.
+def ingest_raw(ledger: Ledger, batch: DataFrame, name: str, hand_on: bool = True) -> DataFrame | None:
+    """Encrypt a batch and append what is new; with ``hand_on``, return the whole encrypted batch.
 
-    Tokens differ with every evaluation (random IV), so the batch is written out
-    once by a checkpoint and both the append and the caller read that copy; it
-    also survives lost executors. The returned batch keeps rows that were
-    already stored.
+    Tokens differ with every evaluation (random IV), so a batch that is handed
+    on is written out once by a checkpoint; both the append and the caller read
+    that copy, which survives lost executors. It keeps rows that were already
+    stored. Without ``hand_on`` the batch is encrypted and appended in one pass.
     """
-    ensure_checkpoint_dir(ledger.spark)
-    batch = encrypt_payload(conform(batch, RAW), ledger.key).checkpoint(eager=True)
-    append_new(ledger.lake, batch, name)
-    return batch
+    sealed = encrypt_payload(conform(batch, RAW), ledger.key)
+    if hand_on:
+        ensure_checkpoint_dir(ledger.spark)
+        sealed = sealed.checkpoint(eager=True)
+    append_new(ledger.lake, sealed, name)
+    return sealed if hand_on else None
 
 
 def append_new(lake: Lake, batch: DataFrame, name: str) -> None:
@@ -125,11 +125,13 @@ def run_broker(
     """Ingest the batches of each layer, transform, validate. No batch at all is a skip (exit code 0)."""
     broker = BROKERS[name]
     current: dict[str, DataFrame] = {}
+    ingested = 0
     for layer, frames in batches.items():
-        stored = [ingest_raw(ledger, frame, name) for frame in frames]
-        if stored:
+        stored = [ingest_raw(ledger, frame, name, broker.uses_current_batch) for frame in frames]
+        ingested += len(stored)
+        if stored and broker.uses_current_batch:
             current[layer] = union_all(stored, ledger.spark, RAW)
-    if not current:
+    if not ingested:
         log.info("%s: nothing to ingest, skipped", broker.display_name)
         return 0
     transform_broker(ledger, broker, current, **events_options)
@@ -179,11 +181,24 @@ def normalize_events(ledger: Ledger) -> None:
 
 
 def _write_converted(ledger: Ledger, sealed_events: DataFrame) -> None:
-    # Only the two columns the conversion needs are opened; the amount keeps its token.
-    converted = normalize_currency(_keep_sealed(sealed_events, ledger.key), ledger.rate_table(), ledger.target)
+    """Convert and store events; the stored table stays when a currency has no rate.
+
+    Rows without a rate are counted while the new table is written beside the
+    old one, so the check costs no pass of its own; they are named only when
+    there are any. Only the two columns the conversion needs are opened, the
+    amount keeps its token.
+    """
+    opened, rates = _keep_sealed(sealed_events, ledger.key), ledger.rate_table()
+    counted = Observation("conversion") if ledger.lake.swaps else None
+    converted = normalize_currency(opened, rates, ledger.target, observation=counted)
     sealed = encrypt_columns(converted, ("target_fx_rate", "target_value"), ledger.key)
-    restored = sealed.withColumn("cash_amount", F.col("__sealed_amount"))
-    ledger.lake.overwrite(conform(restored, EVENTS), "normalized", "events")
+    restored = conform(sealed.withColumn("cash_amount", F.col("__sealed_amount")), EVENTS)
+
+    def approve() -> None:
+        if counted is not None and observed(counted, "stuck") != 0:
+            require_convertible(opened, rates, ledger.target)
+
+    ledger.lake.overwrite(restored, "normalized", "events", approve=approve)
 
 
 def _keep_sealed(events: DataFrame, key: Key) -> DataFrame:
@@ -201,30 +216,36 @@ def build_holdings(ledger: Ledger, now: datetime) -> None:
     _write_gold(ledger, rows, PORTFOLIO_HOLDINGS, "portfolio_holdings", now)
 
 
-def income_input(ledger: Ledger) -> DataFrame:
-    """Events as the three income tables need them: checked, opened, with periods.
+def income_rollup(ledger: Ledger) -> DataFrame:
+    """The aggregate the three income tables follow from, in one pass over the events.
 
-    Only the two summed columns are decrypted.
+    The same pass counts events without target value or currency, and fails on
+    them. Only the two summed columns are decrypted. The (small) result is
+    checkpointed, so that building three tables reads the events once.
     """
-    events = require_target(ledger.lake.read("normalized", "events"))
+    ensure_checkpoint_dir(ledger.spark)
     used = (
         "event_type", "event_datetime", "event_id", "broker", "ticker", "isin", "description",
         "security_ccy", "instrument_ccy", "target_ccy", *INCOME_MONEY,
     )
-    return with_periods(decrypt_columns(events.select(*used), INCOME_MONEY, ledger.key))
+    events = ledger.lake.read("normalized", "events").select(*used)
+    counted = Observation("targets")
+    watched = events.observe(counted, F.count_if(lacks_target()).alias("missing"))
+    base = income_base(with_periods(decrypt_columns(watched, INCOME_MONEY, ledger.key))).checkpoint(eager=True)
+    require_target(events, observed(counted, "missing"))
+    return base
 
 
 _INCOME = {
-    "dividend_income": (dividend_income, DIVIDEND_INCOME),
-    "interest_income": (interest_income, INTEREST_INCOME),
-    "cash_flow_summary": (cash_flow_summary, CASH_FLOW_SUMMARY),
+    "dividend_income": DIVIDEND_INCOME,
+    "interest_income": INTEREST_INCOME,
+    "cash_flow_summary": CASH_FLOW_SUMMARY,
 }
 
 
-def build_income(ledger: Ledger, name: str, now: datetime) -> None:
-    build, schema = _INCOME[name]
-    rows = encrypt_columns(build(income_input(ledger)), INCOME_MONEY, ledger.key)
-    _write_gold(ledger, rows, schema, name, now)
+def build_income(ledger: Ledger, name: str, now: datetime, rollup: DataFrame | None = None) -> None:
+    rows = income_tables(income_rollup(ledger) if rollup is None else rollup)[name]
+    _write_gold(ledger, encrypt_columns(rows, INCOME_MONEY, ledger.key), _INCOME[name], name, now)
 
 
 def _write_gold(ledger: Ledger, rows: DataFrame, schema, name: str, now: datetime) -> None:
@@ -235,15 +256,22 @@ def _write_gold(ledger: Ledger, rows: DataFrame, schema, name: str, now: datetim
 def run_analytics(ledger: Ledger, now: datetime | None = None) -> int:
     """Build every analytics table; each builder runs even if another failed, any failure gives 1."""
     now = now or datetime.now(UTC)
-    builders: list[tuple[str, Callable[[], None]]] = [("portfolio_holdings", lambda: build_holdings(ledger, now))]
-    builders += [(n, lambda n=n: build_income(ledger, n, now)) for n in _INCOME]
     failed = 0
-    for name, build in builders:
+
+    def attempt(name: str, build: Callable[[], DataFrame | None]) -> DataFrame | None:
+        nonlocal failed
         try:
-            build()
+            return build()
         except Exception as exc:
             log.warning("%s failed: %s", name, exc)
             failed = 1
+            return None
+
+    attempt("portfolio_holdings", lambda: build_holdings(ledger, now))
+    rollup = attempt("income rollup", lambda: income_rollup(ledger))
+    if rollup is not None:
+        for name in _INCOME:
+            attempt(name, lambda name=name: build_income(ledger, name, now, rollup))
     return failed
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -73,22 +73,40 @@ class Lake:
         if not self.exists(layer, name):
             self.append(empty(self.spark, schema).coalesce(1), layer, name)
 
-    def overwrite(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
+    @property
+    def swaps(self) -> bool:
+        """Whether an overwrite is written beside the table first."""
+        return self.fmt != "delta"
+
+    def overwrite(
+        self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = (),
+        approve: Callable[[], None] | None = None,
+    ) -> None:
         """Replace the whole table, its schema included.
 
         The new rows are written beside the table and swapped in afterwards, so
         ``df`` may read the table it replaces and a failed job leaves it intact.
+        ``approve`` runs between the two and keeps the old table by raising.
         """
         path = self.path(layer, name)
-        if self.fmt == "delta":
+        if not self.swaps:
             writer = df.write.format("delta").mode("overwrite").option("overwriteSchema", "true")
             writer.partitionBy(*partition_by).save(path)
             return
         self._finish_swap(path)
-        df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}__new")
+        df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}__pending")
+        if approve:
+            approve()
+        self._rename(f"{path}__pending", f"{path}__new")
         self._swap(path)
         self.spark.catalog.refreshByPath(path)
 
+    def _rename(self, old: str, new: str) -> None:
+        fs, target = self._fs(new)
+        if fs.exists(target):
+            fs.delete(target, True)
+        fs.rename(self._fs(old)[1], target)
+
     def _swap(self, path: str) -> None:
         fs, target = self._fs(path)
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path
@@ -103,7 +121,7 @@ class Lake:
 
     def _finish_swap(self, path: str) -> None:
         """Complete a swap that stopped between its two renames."""
-        if self.fmt != "delta" and not self._present(path) and self._present(f"{path}__new/_SUCCESS"):
+        if self.swaps and not self._present(path) and self._present(f"{path}__new/_SUCCESS"):
             self._swap(path)
 
     # ------------------------------------------------------------ catalog

@@ -58,6 +58,24 @@ def test_no_events_gives_typed_empty_tables(spark):
     assert dict(I.interest_income(df).dtypes)["event_count"] == "bigint"
 
 
+def test_tables_from_the_shared_base_equal_the_direct_ones(spark):
+    rng = random.Random(5)
+    data = [
+        event(
+            rng.choice(["DIVIDEND", "INTEREST", "TRADE"]), rng.choice(["20260101", "2026-02-03", "junk"]),
+            rng.choice([None, float(rng.randrange(50))]), rng.choice([None, float(rng.randrange(50))]),
+            ticker=rng.choice("AB"), ccy=rng.choice(["USD", None]), code=rng.choice(["EUR", None]),
+            ident=rng.choice(["1", None]), instrument=rng.choice(["USD", "GBP", None]),
+        )
+        for _ in range(400)
+    ]
+    df = I.with_periods(frame(spark, *data))
+    shared = I.income_tables(I.income_base(df))
+    for name, build in (("dividend_income", I.dividend_income), ("interest_income", I.interest_income), ("cash_flow_summary", I.cash_flow_summary)):
+        direct = build(df)
+        assert rows(shared[name], *direct.columns) == rows(direct), name
+
+
 def test_any_unconverted_event_is_an_error(spark):
     good = event("DIVIDEND", "2026-01-01", 1.0, 1.0)
     assert I.require_target(frame(spark, good)).count() == 1

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tally.brokers import BROKERS
 from tally.functions.fernet import decrypt_columns
+from tally.operators.income import MissingTargetError
 from tally.plans import jobs as J
 from tally.plans.report import NothingToReport, portfolio_report
 from tally.schemas import CHECKED_TABLES, EVENTS_MONEY, HOLDINGS_MONEY, INCOME_MONEY
@@ -170,6 +171,35 @@ def test_analytics_builders_run_independently(spark, ledger):
     assert ledger.lake.exists("analytics", "portfolio_holdings") and not ledger.lake.exists("analytics", "dividend_income")
 
 
+def test_holdings_without_any_events(spark, ledger):
+    snapshot = {"snapshot": [raw(spark, raw_row("XTB", "XTB_REPORT", report(without=("Cash Operations",)), DAY1, XLSX))]}
+    assert J.run_broker(ledger, "xtb", snapshot, now=NOW) == 0
+    for name in ("xtb_events",):
+        assert ledger.lake.read("normalized", name).count() == 0
+    assert J.run_consolidation(ledger, now=NOW) == 0
+    assert ledger.lake.read("normalized", "events").count() == 0
+    assert ledger.lake.read("analytics", "cash_flow_summary").count() == 0
+    note = J.quality_history(ledger).filter("check_name = 'reconciliation'").first()
+    assert note.status == "WARN" and "no events" in note.details
+
+
+def test_no_event_table_at_all(spark, ledger):
+    J.consolidate_ledger(ledger)
+    assert ledger.lake.read("normalized", "events").count() == 0
+    J.income_rollup(ledger)
+
+
+def test_unconverted_events_fail_the_rollup_even_without_a_readable_time(spark, ledger):
+    run = {"snapshot": [], "events": [raw(spark, raw_row("IBKR", "flex_events", events_xml(), DAY2))]}
+    J.run_broker(ledger, "ibkr", run, now=NOW)
+    J.consolidate_ledger(ledger)
+    stored = ledger.lake.read("normalized", "events")
+    broken = stored.withColumns({"event_datetime": F.lit("soon"), "target_ccy": F.lit(None).cast("string")})
+    ledger.lake.overwrite(broken, "normalized", "events")
+    with pytest.raises(MissingTargetError, match="7 event"):
+        J.income_rollup(ledger)
+
+
 def test_validation_of_absent_and_unknown_tables(ledger):
     assert J.validate(ledger, ["events", "nope"], now=NOW) == 0
     assert J.validate(ledger, ["events"], fail_on_warn=True, now=NOW + timedelta(hours=1)) == 1

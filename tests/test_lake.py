@@ -47,6 +47,19 @@ def test_failed_overwrite_leaves_the_table(spark, lake):
     assert lake.read("raw", "t").count() == 3
 
 
+def test_disapproved_overwrite_leaves_the_table(spark, lake):
+    lake.append(spark.range(3), "raw", "t")
+
+    def refuse():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        lake.overwrite(spark.range(9), "raw", "t", approve=refuse)
+    assert lake.read("raw", "t").count() == 3 and lake.tables() == [("raw", "t")]
+    lake.overwrite(spark.range(9), "raw", "t", approve=lambda: None)
+    assert lake.read("raw", "t").count() == 9
+
+
 def test_interrupted_swap_is_finished(spark, lake):
     spark.range(5).write.parquet(lake.path("raw", "t") + "__new")
     assert lake.read("raw", "t").count() == 5
