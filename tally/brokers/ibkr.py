@@ -276,25 +276,30 @@ def commission_mismatches(elements: DataFrame) -> DataFrame:
     return elements.filter(F.col("kind") == "Trade").agg(F.count_if(stuck).alias("unconverted_fees"))
 
 
-def earliest_event(events: DataFrame) -> Column:
-    """Earliest readable event time as a scalar subquery."""
+def event_facts(events: DataFrame) -> Column:
+    """Earliest readable event time, earliest fetch and number of events, as one scalar subquery."""
     text = F.col("event_datetime")
     moment = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
-    return events.agg(F.min(moment)).scalar()
+    facts = F.struct(
+        F.min(moment).alias("earliest"), F.min("fetched_at").alias("fetched_at"), F.count(F.lit(1)).alias("events")
+    )
+    return events.agg(facts.alias("facts")).scalar()
 
 
 def opening_deposits(events: DataFrame, account_rows: DataFrame, target: str = DEFAULT_TARGET) -> DataFrame:
     """A synthetic opening deposit per account at midnight of the day before the earliest event.
 
-    ``account_rows`` is ``(account_id, base_ccy, fetched_at)``.
+    ``account_rows`` is ``(account_id, base_ccy, fetched_at)``. An account
+    without name (none is known) gets one only when there are events.
     """
-    earliest = F.coalesce(
-        F.date_trunc("day", earliest_event(events)) - F.expr("interval 1 day"),
+    known = account_rows.withColumn("facts", event_facts(events))
+    day = F.coalesce(
+        F.date_trunc("day", "facts.earliest") - F.expr("interval 1 day"),
         F.lit(datetime(2020, 1, 1)).cast("timestamp"),
     )
-    first_fetch = events.agg(F.min("fetched_at")).scalar()
-    deposits = account_rows.withColumn("day", earliest).select(
-        F.coalesce(first_fetch, "fetched_at").alias("fetched_at"),
+    booked = known.filter((F.col("account_id") != "") | (F.col("facts.events") > 0)).withColumn("day", day)
+    deposits = booked.select(
+        F.coalesce("facts.fetched_at", "fetched_at").alias("fetched_at"),
         F.lit(_NAME).alias("broker"),
         "account_id",
         event_hash(F.lit("CashTransaction"), "account_id", F.lit("PAPER_INITIAL_DEPOSIT")).alias("event_id"),
@@ -337,9 +342,7 @@ def events(
     """Events of all statements, newest version per event id."""
     mapped = map_elements(event_elements(raw, key), target)
     if is_paper:
-        deposits = opening_deposits(mapped, last_accounts(raw, key), target)
-        accountless = (F.col("account_id") == "") & (F.coalesce(mapped.agg(F.count(F.lit(1))).scalar(), F.lit(0)) == 0)
-        mapped = mapped.unionByName(deposits.filter(~accountless))
+        mapped = mapped.unionByName(opening_deposits(mapped, last_accounts(raw, key), target))
     return dedup_newest(mapped, IBKR_EVENT_KEY)
 
 

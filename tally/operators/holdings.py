@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.values import first_filled, round_half_even
 from tally.operators.currency import convert
-from tally.operators.shaping import total
+from tally.operators.shaping import labelled_sum, total
 from tally.schemas import BROKER_NAMES, DEFAULT_TARGET
 
 
@@ -83,17 +83,16 @@ def aggregate_percentages(
     Metadata is the smallest non-empty value of the group, ``-`` when there is
     none. Groups that sum to zero are dropped; a zero net worth fails the job.
     """
+    labels = ("identifier", "security_ccy", "description")
     converted = convert(holdings, "security_value", "security_ccy", rates, target)
-    grouped = converted.groupBy("ticker", "broker").agg(
-        F.sum("converted").alias("value"),
-        *[F.min(F.nullif(F.col(c), F.lit(""))).alias(c) for c in ("identifier", "security_ccy", "description")],
-    )
+    filled = converted.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in labels})
+    grouped = labelled_sum(filled, ["ticker", "broker"], labels, "converted")
     worth = total(converted, F.sum("converted").cast("double"))
-    share = F.coalesce(F.try_divide(F.col("value").cast("double"), worth), F.raise_error(F.lit("net worth is zero")))
-    shares = grouped.filter(F.col("value") != 0).select(
+    share = F.coalesce(F.try_divide(F.col("converted").cast("double"), worth), F.raise_error(F.lit("net worth is zero")))
+    shares = grouped.filter(F.col("converted") != 0).select(
         "ticker",
         (share * F.lit(100.0)).alias("percentage"),
         "broker",
-        *[F.coalesce(F.col(c), F.lit("-")).alias(c) for c in ("identifier", "security_ccy", "description")],
+        *[F.coalesce(F.col(c), F.lit("-")).alias(c) for c in labels],
     )
     return shares.orderBy(F.abs("percentage").desc()) if ordered else shares

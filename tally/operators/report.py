@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.operators.shaping import total
+from tally.operators.shaping import labelled_sum, total
 
 OUTLIER_RATIO = 10.0
 
@@ -24,9 +24,8 @@ def allocation_by_currency(holdings: DataFrame) -> DataFrame:
 
 def positions(holdings: DataFrame) -> DataFrame:
     """One bar per ticker, summed over brokers."""
-    return holdings.groupBy("ticker").agg(
-        F.sum("percentage").cast("double").alias("percentage"), F.min("position_type").alias("position_type")
-    )
+    summed = labelled_sum(holdings, ["ticker"], ["position_type"], "percentage")
+    return summed.withColumn("percentage", F.col("percentage").cast("double"))
 
 
 def largest_first(df: DataFrame) -> DataFrame:

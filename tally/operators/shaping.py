@@ -86,6 +86,17 @@ def row_struct(fields: dict[str, Column], schema: T.StructType) -> Column:
     )
 
 
+def labelled_sum(df: DataFrame, keys: Sequence[str], labels: Sequence[str], value: str) -> DataFrame:
+    """Sum of ``value`` and the smallest non-null value of each text label, per ``keys``.
+
+    A minimum over text would force a sort of all rows. The labels are keys of a
+    first, hash aggregated level instead; as a rule they do not vary within a
+    group, so the second level has few rows.
+    """
+    fine = df.groupBy(*keys, *labels).agg(F.sum(value).alias(value))
+    return fine.groupBy(*keys).agg(F.sum(value).alias(value), *[F.min(c).alias(c) for c in labels])
+
+
 def observed(observation: Observation, name: str) -> int | None:
     """An observed count; None when the run had nothing left to observe.
 
