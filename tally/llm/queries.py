@@ -7,8 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tally.llm.line_crf import LineField, fit, held_out, quality_scores, training_texts
 from tally.llm.packing import best_fit_packing
+from tally.llm.quality_rules import quality_rules
 from tally.llm.scratch import new_path
+from tally.llm.secrets import secret_scan
 from tally.llm.token_counts import token_counts
 from tally.llm.token_files import read_token_files, token_digests, write_token_files
 
@@ -17,6 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def quality_field(spark: SparkSession, docs: DataFrame, sf_dir: str) -> LineField:
+    """The field fitted to the labels of documents that are not held out."""
+    return fit(*training_texts(docs, table(spark, sf_dir, "labels").where(~held_out())))
+
+
+def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, quality_field(spark, docs, sf_dir)).withColumn("held_out", held_out())
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -31,10 +48,17 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op3_line_crf": op3_line_crf,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
