@@ -12,6 +12,7 @@ from tally.llm.packing import best_fit_packing
 from tally.llm.quality_rules import quality_rules
 from tally.llm.scratch import new_path
 from tally.llm.secrets import secret_scan
+from tally.llm.shingle_join import shingle_components
 from tally.llm.token_counts import token_counts
 from tally.llm.token_files import read_token_files, token_digests, write_token_files
 
@@ -52,6 +53,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_crf": op3_line_crf,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_secret_scan": op8_secret_scan,
+    "op9_shingle_join": op9_shingle_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
