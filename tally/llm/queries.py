@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tally.llm.line_crf import LineField, fit, held_out, quality_scores, training_texts
+from tally.llm.mixing import mix_sources
 from tally.llm.packing import best_fit_packing
 from tally.llm.quality_rules import quality_rules
 from tally.llm.scratch import new_path
@@ -57,6 +58,10 @@ def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_components(table(spark, sf_dir, "documents"))
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_crf": op3_line_crf,
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_secret_scan": op8_secret_scan,
     "op9_shingle_join": op9_shingle_join,
+    "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLE_SQL: dict[str, str] = {}
