@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tally.llm.licenses import license_scan
 from tally.llm.line_crf import LineField, fit, held_out, quality_scores, training_texts
 from tally.llm.mixing import mix_sources
 from tally.llm.packing import best_fit_packing
@@ -16,12 +18,17 @@ from tally.llm.secrets import secret_scan
 from tally.llm.shingle_join import shingle_components
 from tally.llm.token_counts import token_counts
 from tally.llm.token_files import read_token_files, token_digests, write_token_files
+from tally.llm.vector_join import nearest
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -46,6 +53,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read_token_files(spark, path))
 
 
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
@@ -63,14 +74,28 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_line_crf": op3_line_crf,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
+    "op6_nearest_vectors": op6_nearest_vectors,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_secret_scan": op8_secret_scan,
     "op9_shingle_join": op9_shingle_join,
     "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_nearest_vectors": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), p AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+}
