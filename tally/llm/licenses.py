@@ -145,6 +145,15 @@ def patience(text: list[int], template: list[int]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def _longest(found: list[tuple[int, int, str, float, int]]) -> list[tuple[int, int, str, float]]:
+    """Finds in order of place, without those within a find that has more words: a notice's shorter namesakes."""
+    kept: list[tuple[int, int, str, float, int]] = []
+    for f in sorted(found, key=lambda f: (-f[4], f)):
+        if not any(k[0] <= f[0] and f[1] <= k[1] and k[4] > f[4] for k in kept):
+            kept.append(f)
+    return sorted(f[:4] for f in kept)
+
+
 class Scanner:
     """The templates as hashes of their words."""
 
@@ -161,7 +170,7 @@ class Scanner:
         """Of each text: (first word, end, template, coverage) of all its licenses, in order."""
         words = plain_words(texts)
         hashes, n = words.hashes, len(words.hashes)
-        found: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
+        found: list[list[tuple[int, int, str, float, int]]] = [[] for _ in texts]
         if not n:
             return found
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
@@ -193,8 +202,8 @@ class Scanner:
                 if len(pairs) >= need and self.keys[t] <= {stretch[a] for a, _ in pairs}:
                     zero = int(words.first[owner])
                     done = begin + pairs[-1][0] + 1
-                    found[owner].append((begin + pairs[0][0] - zero, done - zero, self.templates[t].name, len(pairs) / len(template)))
-        return [sorted(f) for f in found]
+                    found[owner].append((begin + pairs[0][0] - zero, done - zero, self.templates[t].name, len(pairs) / len(template), len(pairs)))
+        return [_longest(f) for f in found]
 
 
 def license_scan(

@@ -310,3 +310,20 @@ def shingle_components(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )
     return out
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, width: int = WIDTH, orders: int = ORDERS) -> DataFrame:
+    """The rows of ``docs`` with all their columns, of each component the one with the smallest id.
+
+    Rows alike in id and text are one document; texts without shingles and rows without an id all stay.
+    """
+    found = shingle_components(docs, id_column, text_column, percent, width, orders)
+    found = written(found.select(F.col(id_column).alias("__id"), "n_shingles", "component_id"), "classes")
+    others = found.where("component_id <> __id").select("__id").distinct()
+    again = found.where("n_shingles > 0 and __id is not null").groupBy("__id").count().where("count > 1").select("__id")
+    again = written(again, "repeated-ids")
+    kept = docs.join(others, docs[id_column] == others["__id"], "left_anti")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, kept[id_column] == again["__id"], "left_semi").dropDuplicates([id_column, text_column])
+    return kept.join(again, kept[id_column] == again["__id"], "left_anti").unionAll(once)
