@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.batches import byte_slices
+from tally.llm.batches import TOKEN_BYTES, byte_slices
 from tally.llm.pieces import loaded, with_end
 from tally.llm.scratch import written
 
@@ -167,7 +167,7 @@ def token_pieces(
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task, seen = loaded(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for part in byte_slices(batches):
+        for part in byte_slices(batches, "text", TOKEN_BYTES):
             ids, ends = with_end(*encoder.ids(part.column("text")), end_id)
             sizes = np.diff(ends, prepend=0)
             n = -(-sizes // capacity)

@@ -5,6 +5,9 @@ all shingles that is the same for all texts. One order makes the candidates: rar
 over all texts counts them, so that a passage that many texts share stands at the end. Each further order (by another
 hash) is a second opinion: a candidate must share a shingle of that order's prefixes, too. What is left is verified.
 
+Before the sets of a pair are brought together, a small count of each set's shingles by class of hash bounds what the
+two can share, which leaves few pairs that fail.
+
 A group of thousands of near copies has millions of pairs, and they are not emitted. Texts that share a prefix shingle
 are first held against one of them, the same for all its shingles. Links found this way join texts into components;
 only texts of different components that share a prefix shingle are then paired. Nothing is lost: a pair is left out
@@ -33,6 +36,7 @@ ORDERS = 3
 # no cap on candidates: the order of any others is by hash, and every order finds every link
 FREQUENT = 1 << 20
 LEAST_FREQUENT = 16
+CLASSES = 128  # of hashes, counted in a sketch of each set
 BITS = 1 << 27  # of the table that says which shingles stand in two texts or more; false hits cost time only
 
 _U64 = np.uint64
@@ -75,7 +79,7 @@ def _count_shingles(docs: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray
     """
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text", 16 << 20):
+        for batch in byte_slices(batches, "text", 8 << 20):
             pieces = [shingles(Words.of(texts_of(part), lower=True))[0] >> _U64(24) for part in byte_slices([batch], "text")]
             keys, counts = np.unique(np.concatenate(pieces), return_counts=True)
             edges = np.searchsorted(keys, (np.arange(parts + 1, dtype=np.float64) * (2.0**40 / parts)).astype(_U64))
@@ -164,11 +168,10 @@ class _Orders:
 
 
 def _postings(docs: DataFrame, frequent: np.ndarray, several: np.ndarray, percent: int, width: int) -> DataFrame:
-    """(shingle, id, n, f1, f2): one row per text without a shingle, its set's size and fingerprint, and one row per
-    shingle of its prefix under the first order that may stand in another text. A task sends the shingles of texts
-    with the same set once."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((frequent, several))  # FREQUENT numbers and BITS bits at most
+    """(shingle, id, n, f1, f2, sketch): one row per text without a shingle, with its set's size, fingerprint and sketch,
+    and one row per shingle of its prefix under the first order that may stand in another text. A task sends the
+    shingles of texts with the same set once."""
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, several))  # FREQUENT numbers and BITS bits at most
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, several = shared.value
@@ -184,24 +187,49 @@ def _postings(docs: DataFrame, frequent: np.ndarray, several: np.ndarray, percen
                     fresh[i] = True
                     if len(met) < 1_000_000:
                         met.add(key)
+            places = np.repeat(np.arange(len(n)), n) * CLASSES + (hashes >> _U64(57)).astype(np.int64)
+            counts = np.minimum(np.bincount(places, minlength=len(n) * CLASSES), 255).astype(np.uint8).reshape(-1, CLASSES)
             ids = part.column("id")
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), ids, pa.array(n, pa.int64()), pa.array(f1), pa.array(f2)], names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(n), pa.int64()), ids, pa.array(n, pa.int64()), pa.array(f1), pa.array(f2), pa.array([c.tobytes() for c in counts], pa.binary())], names
+            )
             token, text = orders.prefixes(hashes, first, 0, percent)
             slot = _slot(token)
             keep = fresh[text] & ((several[slot >> 3] >> (slot & 7)) & 1).astype(bool)
             token, text = token[keep].view(np.int64), text[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(token), ids.take(pa.array(text)), pa.array(n[text], pa.int64()), pa.array(f1[text]), pa.array(f2[text])], names)
-
-    names = ["shingle", "id", "n", "f1", "f2"]
-    schema = T.StructType([T.StructField("shingle", T.LongType()), docs.schema["id"], *(T.StructField(c, T.LongType()) for c in names[2:])])
+            nothing = pa.nulls(len(token), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token), ids.take(pa.array(text)), pa.array(n[text], pa.int64()), nothing, nothing, pa.nulls(len(token), pa.binary())], names
+            )
+
+    names = ["shingle", "id", "n", "f1", "f2", "sketch"]
+    longs = [T.StructField(c, T.LongType()) for c in names[2:5]]
+    schema = T.StructType([T.StructField("shingle", T.LongType()), docs.schema["id"], *longs, T.StructField("sketch", T.BinaryType())])
     return docs.mapInArrow(post, schema)
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(id, set): the shingles of the texts whose id is in ``wanted`` (id), as packed 64-bit numbers in ascending order.
+def _possible(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches leave room for the overlap: the classes' counts differ by no more than the sets may."""
 
-    A bit table of fixed size over hashes of the wanted ids keeps the others from being sent; a join makes it exact.
-    """
+    def sketches(batch: pa.RecordBatch, column: str) -> np.ndarray:
+        return np.frombuffer(b"".join(batch.column(column).to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int32)
+
+    def possible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            room = total - 2 * (-(-percent * total // (100 + percent)))
+            apart = np.abs(sketches(batch, "left") - sketches(batch, "right")).sum(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= room))
+
+    left = texts.select(F.col("id").alias("a"), "n", F.col("sketch").alias("left"))
+    right = texts.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("right"))
+    joined = pairs.join(left, "a").join(right, "b").where("n > 0 and m > 0").select("a", "b", "n", "m", "left", "right")
+    return joined.mapInArrow(possible, pairs.schema).distinct()
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(id, set): the shingles of the texts whose id is in ``wanted`` (id) and of few others, as packed 64-bit numbers in
+    ascending order. A bit table of fixed size over hashes of the wanted ids keeps the rest from being sent."""
     bits = 1 << 26
     spark = docs.sparkSession
     place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
@@ -222,14 +250,12 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([hashes[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary())], ["id", "set"])
 
     schema = T.StructType([docs.schema["id"], T.StructField("set", T.BinaryType())])
-    sets = docs.select("id", "text", (place - 1).alias("at")).mapInArrow(pack, schema)
-    # rows that share an id: the one with the greatest set stands for it, as in _representatives
-    return sets.join(wanted, "id", "left_semi").groupBy("id").agg(F.max("set").alias("set"))
+    return docs.select("id", "text", (place - 1).alias("at")).mapInArrow(pack, schema)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, frequent: np.ndarray, percent: int, width: int, orders: int) -> DataFrame:
-    """The pairs (a, b) that the other orders' prefixes let through and whose sets overlap enough."""
-    pairs = written(pairs, "candidates")
+def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.ndarray, percent: int, width: int, orders: int) -> DataFrame:
+    """The pairs (a, b) that the sketches and the other orders' prefixes let through and whose sets overlap enough."""
+    pairs = written(_possible(pairs, texts, percent), "candidates")
     if pairs.isEmpty():
         return pairs
     wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
@@ -251,15 +277,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, frequent: np.ndarray, percent:
 
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for i, (left, right) in enumerate(zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True)):
-                (x, px), (y, py) = prefixes(left), prefixes(right)
+            for i in range(batch.num_rows):
+                (x, px), (y, py) = prefixes(batch.column("left")[i].as_py()), prefixes(batch.column("right")[i].as_py())
                 if all(len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(px, py, strict=True)):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    joined = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("right")), "b").join(sets.select(F.col("id").alias("a"), F.col("set").alias("left")), "a")
-    return written(joined.select("a", "b", "left", "right").mapInArrow(verify, pairs.schema), "links")
+    right, left = sets.select(F.col("id").alias("b"), F.col("set").alias("right")), sets.select(F.col("id").alias("a"), F.col("set").alias("left"))
+    joined = pairs.join(right, "b").join(left, "a")
+    return written(joined.select("a", "b", "left", "right").mapInArrow(verify, pairs.schema).distinct(), "links")
 
 
 def shingle_components(
@@ -268,9 +295,8 @@ def shingle_components(
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
     Two texts link when 100 * |intersection| >= percent * |union| of their sets of distinct ``width``-word shingles
-    (A to Z lowered). Null, empty and blank texts have no shingles and link with nothing. Rows that repeat an id with
-    other texts are compared as one text each only if their sets are equal; else the largest packed set stands for the
-    id's links. Ids must be integers; rows with a null id keep a null component. An empty table gives an empty one;
+    (A to Z lowered). Null, empty and blank texts have no shingles and link with nothing. Rows that repeat an id
+    are one node: it links with whatever any of its texts links with. Ids must be integers; rows with a null id keep a null component. An empty table gives an empty one;
     further columns are left behind. Very long texts are read whole.
     """
     narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
@@ -279,37 +305,40 @@ def shingle_components(
     frequent, several = _count_shingles(known, parts)
     posted = written(_postings(known, frequent, several, percent, width), "postings")
 
-    texts = posted.where("shingle is null").select("id", "n", "f1", "f2")
-    same = texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"))  # equal sets link; the smallest id stands for all
-    same = written(same, "equal-sets")
-    posts = posted.where("shingle is not null").join(same, ["n", "f1", "f2"]).select("shingle", F.col("rep").alias("id"), "n").distinct()
-    posts = written(posts, "posts")
+    texts = posted.where("shingle is null").select("id", "n", "f1", "f2", "sketch")
+    same = written(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "equal-sets")  # equal sets link
+    copies = texts.join(same, ["n", "f1", "f2"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
+    copies = written(copies, "copies")
 
     def fit(x: str, y: str):
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
-    # each shingle's texts against one of them: the same hash of the id decides in every shingle, so that copies meet the same text
-    pivots = posts.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("id"), "id", "n")).alias("p"), F.count("*").alias("texts")).where("texts > 1")
-    stars = posts.join(pivots, "shingle").where((F.col("id") != F.col("p.id")) & fit("n", "p.n"))
-    stars = stars.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
-    links = _verified(stars, known, frequent, percent, width, orders)
-    found = written(components(links), "components")
+    # each shingle's texts against one of them: the smallest hash of an id, which near copies share in most shingles
+    posts = posted.where("shingle is not null").select("shingle", "id", "n")
+    mark = F.xxhash64("id")
+    pivots = posts.groupBy("shingle").agg(F.min(mark).alias("pivot"), F.count("*").alias("texts")).where("texts > 1").select("shingle", "pivot")
+    shared = written(posts.join(pivots, "shingle"), "shared-shingles")
+    pivot_ids = shared.where(mark == F.col("pivot")).select("pivot", F.col("id").alias("p"), F.col("n").alias("m")).distinct()
+    stars = shared.where(mark != F.col("pivot")).select("id", "n", "pivot").distinct().join(pivot_ids, "pivot").where(fit("n", "m"))
+    stars = written(stars.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).where("a <> b").distinct(), "stars")
+    links = _verified(stars, texts, known, frequent, percent, width, orders)
+    found = written(components(links.unionAll(copies)), "components")
 
     # texts of different components under one shingle
-    placed = posts.join(found.withColumnRenamed("node", "id"), "id", "left").select("shingle", "id", "n", F.coalesce("component", "id").alias("c"))
-    mixed_up = placed.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("shingle")
-    open_posts = written(placed.join(mixed_up, "shingle", "left_semi"), "open-posts")
+    placed = shared.join(found.withColumnRenamed("node", "id"), "id", "left").select("shingle", "id", "n", F.coalesce("component", "id").alias("c"))
+    several_classes = placed.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("shingle")
+    open_posts = written(placed.join(several_classes, "shingle", "left_semi"), "open-posts")
     other = open_posts.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
     pairs = open_posts.withColumnRenamed("id", "a").join(other, "shingle").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fit("n", "m"))
-    pairs = pairs.select("a", "b").distinct().join(written(stars, "tried"), ["a", "b"], "left_anti")
-    more = _verified(pairs, known, frequent, percent, width, orders)
-
-    merged = components(links.unionAll(more)).withColumnRenamed("node", "rep")
-    groups = same.join(merged, "rep", "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component_id"))
-    out = texts.join(groups, ["n", "f1", "f2"], "left").select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
-    )
-    return out
+    pairs = pairs.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    more = _verified(pairs, texts, known, frequent, percent, width, orders)
+
+    merged = found if more.isEmpty() else components(links.unionAll(more).unionAll(copies))
+    out = texts.select("id", "n").join(merged.withColumnRenamed("node", "id"), "id", "left")
+    classed = out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    unknown = narrow.where(F.col("id").isNull())
+    lost = _postings(unknown, frequent[:0], several, percent, width).where("shingle is null")
+    return classed.unionAll(lost.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, width: int = WIDTH, orders: int = ORDERS) -> DataFrame:

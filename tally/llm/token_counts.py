@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.batches import SLICE_BYTES, byte_slices, lengths_in_bytes
+from tally.llm.batches import TOKEN_BYTES, byte_slices, lengths_in_bytes
 from tally.llm.pieces import loaded
 
 
 def token_counts(
-    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", over: int = 512, slice_bytes: int = SLICE_BYTES
+    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", over: int = 512, slice_bytes: int = TOKEN_BYTES
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > ``over``).
 
