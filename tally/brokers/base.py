@@ -19,7 +19,8 @@ class Broker:
     ``uses_current_batch`` brokers return their whole history with every fetch,
     so their transforms read the fresh batch instead of the accumulated table.
     ``needs_target`` brokers state rates to their base currency, which count
-    only when that is the ledger's target.
+    only when that is the ledger's target. ``event_sources`` must all be in a batch
+    of events that replaces the stored history.
     """
 
     name: str
@@ -27,6 +28,7 @@ class Broker:
     events: Callable[..., DataFrame]
     uses_current_batch: bool = False
     needs_target: bool = False
+    event_sources: tuple[str, ...] = ()
 
     @property
     def display_name(self) -> str:

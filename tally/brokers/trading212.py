@@ -16,7 +16,7 @@ from tally.operators.shaping import conform, row_struct
 from tally.schemas import BROKER_NAMES, EVENTS, SNAPSHOT, plain
 from tally.sources.json_payloads import decode_rows, explode_events, unwrap
 from tally.sources.landing import (
-    DIVIDENDS_PATH, ORDERS_PATH, POSITIONS_PATH, SUMMARY_PATH, TRANSACTIONS_PATH,
+    DIVIDENDS_PATH, EVENT_PATHS, ORDERS_PATH, POSITIONS_PATH, SUMMARY_PATH, TRANSACTIONS_PATH,
 )
 
 # --- fixed values: transaction types, names of fee and tax entries ---
@@ -251,4 +251,4 @@ def events(raw: DataFrame, key: Key | None = None, observation: Observation | No
     return dedup_newest(page_events(rows), TRADING212_EVENT_KEY)
 
 
-BROKER = Broker("trading212", snapshot, events, uses_current_batch=True)
+BROKER = Broker("trading212", snapshot, events, uses_current_batch=True, event_sources=EVENT_PATHS)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.functions.values import round_half_even
+from tally.functions.values import number, round_half_even
 
 _BLOCK = 64
 _OVERHEAD = 1 + 8 + 16 + 32
@@ -168,35 +168,38 @@ def decrypt_payload(df: DataFrame, key: Key, column: str = "payload", strict: bo
 
 
 def decrypt_all(df: DataFrame, key: Key, columns: Iterable[str] | None = None) -> DataFrame:
-    """Decrypt every binary column, choosing number, text or bytes from one sample value.
+    """Decrypt every binary column to numbers, text or bytes, by what all of its values are.
 
-    Numbers are rounded to two digits. A column whose plain bytes are not text
-    keeps its tokens. A token the key does not open raises :class:`DecryptError`.
+    One aggregate over all rows and columns decides: a column of numbers becomes
+    numbers, rounded to two digits; one that holds any other text becomes text;
+    one with bytes that are no text keeps its tokens. A token that the key does
+    not open raises :class:`DecryptError`.
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.BinaryType)]
     columns = [c for c in columns if c in df.columns]
-    numbers, texts = [], []
-    for c in columns:
-        sample = df.select(c).filter(F.col(c).isNotNull()).limit(1)
-        opened = unseal(sample.withColumn("value", F.col(c)), ["value"], key, strict=False)
-        found = opened.select(
-            F.col("value").isNotNull().alias("ok"),
-            F.col("value").cast("string").try_cast("double").isNotNull().alias("number"),
-            F.is_valid_utf8(F.col("value").cast("string")).alias("text"),
-        ).first()
-        if found is None:
-            texts.append(c)
-        elif not found.ok:
-            raise DecryptError(f"column '{c}' was encrypted with another key")
-        elif found.number:
-            numbers.append(c)
-        elif found.text:
-            texts.append(c)
-    out = unseal(df, [*numbers, *texts], key)
-    return out.withColumns(
-        {
-            **{c: round_half_even(F.col(c).cast("string").try_cast("double"), 2) for c in numbers},
-            **{c: F.col(c).cast("string") for c in texts},
-        }
-    ) if numbers or texts else out
+    if not columns:
+        return df
+    numbered = df.select(*[F.col(c).alias(f"token{i}") for i, c in enumerate(columns)])
+    values = numbered.withColumns({f"value{i}": F.col(f"token{i}") for i in range(len(columns))})
+    opened = unseal(values, [f"value{i}" for i in range(len(columns))], key, strict=False)
+    measures = []
+    for i in range(len(columns)):
+        value, text = F.col(f"value{i}"), F.col(f"value{i}").cast("string")
+        measures += [
+            F.count_if(F.col(f"token{i}").isNotNull() & value.isNull()).alias(f"unread{i}"),
+            F.count_if(number(text).isNotNull()).alias(f"numbers{i}"),
+            F.count_if(~F.is_valid_utf8(text)).alias(f"bytes{i}"),
+            F.count(value).alias(f"values{i}"),
+        ]
+    facts = opened.agg(*measures).first()
+    unread = [c for i, c in enumerate(columns) if facts[f"unread{i}"]]
+    if unread:
+        raise DecryptError(f"not encrypted with this key: {unread}")
+    texts = [c for i, c in enumerate(columns) if not facts[f"bytes{i}"]]
+    numbers = [c for i, c in enumerate(columns) if c in texts and 0 < facts[f"values{i}"] == facts[f"numbers{i}"]]
+    if not texts:
+        return df
+    read = {c: F.col(c).cast("string") for c in texts}
+    read |= {c: round_half_even(number(read[c]), 2) for c in numbers}
+    return unseal(df, texts, key).withColumns(read)

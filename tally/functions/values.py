@@ -9,10 +9,27 @@ from tally.functions._col import ColumnLike, as_col
 
 # ---------------------------------------------------------------- numbers
 
+# --- fixed values: what counts as a number in a text ---
+_DIGITS = r"[0-9](?:_?[0-9])*"
+NUMBER = (
+    rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:nan|inf|infinity))$"
+)
+_OUTER_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+
+def number(value: ColumnLike) -> Column:
+    """Text to double, null when it is no number.
+
+    Outer blanks of any script and single underscores between digits are
+    allowed; a cast alone would take suffixes such as ``5d`` as well.
+    """
+    text = F.regexp_replace(as_col(value).cast("string"), _OUTER_BLANKS, "")
+    return F.when(text.rlike(NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+
 
 def safe_float(value: ColumnLike, default: float = 0.0) -> Column:
     """Text or number to double; null, empty and unparseable give ``default``."""
-    return F.coalesce(as_col(value).try_cast("double"), F.lit(default))
+    return F.coalesce(number(value), F.lit(default))
 
 
 def european_float(value: ColumnLike, default: float = 0.0) -> Column:
@@ -76,26 +93,33 @@ def header_text(value: ColumnLike) -> Column:
     return F.lower(F.trim(F.regexp_replace(text_or_empty(value), r"(?U)\s+", " ")))
 
 
+# --- fixed values: suffixes that brokers put behind a ticker ---
+BROKER_SUFFIX = r"(?s)^(.*?)(_EQ|_ETF)$"
+MARKET_SUFFIX = r"(?s)^(.+)_([A-Z]{2})$"
+EXCHANGE_LETTER = r"(?s)^(.+)[a-z]$"
+
+
 def normalize_ticker(value: ColumnLike) -> Column:
     """Strip a broker suffix, then a two-letter market or one exchange letter."""
     ticker = as_col(value)
-    stripped = F.regexp_replace(ticker, r"(?s)^(.*?)(_EQ|_ETF)$", "$1")
-    market = r"(?s)^(.+)_([A-Z]{2})$"
+    stripped = F.regexp_replace(ticker, BROKER_SUFFIX, "$1")
     return (
         F.when(ticker.startswith("CASH "), ticker)
-        .when(stripped.rlike(market), F.regexp_replace(stripped, market, "$1"))
-        .when(stripped != ticker, F.regexp_replace(stripped, r"(?s)^(.+)[a-z]$", "$1"))
+        .when(stripped.rlike(MARKET_SUFFIX), F.regexp_replace(stripped, MARKET_SUFFIX, "$1"))
+        .when(stripped != ticker, F.regexp_replace(stripped, EXCHANGE_LETTER, "$1"))
         .otherwise(ticker)
     )
 
 
+# --- fixed value: the form of a trade's comment ---
+TRADE_COMMENT = r"^(?:OPEN|CLOSE)\s+(BUY|SELL)\s+(\d+(?:\.\d+)?)\s+@\s+(\d+(?:\.\d+)?)"
+
+
 def trade_comment(value: ColumnLike) -> dict[str, Column]:
     """``OPEN|CLOSE side qty @ price`` to side, quantity and price; null when it does not match."""
     text = F.trim(as_col(value))
-    pattern = r"^(?:OPEN|CLOSE)\s+(BUY|SELL)\s+(\d+(?:\.\d+)?)\s+@\s+(\d+(?:\.\d+)?)"
-
     def part(i: int) -> Column:
-        return F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
+        return F.nullif(F.regexp_extract(text, TRADE_COMMENT, i), F.lit(""))
 
     return {
         "side": part(1),
@@ -128,13 +152,16 @@ def event_hash(source: ColumnLike, account: ColumnLike, *fields: ColumnLike) ->
 # ---------------------------------------------------------------- dates
 
 
+# --- fixed values: compact forms of dates and times ---
+COMPACT_TIME = r"^(\d{4})(\d{2})(\d{2});(\d{2})(\d{2})(\d{2})$"
+COMPACT_DATE = r"^(\d{4})(\d{2})(\d{2})$"
+
+
 def iso_datetime(value: ColumnLike) -> Column:
     """``YYYYMMDD`` and ``YYYYMMDD;HHMMSS`` to ISO 8601; anything else unchanged."""
     text = as_col(value)
-    with_time = F.regexp_replace(
-        text, r"^(\d{4})(\d{2})(\d{2});(\d{2})(\d{2})(\d{2})$", "$1-$2-$3T$4:$5:$6Z"
-    )
-    return F.regexp_replace(with_time, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3T00:00:00Z")
+    with_time = F.regexp_replace(text, COMPACT_TIME, "$1-$2-$3T$4:$5:$6Z")
+    return F.regexp_replace(with_time, COMPACT_DATE, "$1-$2-$3T00:00:00Z")
 
 
 # What a rewritten event time must look like to count.
@@ -169,13 +196,26 @@ def period_quarter(moment: ColumnLike) -> Column:
     )
 
 
+# --- fixed value: the serial of 10000-01-01 in the 1900 date system ---
+LAST_SERIAL = 2958466
+
+
+def is_date_serial(value: ColumnLike) -> Column:
+    """Whether a cell text is a workbook date (null counts as no date)."""
+    serial = number(value)
+    return F.coalesce((serial >= 0) & (serial < LAST_SERIAL), F.lit(False))
+
+
 def excel_timestamp(value: ColumnLike) -> Column:
-    """Workbook date serial to a UTC timestamp, to the millisecond; null when not a number.
+    """Workbook date serial to a UTC timestamp, to the millisecond; null when it is no date.
+
+    A date is a number from 0 up to the end of the year 9999.
 
     The 1900 date system counts a 29 February 1900 that never was, so serials
     below 60 are shifted by a day.
     """
-    serial = as_col(value).try_cast("double")
+    serial = number(value)
+    serial = F.when((serial >= 0) & (serial < LAST_SERIAL), serial)
     days = F.floor(serial) + F.when(serial < 60, F.lit(1)).otherwise(F.lit(0)) - F.lit(25569)
     millis = F.rint((serial - F.floor(serial)) * F.lit(86400000.0)).cast("long")
     return F.timestamp_micros((days * F.lit(86400000) + millis) * F.lit(1000))

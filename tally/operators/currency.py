@@ -14,8 +14,6 @@ from tally.schemas import DEFAULT_TARGET
 # --- fixed values: minor currency units, (major currency, units per major) ---
 MINOR_UNITS = {"GBX": ("GBP", 100)}
 
-_LISTED = 100
-
 
 class ConversionError(ValueError):
     """A currency that cannot be converted to the target."""
@@ -136,8 +134,8 @@ def convert(
 
 
 def _names(df: DataFrame, column: str) -> list[str]:
-    rows = df.select(column).distinct().orderBy(column).limit(_LISTED).collect()
-    return [r[0] for r in rows]
+    """All distinct values, for an error that must name each of them."""
+    return [r[0] for r in df.select(column).distinct().orderBy(column).collect()]
 
 
 def unconvertible(

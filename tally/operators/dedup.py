@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tally.operators.shaping import join_checked, keys_of, match_keys
+from tally.operators.shaping import keys_of, match_keys
 
 RAW_KEY = ("broker", "source", "payload_hash")
 IBKR_EVENT_KEY = ("event_id",)
@@ -62,11 +62,13 @@ def latest_per_source(df: DataFrame, key: str = "source", newest: str = "fetched
     """All rows of the latest fetch of every source.
 
     The maxima are a map-side aggregate over two pruned columns and join back to
-    the rows, so a source that holds most rows is never gathered in one task.
+    the rows, so a source that holds most rows is never gathered in one task:
+    adaptive execution broadcasts the maxima when they turn out small and splits
+    a source's rows when they don't.
     """
     latest = df.groupBy(F.col(key).alias("__key")).agg(F.max(newest).alias("__newest"))
     on = df[key].eqNullSafe(latest["__key"]) & (df[newest] == latest["__newest"])
-    return join_checked(df, latest, on, "left_semi")
+    return df.join(latest, on, "left_semi")
 
 
 def drop_known(incoming: DataFrame, existing: DataFrame, keys: Sequence[str] = RAW_KEY) -> DataFrame:

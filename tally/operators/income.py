@@ -32,7 +32,7 @@ def require_target(events: DataFrame, rows: int | None = None) -> DataFrame:
     missing = events.filter(lacks_target())
     rows = missing.count() if rows is None else rows
     if rows:
-        named = [c for c in _names(missing, "security_ccy") if c is not None]
+        named = _names(missing.filter(F.col("security_ccy").isNotNull()), "security_ccy")
         raise MissingTargetError(f"{rows} event(s) without target value or currency (security_ccy: {named})")
     return events
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.operators.shaping import labelled_sum, total
@@ -79,11 +79,12 @@ def passive_income_totals(dividends: DataFrame, interest: DataFrame) -> DataFram
 def cash_flow_grid(cash_flow: DataFrame) -> DataFrame:
     """Every event type in every month that occurs, 0 where there was no flow.
 
-    The month list is one array (a calendar's worth), exploded per event type.
+    The list of types is one array (the mappings give no more than their own
+    vocabulary), exploded per month; months are rows, however many there are.
     """
     flows = cash_flow.groupBy("event_type", "period_month").agg(F.sum("target_value").cast("double").alias("value"))
-    months = total(flows, F.array_sort(F.collect_set("period_month")))
-    cells = flows.select("event_type").distinct().select("event_type", F.explode(months).alias("period_month"))
+    types = total(flows, F.array_sort(F.collect_set("event_type")))
+    cells = flows.select("period_month").distinct().select(F.explode(types).alias("event_type"), "period_month")
     return cells.join(flows, ["event_type", "period_month"], "left").select(
         "event_type", "period_month", F.coalesce("value", F.lit(0.0)).alias("value")
     )
@@ -100,17 +101,20 @@ def cash_flow_outliers(peaks: DataFrame, ratio: float = OUTLIER_RATIO) -> DataFr
 
     The baseline of a row is the smallest other non-zero peak, but at least
     ``max / ratio²``. The two smallest non-zero peaks are enough to know every
-    row's smallest other one. There are as many peaks as event types, ten at most.
+    row's smallest other one; two aggregates find them.
     """
-    positive = F.when(F.col("peak") > 0, F.col("peak"))
-    facts = peaks.agg(
+    lowest = total(peaks, F.min(F.when(F.col("peak") > 0, F.col("peak"))))
+    facts = peaks.withColumn("lowest", lowest).agg(
         F.struct(
-            F.slice(F.array_sort(F.collect_list(positive)), 1, 2).alias("lowest"),
+            F.min("lowest").alias("lowest"),
+            F.count_if(F.col("peak") == F.col("lowest")).alias("at_lowest"),
+            F.min(F.when(F.col("peak") > F.col("lowest"), F.col("peak"))).alias("next"),
             F.max("peak").alias("highest"),
             F.count(F.lit(1)).alias("types"),
         ).alias("facts")
     ).scalar()
-    first, second = F.get("facts.lowest", F.lit(0)), F.get("facts.lowest", F.lit(1))
+    first = F.col("facts.lowest")
+    second = F.when(F.col("facts.at_lowest") > 1, first).otherwise(F.col("facts.next"))
     other = F.when(F.col("peak") == first, second).otherwise(first)
     floor = F.greatest("facts.highest", F.lit(0.0)) / F.lit(ratio * ratio)
     outlier = (F.col("facts.types") >= 2) & other.isNotNull() & (F.col("peak") > F.lit(ratio) * F.greatest(other, floor))
@@ -126,10 +130,12 @@ def latest_results_first(quality: DataFrame) -> DataFrame:
 
 
 def _value_share(holdings: DataFrame, key: str) -> DataFrame:
-    grouped = holdings.groupBy(key).agg(F.sum("target_value").cast("double").alias("total"))
-    whole = total(holdings, F.sum("target_value").cast("double"))
-    share = F.coalesce(F.try_divide(F.col("total"), whole) * F.lit(100.0), F.lit(0.0))
-    return grouped.select(key, "total", share.alias("share"))
+    """Per key the value and its share of the whole, which is summed from the groups: holdings are read once."""
+    grouped = holdings.groupBy(key).agg(F.sum("target_value").alias("value"))
+    whole = F.sum("value").over(Window.partitionBy()).cast("double")
+    value = F.col("value").cast("double")
+    share = F.coalesce(F.try_divide(value, whole) * F.lit(100.0), F.lit(0.0))
+    return grouped.select(key, value.alias("total"), share.alias("share"))
 
 
 def summary_by_broker(holdings: DataFrame) -> DataFrame:

@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A table is broadcast only after it was counted and found at most this long.
-BROADCAST_ROWS = 100_000
-
 
 def conform(df: DataFrame, schema: T.StructType, **stamps: Column) -> DataFrame:
     """Columns of ``schema`` in order and type; absent ones become null.
@@ -43,23 +40,6 @@ def union_all(frames: Iterable[DataFrame | None], spark: SparkSession, schema: T
     return reduce(DataFrame.unionByName, present) if present else empty(spark, schema)
 
 
-def is_short(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops counting just above that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def join_checked(
-    big: DataFrame, small: DataFrame, on: Column | list[str], how: str, rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join a side that is usually tiny.
-
-    It is broadcast when its counted length is within ``rows``, which keeps the
-    big side in place. Otherwise it is a shuffle join whose hot keys adaptive
-    execution splits (skew join).
-    """
-    return big.join(F.broadcast(small) if is_short(small, rows) else small, on, how)
-
-
 def keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys under names of their own, ready for :func:`match_keys`."""
     return df.select([F.col(k).alias(f"__other_{k}") for k in keys]).distinct()
@@ -70,15 +50,6 @@ def match_keys(df: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(f"__other_{k}")) for k in keys])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Ahead of heavy row-wise work: use all cores when the scan has fewer splits than that.
-
-    A large table has more splits than cores and is left where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def row_struct(fields: dict[str, Column], schema: T.StructType) -> Column:
     """A struct of the schema's columns; those without a field are null."""
     return F.struct(

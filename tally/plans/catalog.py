@@ -296,11 +296,17 @@ def _(spark, d):
 @register(
     "safe_and_european_float",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS european,
-      CASE WHEN l_linenumber = 1 THEN CAST(1 AS DOUBLE) ELSE l_discount END AS safe FROM lineitem""",
+      CASE WHEN l_linenumber <= 2 THEN CAST(1 AS DOUBLE) WHEN l_linenumber = 3 THEN CAST(1000 AS DOUBLE)
+        ELSE l_discount END AS safe FROM lineitem""",
 )
 def _(spark, d):
     comma = F.concat(F.lit(" "), F.translate(F.col("l_extendedprice").cast("string"), ".", ","), F.lit(" "))
-    text = F.when(F.col("l_linenumber") == 1, F.lit("n/a")).otherwise(F.col("l_discount").cast("string"))
+    line, discount = F.col("l_linenumber"), F.col("l_discount").cast("string")
+    # a suffix is no number; an underscore within one, and odd blanks around it, are allowed
+    text = (
+        F.when(line == 1, F.lit("n/a")).when(line == 2, F.concat(discount, F.lit("d"))).when(line == 3, F.lit("\u2003+1_0.0e2\u00a0"))
+        .otherwise(F.concat(F.lit("\t"), discount, F.lit("\u00a0")))
+    )
     return L.table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         V.european_float(comma).alias("european"), V.safe_float(text, 1.0).alias("safe"),
@@ -309,12 +315,14 @@ def _(spark, d):
 
 @register(
     "excel_serial_timestamp",
-    f"SELECT event_id, strftime(date_trunc('milliseconds', ts), '{STAMP}') AS at FROM events",
+    f"SELECT event_id, CASE WHEN event_id % 9 > 2 THEN strftime(date_trunc('milliseconds', ts), '{STAMP}') END AS at FROM events",
 )
 def _(spark, d):
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
     serial = (millis.cast("double") / F.lit(86400000.0) + F.lit(25569.0)).cast("string")
-    rows = L.table(spark, d, "events").select("event_id", V.excel_timestamp(serial).alias("at"))
+    kind = F.col("event_id") % 9
+    text = F.when(kind == 0, F.lit("nan")).when(kind == 1, F.lit("soon")).when(kind == 2, F.lit("4e9")).otherwise(serial)
+    rows = L.table(spark, d, "events").select("event_id", V.excel_timestamp(text).alias("at"))
     return rows.select("event_id", stamp("at"))
 
 
@@ -355,7 +363,7 @@ def _(spark, d):
 )
 def _(spark, d):
     key = F.expr(
-        "concat('s3://box/in/PLN_', CASE WHEN o_orderkey % 3 < 2 THEN '' ELSE 'x' END, o_custkey, '_a+b%20c.xlsx')"
+        "concat('landing/xtb/PLN_', CASE WHEN o_orderkey % 3 < 2 THEN '' ELSE 'x' END, o_custkey, '_a+b%20c.xlsx')"
     )
     return L.table(spark, d, "orders").select(
         "o_orderkey", V.account_from_file_name(key).alias("account_id"), V.file_name(key).alias("file_name")
@@ -582,14 +590,13 @@ def _(spark, d):
 
 
 def _daily_flows(spark, d) -> DataFrame:
-    """Cash flows with the day as period, and some types missing on some days."""
+    """Cash flows with the minute as period, in which types are missing here and there."""
     rows = normalize_currency(L.ledger(spark, d), L.rates(spark), L.TARGET, check=False)
-    sparse = rows.filter("event_type = 'TRADE' OR day(fetched_at) % 3 <> 0")
-    return sparse.withColumn("period_month", F.date_format("fetched_at", "yyyy-MM-dd"))
+    return rows.withColumn("period_month", F.date_format("fetched_at", "yyyy-MM-dd HH:mm"))
 
 
-_FLOWS_SQL = f"""WITH {L.CONVERTED_SQL}, flows AS (SELECT event_type, strftime(fetched_at, '%Y-%m-%d') AS period_month,
-      CAST(sum(target_value) AS DOUBLE) AS value FROM converted WHERE event_type = 'TRADE' OR day(fetched_at) % 3 <> 0 GROUP BY 1, 2)"""
+_FLOWS_SQL = f"""WITH {L.CONVERTED_SQL}, flows AS (SELECT event_type, strftime(fetched_at, '%Y-%m-%d %H:%M') AS period_month,
+      CAST(sum(target_value) AS DOUBLE) AS value FROM converted GROUP BY 1, 2)"""
 
 
 @register(
@@ -647,13 +654,13 @@ def _(spark, d):
     f"""WITH {L.HOLDINGS_SQL}, {L.LEDGER_SQL}
     SELECT DISTINCT 'broker' AS kind, broker AS value FROM held WHERE broker NOT IN (SELECT broker FROM ledger)
     UNION ALL
-    SELECT DISTINCT 'currency', target_ccy FROM consolidated WHERE target_ccy NOT IN (SELECT security_ccy FROM ledger WHERE security_ccy <> 'EUR')""",
+    SELECT DISTINCT 'currency', target_ccy FROM consolidated WHERE target_ccy NOT IN (SELECT security_ccy FROM ledger)""",
 )
 def _(spark, d):
     held = L.consolidated(spark, d)
     events = L.ledger(spark, d)
     brokers = uncovered(held, events, "broker", "broker").withColumn("kind", F.lit("broker"))
-    codes = uncovered(held, events.filter("security_ccy <> 'EUR'"), "target_ccy", "security_ccy")
+    codes = uncovered(held, events, "target_ccy", "security_ccy")
     return brokers.unionByName(codes.withColumn("kind", F.lit("currency"))).select("kind", "value")
 
 
@@ -768,7 +775,7 @@ def _(spark, d):
         entry(F.when(F.col("event_id") % 2 == 0, fee).otherwise(other)),
         entry(F.when(F.col("event_id") % 3 == 0, F.lit("FRENCH_TRANSACTION_TAX")).otherwise(other)),
     )
-    pages = L.spread(L.table(spark, d, "events")).select("event_id", F.to_json(taxes).alias("page"))
+    pages = L.dealt(L.table(spark, d, "events")).select("event_id", F.to_json(taxes).alias("page"))
     parsed = pages.select("event_id", F.from_json("page", trading212.TAXES_JSON).alias("taxes"))
     return parsed.select(
         "event_id", trading212.tax_sum(F.col("taxes"), trading212.FEE_NAMES).alias("fee"),
@@ -836,10 +843,17 @@ def _(spark, d):
     return opened.select("doc_id", F.sha2("payload", 256).alias("digest"))
 
 
-@register("crypto_decrypt_all", "SELECT c_custkey, c_acctbal AS money, c_name AS name FROM customer")
+@register(
+    "crypto_decrypt_all",
+    """SELECT c_custkey, c_acctbal AS money, c_name AS name,
+      CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) WHEN c_custkey % 3 = 1 THEN c_name ELSE '7x' END AS mixed FROM customer""",
+)
 def _(spark, d):
-    rows = L.table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("money"), F.col("c_name").alias("name"))
-    sealed = fernet.seal(fernet.encrypt_columns(rows, ["money"], L.DEMO_KEY), ["name"], L.DEMO_KEY)
+    mixed = F.expr("CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey AS STRING) WHEN 1 THEN c_name ELSE '7x' END")
+    rows = L.table(spark, d, "customer").select(
+        "c_custkey", F.col("c_acctbal").alias("money"), F.col("c_name").alias("name"), mixed.alias("mixed")
+    )
+    sealed = fernet.seal(fernet.encrypt_columns(rows, ["money"], L.DEMO_KEY), ["name", "mixed"], L.DEMO_KEY)
     return fernet.decrypt_all(sealed, L.DEMO_KEY)
 
 
@@ -851,7 +865,7 @@ def _(spark, d):
     rows = L.table(spark, d, "customer").select("c_custkey", F.col("c_name").cast("binary").alias("payload"))
     sealed = fernet.encrypt_payload(rows, L.DEMO_KEY)
     broken = sealed.withColumn(
-        "payload", F.when(F.col("c_custkey") % 3 == 0, F.substring("payload", 5, 1000)).otherwise(F.col("payload"))
+        "payload", F.when(F.col("c_custkey") % 3 == 0, F.expr("substring(payload, 5)")).otherwise(F.col("payload"))
     )
     opened = fernet.decrypt_payload(broken, L.DEMO_KEY)
     return opened.agg(F.count(F.lit(1)).alias("rows"), F.count("payload").alias("readable"))

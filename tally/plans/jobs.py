@@ -26,8 +26,8 @@ from tally.schemas import (
     EVENTS, EVENTS_MONEY, FAIL, HOLDINGS_MONEY, INCOME_MONEY, INTEREST_INCOME, PORTFOLIO_HOLDINGS, RAW,
     SNAPSHOT, SNAPSHOT_MONEY, WARN,
 )
-from tally.session import ensure_checkpoint_dir
 from tally.sources.lake import Lake
+from tally.sources.landing import require_sources
 
 log = logging.getLogger(__name__)
 
@@ -61,14 +61,13 @@ def ingest_raw(ledger: Ledger, batch: DataFrame, name: str, hand_on: bool = True
     """Encrypt a batch and append what is new; with ``hand_on``, return the whole encrypted batch.
 
     Tokens differ with every evaluation (random IV), so a batch that is handed
-    on is written out once by a checkpoint; both the append and the caller read
-    that copy, which survives lost executors. It keeps rows that were already
-    stored. Without ``hand_on`` the batch is encrypted and appended in one pass.
+    on is written out once to the shared folder; both the append and the caller
+    read that copy, which survives lost executors. It keeps rows that were
+    already stored, until the caller clears the lake's stash. Without ``hand_on`` the batch is encrypted and appended in one pass.
     """
     sealed = encrypt_payload(conform(batch, RAW), ledger.key)
     if hand_on:
-        ensure_checkpoint_dir(ledger.spark)
-        sealed = sealed.checkpoint(eager=True)
+        sealed = ledger.lake.stash(sealed, f"batch-{name}")
     append_new(ledger.lake, sealed, name)
     return sealed if hand_on else None
 
@@ -76,14 +75,15 @@ def ingest_raw(ledger: Ledger, batch: DataFrame, name: str, hand_on: bool = True
 def append_new(lake: Lake, batch: DataFrame, name: str) -> None:
     """Append the rows whose content is not stored yet.
 
-    When there is nothing to append, a table without rows is still created.
+    When there is nothing to append, a table without rows is still created, and
+    an existing one gets no files.
     """
     existing = lake.find("raw", name)
     fresh = batch if existing is None else drop_known(batch, existing)
-    if existing is None and batch.isEmpty():
-        lake.create(RAW, "raw", name)
-    else:
+    if not fresh.isEmpty():
         lake.append(fresh, "raw", name)
+    elif existing is None:
+        lake.create(RAW, "raw", name)
 
 
 # ---------------------------------------------------------------- broker runs
@@ -134,7 +134,12 @@ def run_broker(
     if not ingested:
         log.info("%s: nothing to ingest, skipped", broker.display_name)
         return 0
-    transform_broker(ledger, broker, current, **events_options)
+    try:
+        if broker.event_sources and "events" in current:
+            require_sources(current["events"], broker.event_sources)  # a part of the history must not replace it
+        transform_broker(ledger, broker, current, **events_options)
+    finally:
+        ledger.lake.clear_stash()
     return validate(ledger, tables=[f"{name}_snapshot", f"{name}_events"], connectors=[name], now=now)
 
 
@@ -221,9 +226,8 @@ def income_rollup(ledger: Ledger) -> DataFrame:
 
     The same pass counts events without target value or currency, and fails on
     them. Only the two summed columns are decrypted. The (small) result is
-    checkpointed, so that building three tables reads the events once.
+    written to the shared folder, so that building three tables reads the events once.
     """
-    ensure_checkpoint_dir(ledger.spark)
     used = (
         "event_type", "event_datetime", "event_id", "broker", "ticker", "isin", "description",
         "security_ccy", "instrument_ccy", "target_ccy", *INCOME_MONEY,
@@ -231,7 +235,7 @@ def income_rollup(ledger: Ledger) -> DataFrame:
     events = ledger.lake.read("normalized", "events").select(*used)
     counted = Observation("targets")
     watched = events.observe(counted, F.count_if(lacks_target()).alias("missing"))
-    base = income_base(with_periods(decrypt_columns(watched, INCOME_MONEY, ledger.key))).checkpoint(eager=True)
+    base = ledger.lake.stash(income_base(with_periods(decrypt_columns(watched, INCOME_MONEY, ledger.key))), "income")
     require_target(events, observed(counted, "missing"))
     return base
 
@@ -272,6 +276,7 @@ def run_analytics(ledger: Ledger, now: datetime | None = None) -> int:
     if rollup is not None:
         for name in _INCOME:
             attempt(name, lambda name=name: build_income(ledger, name, now, rollup))
+    ledger.lake.clear_stash()
     return failed
 
 

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from tally.operators.currency import normalize_currency, rates_frame
 from tally.operators.holdings import consolidate_holdings, portfolio_holdings
 from tally.operators.income import with_periods
-from tally.operators.shaping import spread
 
 TARGET = "EUR"
 DEMO_KEY = "cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4="
@@ -208,9 +207,14 @@ def gold_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- payload rows
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of the test tables, which come in one row group, over as many tasks as the session has shuffle partitions."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def raw_from(rows: DataFrame, broker: str, source: str, text: str, fetched: str = "TIMESTAMP'2024-01-01 00:00:00'") -> DataFrame:
     """Plain (not encrypted) raw rows whose payload is the expression ``text``."""
-    made = spread(rows).selectExpr(
+    made = dealt(rows).selectExpr(
         f"{fetched} AS fetched_at", f"'{broker}' AS broker", f"{source} AS source", f"CAST({text} AS BINARY) AS payload"
     )
     return made.withColumns({"payload_hash": F.sha2("payload", 256), "source_file": F.lit("")})
@@ -493,7 +497,7 @@ def customer_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pd.DataFrame({"c_custkey": b.c_custkey, "payload": books})
 
     columns = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    made = spread(columns).mapInPandas(build, "c_custkey bigint, payload binary")
+    made = dealt(columns).mapInPandas(build, "c_custkey bigint, payload binary")
     return made.selectExpr(
         "TIMESTAMP'2024-01-01 00:00:00' AS fetched_at", "'XTB' AS broker", "'XTB_REPORT' AS source", "payload",
         "CAST(c_custkey AS STRING) AS payload_hash",

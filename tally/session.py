@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Key literals appear in plan text as binary/hex literals; keep them out of
@@ -37,11 +35,3 @@ def use_utc(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; make one only where none is named."""
-    if spark.sparkContext.getCheckpointDir() is not None:
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tally-checkpoint-"))

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.operators.shaping import empty
-from tally.schemas import LAYERS
+from tally.schemas import LAYERS, RAW
+
+# Columns that the tables of a layer are partitioned by: each transform reads the sources it maps, no others.
+PARTITIONS = {"raw": ("source",)}
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def parse_alias(alias: str) -> tuple[str, str] | None:
@@ -29,6 +35,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
+        self._stashed: list[str] = []
 
     # ------------------------------------------------------------ paths
 
@@ -45,19 +52,28 @@ class Lake:
         return fs.exists(target)
 
     def exists(self, layer: str, name: str) -> bool:
-        self._finish_swap(self.path(layer, name))
-        return self._present(self.path(layer, name))
+        """One look where the table is there; the traces of a broken swap are looked for only where it isn't."""
+        path = self.path(layer, name)
+        return self._present(path) or self._finish_swap(path)
 
     # ------------------------------------------------------------ reading
 
     def read(self, layer: str, name: str) -> DataFrame:
         """The table, or :class:`FileNotFoundError` when there is none."""
-        if not self.exists(layer, name):
+        found = self.find(layer, name)
+        if found is None:
             raise FileNotFoundError(f"no table {name} in layer {layer} under {self.root}")
-        return self.spark.read.format(self.fmt).load(self.path(layer, name))
+        return found
 
     def find(self, layer: str, name: str) -> DataFrame | None:
-        return self.read(layer, name) if self.exists(layer, name) else None
+        if not self.exists(layer, name):
+            return None
+        table = self.spark.read.format(self.fmt).load(self.path(layer, name))
+        if layer not in PARTITIONS:
+            return table
+        # a reader puts partition columns last, and knows no type where all of their values are null
+        own = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in PARTITIONS[layer] else F.col(f.name) for f in RAW if f.name in table.columns]
+        return table.select(*own, *[c for c in table.columns if c not in RAW.names])
 
     def read_or_empty(self, layer: str, name: str, schema: T.StructType) -> DataFrame:
         found = self.find(layer, name)
@@ -65,13 +81,44 @@ class Lake:
 
     # ------------------------------------------------------------ writing
 
-    def append(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
-        df.write.format(self.fmt).mode("append").partitionBy(*partition_by).save(self.path(layer, name))
+    @staticmethod
+    def _parts(columns: Sequence[str], layer: str, partition_by: Sequence[str] | None) -> list[str]:
+        return [c for c in (PARTITIONS.get(layer, ()) if partition_by is None else partition_by) if c in columns]
+
+    def append(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] | None = None) -> None:
+        parts = self._parts(df.columns, layer, partition_by)
+        df.write.format(self.fmt).mode("append").partitionBy(*parts).save(self.path(layer, name))
 
     def create(self, schema: T.StructType, layer: str, name: str) -> None:
         """A table with columns and no rows, unless there is one already."""
-        if not self.exists(layer, name):
+        if self.exists(layer, name):
+            return
+        parts = self._parts(schema.names, layer, None)
+        if not parts or not self.swaps:
             self.append(empty(self.spark, schema).coalesce(1), layer, name)
+            return
+        # a partitioned write of no rows leaves no file; one without rows below a partition keeps the columns
+        below = "/".join([self.path(layer, name), *(f"{c}={_NO_VALUE}" for c in parts)])
+        empty(self.spark, schema).drop(*parts).coalesce(1).write.format(self.fmt).save(below)
+
+    # ------------------------------------------------------------ copies on the way
+
+    def stash(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows of ``df`` computed once, written to the shared folder and read back.
+
+        The folder is the one that the session names in ``spark.checkpoint.dir``, else one below the lake, which
+        every executor reaches. :meth:`clear_stash` deletes what this lake has put there.
+        """
+        base = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.root}/_stash"
+        path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self._stashed.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear_stash(self) -> None:
+        while self._stashed:
+            fs, target = self._fs(self._stashed.pop())
+            fs.delete(target, True)
 
     @property
     def swaps(self) -> bool:
@@ -79,7 +126,7 @@ class Lake:
         return self.fmt != "delta"
 
     def overwrite(
-        self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = (),
+        self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] | None = None,
         approve: Callable[[], None] | None = None,
     ) -> None:
         """Replace the whole table, its schema included.
@@ -88,24 +135,29 @@ class Lake:
         ``df`` may read the table it replaces and a failed job leaves it intact.
         ``approve`` runs between the two and keeps the old table by raising.
         """
-        path = self.path(layer, name)
+        path, parts = self.path(layer, name), self._parts(df.columns, layer, partition_by)
         if not self.swaps:
             writer = df.write.format("delta").mode("overwrite").option("overwriteSchema", "true")
-            writer.partitionBy(*partition_by).save(path)
+            writer.partitionBy(*parts).save(path)
             return
         self._finish_swap(path)
-        df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}__pending")
+        df.write.format(self.fmt).mode("overwrite").partitionBy(*parts).save(f"{path}__pending")
         if approve:
             approve()
         self._rename(f"{path}__pending", f"{path}__new")
         self._swap(path)
         self.spark.catalog.refreshByPath(path)
 
+    def _move(self, fs, old, new) -> None:
+        """A rename that fails is an error, never a table inside another."""
+        if not fs.rename(old, new):
+            raise OSError(f"could not rename {old} to {new}")
+
     def _rename(self, old: str, new: str) -> None:
         fs, target = self._fs(new)
         if fs.exists(target):
             fs.delete(target, True)
-        fs.rename(self._fs(old)[1], target)
+        self._move(fs, self._fs(old)[1], target)
 
     def _swap(self, path: str) -> None:
         fs, target = self._fs(path)
@@ -114,15 +166,17 @@ class Lake:
         if fs.exists(target):
             if fs.exists(old):
                 fs.delete(old, True)
-            fs.rename(target, old)
-        fs.rename(new, target)
+            self._move(fs, target, old)
+        self._move(fs, new, target)
         if fs.exists(old):
             fs.delete(old, True)
 
-    def _finish_swap(self, path: str) -> None:
-        """Complete a swap that stopped between its two renames."""
+    def _finish_swap(self, path: str) -> bool:
+        """Complete a swap that stopped between its two renames; whether there is a table now."""
         if self.swaps and not self._present(path) and self._present(f"{path}__new/_SUCCESS"):
             self._swap(path)
+            return True
+        return False
 
     # ------------------------------------------------------------ catalog
 
@@ -163,20 +217,17 @@ class Lake:
         return self.spark.sql(text)
 
 
+_ALL = 1 << 30  # rows of a table that is shown whole
+
+
 def export(df: DataFrame, fmt: str = "table", path: str | None = None, limit: int | None = None) -> None:
-    """Show a result, or write it as csv or json files."""
+    """Show a result whole (or its first ``limit`` rows), or write it as csv or json files."""
     shown = df if limit is None else df.limit(limit)
     if fmt == "table":
-        shown.show(limit or 100, truncate=100)
+        shown.show(limit or _ALL, truncate=False)
     elif fmt == "csv":
         shown.write.mode("overwrite").option("header", "true").csv(path)
     elif fmt == "json":
         shown.write.mode("overwrite").json(path)
     else:
         raise ValueError(f"unknown export format {fmt!r}")
-
-
-def read_all(lake: Lake, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """The named tables that exist."""
-    found = {name: lake.find(layer, name) for name in names}
-    return {name: df for name, df in found.items() if df is not None}

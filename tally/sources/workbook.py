@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.functions.values import european_float, header_text, round_exact
-from tally.operators.shaping import join_checked
+from tally.functions.values import european_float, header_text, is_date_serial, round_exact
 
 # --- fixed values: sheets by name fragment, header signatures, cell positions ---
 SHEETS = {"open_rows": "open position", "cash_rows": "cash operation", "closed_rows": "closed position"}
@@ -290,7 +289,7 @@ def closed_positions(rows: Column) -> Column:
 
 def _bad_date(rows: Column, index: int) -> Column:
     """A filled date cell that is no date."""
-    bad = F.exists(rows, lambda r: ~_blank(r, index) & cell(r, index).try_cast("double").isNull())
+    bad = F.exists(rows, lambda r: ~_blank(r, index) & ~is_date_serial(cell(r, index)))
     return F.coalesce(bad, F.lit(False))
 
 
@@ -343,7 +342,8 @@ def locate_body(rows: DataFrame, keys: list[str], signature: Column, order: str
     """Long cell rows below their sheet's header row.
 
     The header row is a map-side aggregate over signature rows only and joins
-    back, so that one large sheet is not gathered in one task.
+    back, so that one large sheet is not gathered in one task. How the sides
+    meet is left to adaptive execution.
     """
     header = rows.filter(signature).groupBy(*keys).agg(F.min(order).alias("header_idx"))
-    return join_checked(rows, header, keys, "inner").filter(F.col(order) > F.col("header_idx"))
+    return rows.join(header, keys).filter(F.col(order) > F.col("header_idx"))

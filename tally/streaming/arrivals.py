@@ -45,8 +45,6 @@ def ingest_arrivals(
         stamp = F.col("modificationTime") if fetched_at is None else F.lit(fetched_at).cast("timestamp")
         rows = raw_rows(batch.withColumn("__at", stamp), broker, kind, file_name("path"), stamp=F.col("__at"))
         append_new(ledger.lake, encrypt_payload(conform(rows, RAW), ledger.key), broker)
-        if rebuild:
-            transform_broker(ledger, BROKERS[broker])
 
     query = (
         arriving_files(ledger, path, glob)
@@ -56,4 +54,6 @@ def ingest_arrivals(
         .start()
     )
     query.awaitTermination()
+    if rebuild:  # once, however many batches the arrivals took
+        transform_broker(ledger, BROKERS[broker])
     return query

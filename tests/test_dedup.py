@@ -20,8 +20,16 @@ def test_latest_per_source_gathers_no_source(spark):
     assert "Window" not in plan_of(D.latest_per_source(df))
 
 
-def test_latest_per_source_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr(D, "join_checked", lambda big, small, on, how: big.join(small.hint("merge"), on, how))
+def test_latest_per_source_without_broadcast(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        _latest_per_source_equals_brute_force(spark)
+    finally:
+        spark.conf.unset(threshold)
+
+
+def _latest_per_source_equals_brute_force(spark):
     df = spark.createDataFrame([(i % 7, f"s{i % 50}", i) for i in range(1000)], "fetched_at long, source string, id long")
     best = {}
     for r in df.collect():

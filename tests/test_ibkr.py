@@ -6,7 +6,7 @@ from tally.schemas import EVENTS, SNAPSHOT, plain
 from tally.sources.xml_statements import conversion_rates
 
 from .conftest import KEY, has_schema, rows
-from .payloads import DAY1, DAY2, element, events_xml, raw, raw_row, snapshot_xml, statement
+from .payloads import ACCOUNT, DAY1, DAY2, element, events_xml, raw, raw_row, snapshot_xml, statement
 
 
 def one(spark, xml, source="flex_events"):
@@ -17,11 +17,11 @@ def test_snapshot_golden(spark):
     df = ibkr.snapshot(encrypt_payload(one(spark, snapshot_xml(), "flex"), KEY), KEY)
     assert has_schema(df, plain(SNAPSHOT))
     assert rows(df, "label", "position_type", "asset_class", "security_value", "security_ccy", "isin", "account_id") == [
-        ("AAPL", "EQUITY", "STK", 3000.0, "USD", "US0378331005", "U123456"),
-        ("BOND01", "EQUITY", "BOND", 2500.0, "EUR", "", "U123456"),
-        ("CASH EUR", "CASH", "CASH", 2000.0, "EUR", "", "U123456"),
-        ("SPY 20251219 C400", "EQUITY", "OPT", 500.0, "USD", "", "U123456"),
-        ("VWCE", "EQUITY", "STK", 5000.0, "EUR", "IE00BK5BQT80", "U123456"),
+        ("CASH EUR", "CASH", "CASH", 615.4, "EUR", "", ACCOUNT),
+        ("HELIO", "EQUITY", "STK", 880.0, "EUR", "XX0000000001", ACCOUNT),
+        ("NORDX", "EQUITY", "STK", 1725.5, "USD", "XX0000000002", ACCOUNT),
+        ("OATX31", "EQUITY", "BOND", 3940.0, "EUR", "", ACCOUNT),
+        ("QBT-270115-P55", "EQUITY", "OPT", 310.25, "USD", "", ACCOUNT),
     ]
 
 
@@ -71,18 +71,18 @@ def test_events_golden(spark):
     assert len(fee_id) == 16
     assert got == sorted(
         [
-            ("e001", "TRADE", -1501.0, "USD", "2026-01-15T10:30:00Z", 0.9),
-            ("CT001", "DIVIDEND", 42.5, "EUR", "2026-03-01T00:00:00Z", 1.0),
-            ("CT002", "INTEREST", 35.0, "USD", "2026-04-01T00:00:00Z", 0.9),
-            ("CT003", "DEPOSIT", 5000.0, "EUR", "2026-05-01T00:00:00Z", 1.0),
-            ("CT004", "WITHDRAWAL", -2000.0, "EUR", "2026-05-15T00:00:00Z", 1.0),
-            ("TR001", "TRANSFER", 0.0, "USD", "2026-02-10T12:00:00Z", 0.9),
-            (fee_id, "FEE", 0.05, "USD", "2026-01-15T00:00:00Z", 0.9),
+            (fee_id, "FEE", 0.35, "USD", "2025-03-10T00:00:00Z", 0.8),
+            ("tr-9", "TRANSFER", 0.0, "USD", "2025-03-17T08:15:00Z", 0.8),
+            ("ct-1", "WITHDRAWAL", -640.0, "EUR", "2025-04-04T00:00:00Z", 1.0),
+            ("ct-2", "DIVIDEND", 18.36, "EUR", "2025-03-21T00:00:00Z", 1.0),
+            ("ct-3", "DEPOSIT", 2500.0, "EUR", "2025-04-02T00:00:00Z", 1.0),
+            ("ct-4", "INTEREST", 7.12, "USD", "2025-03-28T00:00:00Z", 0.8),
+            ("xq77", "TRADE", -375.75, "USD", "2025-03-10T14:45:01Z", 0.8),
         ],
         key=repr,
     )
-    trade = df.filter("event_id = 'e001'").first()
-    assert (trade.quantity, trade.price, trade.side, trade.fee_amount, trade.settle_date) == (10.0, 150.0, "BUY", 1.0, "2026-01-17T00:00:00Z")
+    trade = df.filter("event_id = 'xq77'").first()
+    assert (trade.quantity, trade.price, trade.side, trade.fee_amount, trade.settle_date) == (12.0, 31.25, "BUY", 0.75, "2025-03-12T00:00:00Z")
 
 
 def test_broker_rate_only_when_base_is_target(spark):
@@ -93,12 +93,12 @@ def test_broker_rate_only_when_base_is_target(spark):
 def test_newest_version_of_an_event_wins(spark):
     df = raw(
         spark,
-        raw_row("IBKR", "flex_events", events_xml(amount="42.50"), DAY1),
-        raw_row("IBKR", "flex_events", events_xml(amount="43.00"), DAY2),
+        raw_row("IBKR", "flex_events", events_xml(amount="18.36"), DAY1),
+        raw_row("IBKR", "flex_events", events_xml(amount="19.00"), DAY2),
     )
     out = ibkr.events(df)
     assert out.count() == 7
-    assert rows(out.filter("event_id = 'CT001'"), "cash_amount") == [(43.0,)]
+    assert rows(out.filter("event_id = 'ct-2'"), "cash_amount") == [(19.0,)]
 
 
 @pytest.mark.parametrize(
@@ -126,7 +126,7 @@ def test_paper_deposits(spark):
     df = ibkr.events(one(spark, events_xml()), is_paper=True)
     deposit = df.filter("description = 'Initial paper account deposit'").first()
     assert (deposit.event_datetime, deposit.settle_date, deposit.cash_amount, deposit.security_ccy, deposit.target_fx_rate) == (
-        "2026-01-14T00:00:00Z", "2026-01-14", 1_000_000.0, "EUR", 1.0,
+        "2025-03-09T00:00:00Z", "2025-03-09", 1_000_000.0, "EUR", 1.0,
     )
     assert df.count() == 8 and ibkr.events(one(spark, events_xml())).count() == 7
 

@@ -18,7 +18,7 @@ from .payloads import (
     DAY1, DAY2, DEPOSIT, DIVIDEND, ORDER, POSITIONS, SUMMARY, events_xml, page, raw, raw_row, report, snapshot_xml,
 )
 
-XLSX = "PLN_12345678_2006-01-01_2026-08-03.xlsx"
+XLSX = "PLN_70077007_2006-01-01_2026-08-03.xlsx"
 RATES = {"USD": 0.9, "PLN": 0.25, "GBP": 1.2}
 
 
@@ -88,28 +88,28 @@ def test_end_to_end(spark, ledger):
 
     held = decrypt_columns(ledger.lake.read("normalized", "consolidated_holdings"), HOLDINGS_MONEY, KEY)
     assert [(t, round(v, 6), i) for t, v, i in rows(held.filter("broker = 'IBKR'"), "ticker", "target_value", "identifier")] == [
-        ("AAPL", 2700.0, "ISIN:US0378331005"), ("BOND01", 2500.0, "-"), ("CASH EUR", 2000.0, "-"),
-        ("SPY 20251219 C400", 450.0, "-"), ("VWCE", 5000.0, "ISIN:IE00BK5BQT80"),
+        ("CASH EUR", 615.4, "-"), ("HELIO", 880.0, "ISIN:XX0000000001"), ("NORDX", 1552.95, "ISIN:XX0000000002"),
+        ("OATX31", 3940.0, "-"), ("QBT-270115-P55", 279.225, "-"),
     ]
-    assert [t for t, in rows(held.filter("broker = 'XTB'"), "identifier")] == ["TICKER:CASH PLN", "TICKER:SXR8.DE", "TICKER:SXRV.DE"]
+    assert [t for t, in rows(held.filter("broker = 'XTB'"), "identifier")] == ["TICKER:CASH PLN", "TICKER:CBL.DE", "TICKER:FJD.DE"]
 
     events = decrypt_columns(ledger.lake.read("normalized", "events"), EVENTS_MONEY, KEY)
     assert events.count() == 7 + 3 + 6
     converted = {r.event_id: round(r.target_value, 6) for r in events.collect()}
-    assert (converted["e001"], converted["12345"], converted["D1"], converted["X1"], converted["1"]) == (-1350.9, -1350.0, 12.5, 25.0, 2500.0)
+    assert (converted["xq77"], converted["90210"], converted["dv-5"], converted["tx-3"], converted["23"]) == (-300.6, -309.6, 3.2, 72.0, 225.0)
     assert {r[0] for r in rows(events, "target_ccy")} == {"EUR"}
 
     portfolio = ledger.lake.read("analytics", "portfolio_holdings")
     assert abs(sum(r[0] for r in rows(portfolio, "percentage")) - 100) < 0.01
     dividends = decrypt_columns(ledger.lake.read("analytics", "dividend_income"), INCOME_MONEY, KEY)
     assert rows(dividends, "period_month", "broker", "target_value", "event_count") == [
-        ("2024-02", "Trading 212", 12.5, 1), ("2026-03", "IBKR", 42.5, 1),
+        ("2025-02", "Trading 212", 3.2, 1), ("2025-03", "IBKR", 18.36, 1),
     ]
 
     sets = portfolio_report(ledger.lake, KEY)
     assert {r[0] for r in rows(sets["allocation_by_broker"], "broker")} == {"IBKR", "Trading 212", "XTB"}
     assert dict(rows(sets["sections"])) == {"portfolio": True, "passive_income": True, "cash_flow": True}
-    assert dict(rows(sets["passive_income_totals"], "series", "total"))["Dividends"] == 55.0
+    assert dict(rows(sets["passive_income_totals"], "series", "total"))["Dividends"] == pytest.approx(21.56)
     for name, df in sets.items():
         assert df.collect() is not None, name
 
@@ -227,6 +227,6 @@ def test_arrivals_are_ingested_once(spark, ledger, tmp_path):
     (box / "PLN_333_copy.xlsx").write_bytes(report())
     ingest_arrivals(ledger, str(box), check)
     assert ledger.lake.read("raw", "xtb").count() == 2
-    assert rows(ledger.lake.read("normalized", "xtb_events").select("account_id").distinct()) == [("12345678",), ("222",)]
+    assert rows(ledger.lake.read("normalized", "xtb_events").select("account_id").distinct()) == [("222",), ("70077007",)]
     ingest_arrivals(ledger, str(box), str(tmp_path / "other"))  # a replay adds nothing
     assert ledger.lake.read("raw", "xtb").count() == 2

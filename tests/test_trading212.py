@@ -28,9 +28,9 @@ def test_snapshot_golden(spark):
     df = T.snapshot(encrypt_payload(snap(spark), KEY), KEY)
     assert has_schema(df, plain(SNAPSHOT))
     assert rows(df, "label", "security_value", "security_ccy", "asset_class", "account_id", "description") == [
-        ("AAPLu_EQ", 1800.0, "USD", "EQUITY", "", "Apple Inc"),
-        ("CASH PLN", 1500.0, "PLN", "CASH", "", "Cash PLN"),
-        ("VWCEl_EQ", 2500.0, "EUR", "EQUITY", "", "World ETF"),
+        ("CASH GBP", 240.5, "GBP", "CASH", "", "Cash GBP"),
+        ("HELIOl_EQ", 360.0, "EUR", "EQUITY", "", "Helio"),
+        ("NORDXu_EQ", 249.0, "USD", "EQUITY", "", "Nordic"),
     ]
 
 
@@ -42,7 +42,7 @@ def test_snapshot_needs_both_pages(spark):
 def test_snapshot_combines_the_latest_of_each_endpoint(spark):
     newer = raw_row(B, "/equity/positions", json.dumps([position("NEW", "n", "i", "USD", 1, 2)]), DAY2)
     got = rows(T.snapshot(snap(spark, SUMMARY, POSITIONS, newer)), "label", "security_value")
-    assert got == [("CASH PLN", 1500.0), ("NEW", 2.0)]
+    assert got == [("CASH GBP", 240.5), ("NEW", 2.0)]
 
 
 def test_zero_or_missing_cash_gives_no_row(spark):
@@ -55,7 +55,7 @@ def test_zero_or_missing_cash_gives_no_row(spark):
 @pytest.mark.parametrize("broken", [{"quantity": None}, {"currentPrice": None}])
 def test_position_without_price_or_quantity_fails(spark, broken):
     with pytest.raises(Exception, match="position without price or quantity"):
-        T.snapshot(snap(spark, SUMMARY, [POSITIONS[0] | broken])).collect()
+        T.snapshot(snap(spark, SUMMARY, [POSITIONS[1] | broken])).collect()
 
 
 def events(spark, *entries):
@@ -80,8 +80,8 @@ def test_order_golden(spark):
     df = events(spark, raw_row(B, "/equity/history/orders", page([ORDER])))
     assert has_schema(df, plain(EVENTS))
     r = df.first()
-    assert (r.event_id, r.event_type, r.side, r.quantity, r.price, r.cash_amount, r.security_ccy) == ("12345", "TRADE", "BUY", 10.0, 150.0, -1500.0, "USD")
-    assert (r.event_datetime, r.settle_date, r.isin, r.fee_amount, r.tax_amount, r.account_id) == ("2024-01-15T10:30:00Z", "2024-01-15T10:30:01Z", "US0378331007", 0.0, 0.0, "")
+    assert (r.event_id, r.event_type, r.side, r.quantity, r.price, r.cash_amount, r.security_ccy) == ("90210", "TRADE", "BUY", 8.0, 43.0, -344.0, "USD")
+    assert (r.event_datetime, r.settle_date, r.isin, r.fee_amount, r.tax_amount, r.account_id) == ("2025-02-11T08:05:00Z", "2025-02-11T08:05:02Z", "XX0000000002", 0.0, 0.0, "")
 
 
 def test_order_fallbacks_sign_and_fx(spark):
@@ -94,8 +94,8 @@ def test_order_fallbacks_sign_and_fx(spark):
         ],
     )
     r = events(spark, raw_row(B, "/equity/history/orders?cursor=2", page([made], True))).first()
-    assert (r.cash_amount, r.fee_amount, r.tax_amount) == (375.0, 1.25, 0.5)
-    assert (r.quantity, r.ticker, r.event_datetime, r.security_ccy) == (10.0, "AAPL_US_EQ", "2024-01-15T10:30:01Z", "USD")
+    assert (r.cash_amount, r.fee_amount, r.tax_amount) == (86.0, 1.25, 0.5)
+    assert (r.quantity, r.ticker, r.event_datetime, r.security_ccy) == (8.0, "NORDX_US_EQ", "2025-02-11T08:05:02Z", "USD")
     assert r.source == "/equity/history/orders?cursor=2"
 
 
@@ -103,36 +103,36 @@ def test_order_without_fill_or_side(spark):
     made = order(order__side=KeyError)
     del made["fill"]
     r = events(spark, raw_row(B, "/equity/history/orders", page([made]))).first()
-    assert (r.cash_amount, r.price, r.settle_date, r.fee_amount) == (1500.0, None, "2024-01-15T10:30:00Z", 0.0)
+    assert (r.cash_amount, r.price, r.settle_date, r.fee_amount) == (344.0, None, "2025-02-11T08:05:00Z", 0.0)
 
 
 def test_dividends_and_transactions(spark):
-    odd = DIVIDEND | {"reference": "D2", "type": "ORDINARY", "currency": None, "grossAmountPerShare": None}
+    odd = DIVIDEND | {"reference": "dv-6", "type": "ORDINARY", "currency": None, "grossAmountPerShare": None}
     df = events(
         spark,
         raw_row(B, "/equity/history/dividends", page([DIVIDEND, odd], True)),
-        raw_row(B, "/equity/history/transactions", page([DEPOSIT, DEPOSIT | {"reference": "X2", "type": "WITHDRAW", "amount": -1.0}, DEPOSIT | {"reference": "X3", "type": "GIFT"}])),
+        raw_row(B, "/equity/history/transactions", page([DEPOSIT, DEPOSIT | {"reference": "tx-4", "type": "WITHDRAW", "amount": -1.0}, DEPOSIT | {"reference": "tx-5", "type": "GIFT"}])),
     )
     got = rows(df, "event_id", "event_type", "raw_event_type", "cash_amount", "security_ccy", "instrument_ccy", "price")
     assert got == [
-        ("D1", "DIVIDEND", "DIVIDEND", 12.5, "EUR", "USD", 1.25),
-        ("D2", "DIVIDEND", "ORDINARY", 12.5, "USD", "USD", 0.0),
-        ("X1", "DEPOSIT", "DEPOSIT", 100.0, "PLN", None, 0.0),
-        ("X2", "WITHDRAWAL", "WITHDRAW", -1.0, "PLN", None, 0.0),
-        ("X3", "UNKNOWN", "GIFT", 100.0, "PLN", None, 0.0),
+        ("dv-5", "DIVIDEND", "DIVIDEND", 3.2, "EUR", "USD", 0.4),
+        ("dv-6", "DIVIDEND", "ORDINARY", 3.2, "USD", "USD", 0.0),
+        ("tx-3", "DEPOSIT", "DEPOSIT", 60.0, "GBP", None, 0.0),
+        ("tx-4", "WITHDRAWAL", "WITHDRAW", -1.0, "GBP", None, 0.0),
+        ("tx-5", "UNKNOWN", "GIFT", 60.0, "GBP", None, 0.0),
     ]
 
 
 def test_ids_are_scoped_by_event_type_and_newest_wins(spark):
-    same_id = DIVIDEND | {"reference": "12345"}
-    later = order(fill__walletImpact__netValue=1600.0)
+    same_id = DIVIDEND | {"reference": "90210"}
+    later = order(fill__walletImpact__netValue=350.0)
     df = events(
         spark,
         raw_row(B, "/equity/history/orders", page([ORDER]), DAY1),
         raw_row(B, "/equity/history/orders", page([later]), DAY2),
         raw_row(B, "/equity/history/dividends", page([same_id]), DAY1),
     )
-    assert rows(df, "event_type", "cash_amount") == [("DIVIDEND", 12.5), ("TRADE", -1600.0)]
+    assert rows(df, "event_type", "cash_amount") == [("DIVIDEND", 3.2), ("TRADE", -350.0)]
 
 
 def test_unreadable_rows_are_dropped_and_counted(spark):

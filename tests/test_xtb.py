@@ -8,7 +8,7 @@ from tally.sources.workbook import cells, read_workbooks
 from .conftest import KEY, has_schema, rows
 from .payloads import DAY1, DAY2, TIME, raw, raw_row, report
 
-FILE = "PLN_12345678_2006-01-01_2026-08-03.xlsx"
+FILE = "PLN_70077007_2006-01-01_2026-08-03.xlsx"
 
 
 def uploads(spark, *entries):
@@ -23,23 +23,23 @@ def test_snapshot_golden(spark):
     df = xtb.snapshot(encrypt_payload(single(spark), KEY), KEY)
     assert has_schema(df, plain(SNAPSHOT))
     assert rows(df, "label", "position_type", "security_value", "security_ccy", "asset_class", "description", "account_id") == [
-        ("CASH PLN", "CASH", 9821.02, "PLN", "CASH", "Cash PLN", "12345678"),
-        ("SXR8.DE", "EQUITY", 5544.0, "PLN", "ETF", "Core S&P 500", "12345678"),
-        ("SXRV.DE", "EQUITY", 3633.84, "PLN", "ETF", "NASDAQ 100", "12345678"),
+        ("CASH PLN", "CASH", 800.92, "PLN", "CASH", "Cash PLN", "70077007"),
+        ("CBL.DE", "EQUITY", 1208.5, "PLN", "ETF", "Cobalt Fund", "70077007"),
+        ("FJD.DE", "EQUITY", 411.3, "PLN", "ETF", "Fjord Index", "70077007"),
     ]
 
 
 def test_events_golden(spark):
     df = xtb.events(encrypt_payload(single(spark), KEY), KEY)
     assert has_schema(df, plain(EVENTS))
-    at = "2026-08-02T07:00:00+00:00"
+    at = "2025-02-12T09:00:00+00:00"
     assert rows(df, "event_id", "event_type", "cash_amount", "quantity", "price", "side", "fee_amount", "settle_date", "ticker") == [
-        ("1", "DEPOSIT", 10000.0, None, None, None, None, None, ""),
-        ("2", "INTEREST", 100.01, None, None, None, None, None, ""),
-        ("3", "TAX", -19.0, None, None, None, None, None, ""),
-        ("6", "TRANSFER", -1000.0, None, None, None, None, None, ""),
-        ("7", "TRADE", -4300.04, 10.0001, 100.0, "BUY", None, None, "WDG.DE"),
-        ("8", "TRADE", 5040.05, 10.0001, 120.0, "BUY", 12.5, at, "WDG.DE"),
+        ("21", "TRADE", -75.5, 2.5, 30.2, "BUY", None, None, "CBL.DE"),
+        ("22", "TAX", -1.33, None, None, None, None, None, ""),
+        ("23", "DEPOSIT", 900.0, None, None, None, None, None, ""),
+        ("24", "INTEREST", 7.0, None, None, None, None, None, ""),
+        ("25", "TRADE", 91.0, 2.5, 36.4, "BUY", 3.75, at, "CBL.DE"),
+        ("26", "TRANSFER", -120.25, None, None, None, None, None, ""),
     ]
     assert {r[0] for r in rows(df, "event_datetime")} == {at}
     assert rows(xtb.unread_comments(df)) == [(0,)]
@@ -47,17 +47,17 @@ def test_events_golden(spark):
 
 def test_last_closed_row_of_a_position_counts(spark):
     first = [None] * 25
-    first[0], first[8], first[16], first[23] = "Widget", TIME, 1.0, "1111122222"
+    first[0], first[8], first[16], first[23] = "Cobalt Fund", TIME, 1.0, "8800"
     df = xtb.events(single(spark, extra_closed=[first]))
-    assert rows(df.filter("event_id = '8'"), "fee_amount") == [(12.5,)]
+    assert rows(df.filter("event_id = '25'"), "fee_amount") == [(3.75,)]
 
 
 def test_missing_sheets(spark):
     assert rows(xtb.snapshot(single(spark, without=("Cash Operations",))), "position_type") == [("EQUITY",), ("EQUITY",)]
     assert xtb.events(single(spark, without=("Cash Operations",))).count() == 0
-    assert rows(xtb.events(single(spark, without=("Closed Positions",))).filter("event_id = '8'"), "fee_amount") == [(None,)]
+    assert rows(xtb.events(single(spark, without=("Closed Positions",))).filter("event_id = '25'"), "fee_amount") == [(None,)]
     no_open = single(spark, without=("Open Positions",))
-    assert rows(xtb.snapshot(no_open), "label", "security_ccy", "security_value") == [("CASH ", "", 9821.02)]
+    assert rows(xtb.snapshot(no_open), "label", "security_ccy", "security_value") == [("CASH ", "", 800.92)]
 
 
 def test_empty_total_is_zero_cash(spark):
@@ -76,15 +76,18 @@ def test_latest_upload_per_account_with_fallback(spark):
         (report(account="555", ccy="", total=5.0), DAY1, "PLN_555_x.xlsx"),
         (report(account="666", total=6.0, stamp="yesterday"), DAY1, "PLN_666_x.xlsx"),
         (report(account="", total=7.0), DAY1, "nobody.xlsx"),
+        (report(account="777", total=8.0), DAY1, "PLN_777_x.xlsx"),
+        (report(account="777", total=9.0, stamp="nan"), DAY2, "PLN_777_y.xlsx"),
+        (report(account="888", total=9.0, stamp="4e9"), DAY2, "PLN_888_y.xlsx"),
     )
     cash = xtb.snapshot(df).filter("position_type = 'CASH'")
-    assert rows(cash, "account_id", "security_value") == [("12345678", 2.0), ("222", 3.0), ("444", 4.0)]
+    assert rows(cash, "account_id", "security_value") == [("222", 3.0), ("444", 4.0), ("70077007", 2.0), ("777", 8.0)]
     notes = xtb.report_notes(xtb.parsed_reports(df)).first()
-    assert notes.unusable_reports == 4
+    assert notes.unusable_reports == 6
 
 
 def test_same_time_uploads_break_ties_by_file_name(spark):
-    df = uploads(spark, (report(total=1.0), DAY1, "PLN_12345678_a.xlsx"), (report(total=2.0), DAY1, "PLN_12345678_b.xlsx"))
+    df = uploads(spark, (report(total=1.0), DAY1, "PLN_70077007_a.xlsx"), (report(total=2.0), DAY1, "PLN_70077007_b.xlsx"))
     assert (2.0,) in rows(xtb.snapshot(df).filter("position_type = 'CASH'"), "security_value")
 
 
@@ -107,8 +110,8 @@ def test_undecryptable_rows_are_dropped(spark):
 def test_cells_in_long_form(spark):
     body = single(spark).selectExpr("payload_hash", "payload AS body")
     long = cells(read_workbooks(body), ["payload_hash"])
-    assert long.filter("sheet = 'cash operation' AND row_idx = 2").first().cells[0] == "Type"
-    assert long.filter("sheet = 'open position' AND row_idx = 8").first().cells == ["Investment Plan", "Core S&P 500", "SXR8.DE", "ETF", None, "11", "5544.0"]
+    assert long.filter("sheet = 'cash operation' AND row_idx = 1").first().cells[0] == "Type"
+    assert long.filter("sheet = 'open position' AND row_idx = 6").first().cells == ["Plan", "Fjord Index", "FJD.DE", "ETF", None, "3", "411.3"]
 
 
 @pytest.mark.parametrize("raw_type, kind", [*xtb.OPERATION_TYPES.items(), ("Stock sale", "UNKNOWN")])
