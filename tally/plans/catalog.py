@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,19 +13,21 @@ from tally.brokers import ibkr, trading212, xtb
 from tally.functions import fernet
 from tally.functions import values as V
 from tally.operators import report as R
-from tally.operators.currency import convert, normalize_currency, unconvertible
+from tally.operators.currency import convert, normalize_currency, rates_frame, unconvertible
 from tally.operators.dedup import (
     IBKR_EVENT_KEY, LEDGER_EVENT_KEY, TRADING212_EVENT_KEY, XTB_EVENT_KEY, dedup_newest, drop_known,
     duplicates_removed, latest_per_source, merge_newest, orphans,
 )
 from tally.operators.holdings import aggregate_percentages, extract_holdings, portfolio_holdings
 from tally.operators.income import (
-    cash_flow_summary, dividend_income, interest_income, unreadable_times, with_periods,
+    cash_flow_summary, dividend_income, interest_income, lacks_target, unreadable_times, with_periods,
 )
 from tally.operators.ledger import consolidate_events
 from tally.operators.maintenance import raw_vocabulary, replace_value
-from tally.operators.quality import null_report, previous_counts, uncovered
+from tally.operators.quality import null_report, previous_counts, results_frame, table_checks, uncovered
+from tally.operators.shaping import conform
 from tally.plans import workload as L
+from tally.schemas import EVENTS, EVENTS_MONEY, plain
 from tally.session import use_utc
 from tally.sources.json_payloads import decode_rows, explode_events
 from tally.sources.workbook import cells, header_is, locate_body, read_workbooks
@@ -417,6 +420,51 @@ def _(spark, d):
     return unconvertible(rows, "security_ccy", L.rates(spark), L.TARGET)
 
 
+@register(
+    "unconvertible_many",
+    "SELECT DISTINCT 'X' || c_custkey AS ccy FROM customer",
+)
+def _(spark, d):
+    rows = L.table(spark, d, "customer").select(F.concat(F.lit("x"), "c_custkey").alias("security_ccy"))
+    return unconvertible(rows, "security_ccy", L.rates(spark), L.TARGET)
+
+
+@register(
+    "rates_table_with_overrides",
+    """WITH listed AS (SELECT 'C' || n_nationkey AS ccy, n_nationkey / CAST(8 AS DOUBLE) AS rate FROM nation
+      UNION ALL SELECT 'GBP', CAST(1.5 AS DOUBLE)),
+    best AS (SELECT ccy, CASE ccy WHEN 'C3' THEN CAST(9.5 AS DOUBLE) ELSE rate END AS rate FROM listed WHERE rate <> 0
+      UNION ALL SELECT 'NEW', CAST(2 AS DOUBLE))
+    SELECT ccy, rate FROM best UNION ALL SELECT 'GBX', CAST(0.015 AS DOUBLE)""",
+)
+def _(spark, d):
+    listed = L.table(spark, d, "nation").select(
+        F.concat(F.lit("c"), "n_nationkey").alias("ccy"), (F.col("n_nationkey") / F.lit(8.0)).alias("rate")
+    )
+    missing = spark.range(1).selectExpr("'GBP' AS ccy", "CAST(1.5 AS DOUBLE) AS rate")
+    return rates_frame(spark, listed.unionAll(missing), {"C3": 9.5, "new": 2.0})
+
+
+@register(
+    "conform_iso_time",
+    "SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.%f') AS fetched_at FROM events",
+)
+def _(spark, d):
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    rows = L.table(spark, d, "events").select("event_id", text.alias("fetched_at"))
+    return conform(rows, plain(EVENTS)).select("event_id", stamp("fetched_at"))
+
+
+@register(
+    "target_guard",
+    f"""WITH {L.CONVERTED_SQL} SELECT count(*) FILTER (WHERE CAST(event_id AS BIGINT) % 11 = 0) AS lacking, count(*) AS events FROM converted""",
+)
+def _(spark, d):
+    some = F.col("event_id").cast("bigint") % 11 == 0
+    rows = L.converted(spark, d).withColumn("target_value", F.when(~some, F.col("target_value")))
+    return rows.agg(F.count_if(lacks_target()).alias("lacking"), F.count(F.lit(1)).alias("events"))
+
+
 @register(
     "consolidate_holdings",
     f"""WITH {L.HOLDINGS_SQL} SELECT broker, ticker, CAST(security_value AS DOUBLE) AS security_value, security_ccy,
@@ -462,7 +510,7 @@ def _(spark, d):
     FROM consolidated GROUP BY ticker, broker HAVING sum(target_value) <> 0""",
 )
 def _(spark, d):
-    return aggregate_percentages(L.holdings(spark, d), L.rates(spark), L.TARGET, ordered=False)
+    return aggregate_percentages(L.holdings(spark, d), L.rates(spark), L.TARGET)
 
 
 # ================================================================ income tables
@@ -676,6 +724,26 @@ def _(spark, d):
     )
 
 
+@register(
+    "dq_table_checks",
+    """WITH n AS (SELECT count(*) AS rows, max(ts) AS newest FROM events)
+    SELECT 'ibkr_events' AS table_name, 'schema' AS check_name, 'PASS' AS status, CAST(NULL AS VARCHAR) AS actual
+    UNION ALL SELECT 'ibkr_events', 'required_nulls', 'FAIL', NULL
+    UNION ALL SELECT 'ibkr_events', 'row_count_stability', 'WARN', CAST(rows AS VARCHAR) FROM n
+    UNION ALL SELECT 'ibkr_events', 'freshness', 'WARN', date_diff('day', date_trunc('day', newest), TIMESTAMP '2030-01-01') - CASE
+      WHEN date_trunc('day', newest) = newest THEN 0 ELSE 1 END || ' days old' FROM n
+    UNION ALL SELECT 'ibkr_events', 'non_empty', 'PASS', CAST(rows AS VARCHAR) FROM n""",
+)
+def _(spark, d):
+    rows = _holed(spark, d).withColumn("event_id", F.nullif("event_id", F.lit("1")))
+    sealed = rows.withColumns({c: F.col(c).cast("string") for c in EVENTS_MONEY if c in rows.columns})
+    table = conform(sealed, EVENTS)
+    now = datetime(2030, 1, 1, tzinfo=UTC)
+    checks = table_checks("ibkr_events", table, previous=10**12, now=now, must_have_rows=True)
+    results = results_frame(spark, [("ibkr_events", c) for c in checks], now)
+    return results.select("table_name", "check_name", "status", "actual")
+
+
 def _history(spark, d) -> DataFrame:
     """Events as a history of quality results."""
     return L.table(spark, d, "events").selectExpr(
@@ -1020,6 +1088,20 @@ def _(spark, d):
     )
 
 
+@register(
+    "trading212_all_events",
+    """SELECT 'TRADE' AS event_type, count(*) AS events, count(DISTINCT o_orderkey) AS ids FROM orders
+    UNION ALL SELECT 'DIVIDEND', count(*), count(DISTINCT o_orderkey) FROM orders
+    UNION ALL SELECT CASE o_orderkey % 5 WHEN 0 THEN 'WITHDRAWAL' WHEN 1 THEN 'DEPOSIT' WHEN 2 THEN 'FEE' WHEN 3 THEN 'TRANSFER'
+      ELSE 'UNKNOWN' END, count(*), count(DISTINCT o_orderkey) FROM orders GROUP BY 1""",
+)
+def _(spark, d):
+    pages = L.trading212_orders(spark, d).unionByName(L.trading212_dividends(spark, d)).unionByName(L.trading212_transactions(spark, d))
+    return trading212.events(pages).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids")
+    )
+
+
 @register(
     "trading212_dividend_mismatches",
     "SELECT count(*) FILTER (WHERE o_orderkey % 4 <> 0 AND o_orderkey % 5 <> 0) AS mismatches FROM orders",
@@ -1045,6 +1127,7 @@ def _(spark, d):
     "trading212_snapshot",
     """WITH newest AS (SELECT * FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1)
     SELECT 'EQUITY' AS position_type, o_orderpriority AS label, o_totalprice * o_custkey AS security_value, 'USD' AS security_ccy FROM newest
+    UNION ALL SELECT 'EQUITY', o_orderpriority || '2', CAST(7 AS DOUBLE) * o_custkey, 'EUR' FROM newest
     UNION ALL SELECT 'CASH', 'CASH PLN', o_totalprice, 'PLN' FROM newest""",
 )
 def _(spark, d):
@@ -1058,7 +1141,11 @@ def _(spark, d):
     positions = L.raw_from(
         orders, "Trading 212", "'/equity/positions'",
         "to_json(array(named_struct('instrument', named_struct('ticker', o_orderpriority, 'name', 'N', 'isin', 'X', 'currency', 'USD'), "
-        "'quantity', o_custkey, 'currentPrice', o_totalprice)))", when,
+        "'quantity', o_custkey, 'currentPrice', o_totalprice), "
+        "named_struct('instrument', named_struct('ticker', 'NONE', 'name', 'N', 'isin', 'X', 'currency', 'USD'), 'quantity', 0, "
+        "'currentPrice', CAST(1 AS DOUBLE)), "
+        "named_struct('instrument', named_struct('ticker', concat(o_orderpriority, '2'), 'name', 'N', 'isin', 'X', 'currency', 'EUR'), "
+        "'quantity', o_custkey, 'currentPrice', CAST(7 AS DOUBLE))))", when,
     )
     rows = trading212.snapshot(summary.unionByName(positions))
     return rows.select("position_type", "label", "security_value", "security_ccy")
@@ -1126,11 +1213,15 @@ def _(spark, d):
 
 @register(
     "workbook_cells",
-    """SELECT 'cash operation' AS sheet, CAST(7 AS BIGINT) AS first_cells, count(*) AS reports FROM customer
-    UNION ALL SELECT 'closed position', 4, count(*) FROM customer UNION ALL SELECT 'open position', 8, count(*) FROM customer""",
+    """SELECT CAST(c_custkey AS VARCHAR) AS payload_hash, 'cash operation' AS sheet, '1 234,50' AS sixth,
+      'CLOSE BUY ' || (c_custkey % 9 + 1) || '.5 @ 12.25' AS eighth, CAST(500 + c_custkey AS VARCHAR) AS tenth FROM customer
+    UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'open position', '1', NULL, NULL FROM customer""",
 )
 def _(spark, d):
     raw = L.customer_workbooks(spark, d).select("payload_hash", F.col("payload").alias("body"))
     long = cells(read_workbooks(raw), ["payload_hash"])
-    per_sheet = long.groupBy("payload_hash", "sheet").agg(F.count(F.get("cells", F.lit(0))).alias("first_cells"))
-    return per_sheet.groupBy("sheet", "first_cells").agg(F.count(F.lit(1)).alias("reports"))
+    at = lambda i: F.get("cells", F.lit(i))
+    sold, held = at(0) == "Stock sell", (at(3) == "ETF") & (F.col("sheet") == "open position") & (at(1) != "Sold")
+    return long.filter(sold | held).select(
+        "payload_hash", "sheet", at(5).alias("sixth"), at(7).alias("eighth"), at(9).alias("tenth")
+    )

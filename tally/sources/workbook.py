@@ -32,6 +32,10 @@ _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
+# --- fixed values: the format's own limits; a file that claims more is no workbook ---
+MAX_ROWS, MAX_COLUMNS = 1_048_576, 16_384
+
+
 @lru_cache(maxsize=4096)
 def _column_index(letters: str) -> int:
     index = 0
@@ -62,17 +66,23 @@ def _cell_text(cell, shared: list[str]) -> str | None:
 
 
 def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> list[list[str | None]]:
+    """Rows by number; the rows of a gap are one shared empty list, so a gap costs no cells."""
     rows: list[list[str | None]] = []
+    gap: list[str | None] = []
     for row in ElementTree.fromstring(book.read(part)).iter(f"{_MAIN}row"):
         number = int(row.get("r", len(rows) + 1))
-        while len(rows) < number:
-            rows.append([])
-        cells = rows[number - 1]
+        if not 0 < number <= MAX_ROWS:
+            raise ValueError(f"row {number} is outside of a sheet")
+        rows.extend([gap] * (number - len(rows)))
+        cells = list(rows[number - 1])
         for cell in row.iter(f"{_MAIN}c"):
             reference = cell.get("r")
             at = _column_index(reference.rstrip("0123456789")) if reference else len(cells)
+            if not 0 <= at < MAX_COLUMNS:
+                raise ValueError(f"column {at} is outside of a sheet")
             cells.extend([None] * (at + 1 - len(cells)))
             cells[at] = _cell_text(cell, shared)
+        rows[number - 1] = cells
     return rows
 
 

@@ -114,6 +114,21 @@ def test_cells_in_long_form(spark):
     assert long.filter("sheet = 'open position' AND row_idx = 6").first().cells == ["Plan", "Fjord Index", "FJD.DE", "ETF", None, "3", "411.3"]
 
 
+@pytest.mark.parametrize("claim", ['<row r="1000000000"', '<row r="0"', '<row r="2"><c r="ZZZZ9"><v>1</v></c></row><row r="3"'])
+def test_a_file_that_claims_more_than_a_sheet_holds_is_unreadable(claim):
+    import io
+    import zipfile
+
+    from tally.sources.workbook import workbook_sheets
+
+    made, out = zipfile.ZipFile(io.BytesIO(report())), io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        for name in made.namelist():
+            book.writestr(name, made.read(name).decode().replace('<row r="3"', claim))
+    with pytest.raises(ValueError):
+        workbook_sheets(out.getvalue())
+
+
 @pytest.mark.parametrize("raw_type, kind", [*xtb.OPERATION_TYPES.items(), ("Stock sale", "UNKNOWN")])
 def test_operation_types(raw_type, kind):
     assert xtb.OPERATION_TYPES.get(raw_type, "UNKNOWN") == kind
