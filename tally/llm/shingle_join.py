@@ -9,9 +9,11 @@ Before the sets of a pair are brought together, a small count of each set's shin
 two can share, which leaves few pairs that fail.
 
 A group of thousands of near copies has millions of pairs, and they are not emitted. Texts that share a prefix shingle
-are first held against one of them, the same for all its shingles. Links found this way join texts into components;
-only texts of different components that share a prefix shingle are then paired. Nothing is lost: a pair is left out
-only if its texts are in one component already.
+are first held against one of them, the one with the fewest shingles of its own, from which copies differ least. Links
+found this way join texts into components. Texts that are not in that one's component are held against the next such
+text, round by round; only texts that are then still in different components under one shingle are paired. Nothing is
+lost: a pair is left out only if its texts are in one component already, or if the place of their first common shingle
+says that they can't overlap enough.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from tally.llm.words import Words, mixed
 WIDTH = 5
 PERCENT = 80
 ORDERS = 3
+ROUNDS = 2  # of texts held against one, before what is left is paired
 # shingles of the largest frequencies whose order is by frequency; a bound on what is broadcast (8 bytes each). It is
 # no cap on candidates: the order of any others is by hash, and every order finds every link
 FREQUENT = 1 << 20
@@ -148,7 +151,8 @@ class _Orders:
         self.rank = np.argsort(frequent).astype(_U64)  # place by frequency of the i-th smallest number
 
     def places(self, hashes: np.ndarray, order: int) -> np.ndarray:
-        """Shingles that are not frequent come first, by a hash of their own for each order; then the frequent ones."""
+        """Shingles that are not frequent come first, by a hash of their own for each order; then the frequent ones.
+        An order may be asked for hashes, or for their upper 40 bits alone, if all sets are given alike."""
         place = mixed(hashes + _U64(order * 0x9E3779B97F4A7C15 % 2**64)) >> _U64(1)
         if len(self.sorted):
             key = hashes >> _U64(24)
@@ -157,20 +161,21 @@ class _Orders:
             place[often] = (_U64(1) << _U64(63)) | (self.rank[i[often]] << _U64(24)) | (hashes[often] & _U64(0xFFFFFF))
         return place
 
-    def prefixes(self, hashes: np.ndarray, first: np.ndarray, order: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, text) of the prefixes under an order."""
+    def prefixes(self, hashes: np.ndarray, first: np.ndarray, order: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes, text, place in the text's order) of the prefixes under an order."""
         n = np.diff(first)
         text = np.repeat(np.arange(len(n)), n)
         by = np.lexsort((self.places(hashes, order), text))
         at = np.arange(len(hashes)) - first[text]
         keep = at < _prefix(n, percent)[text]
-        return hashes[by][keep], text[keep]
+        return hashes[by][keep], text[keep], at[keep]
 
 
 def _postings(docs: DataFrame, frequent: np.ndarray, several: np.ndarray, percent: int, width: int) -> DataFrame:
     """(shingle, id, n, f1, f2, sketch): one row per text without a shingle, with its set's size, fingerprint and sketch,
-    and one row per shingle of its prefix under the first order that may stand in another text. A task sends the
-    shingles of texts with the same set once."""
+    and one row per shingle of its prefix under the first order that may stand in another text, where f1 is the
+    shingle's place in the text's order, and f2 is small for texts with few shingles of their own (the rest of it is a
+    hash of the set). A task sends the shingles of texts with the same set once."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, several))  # FREQUENT numbers and BITS bits at most
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,13 +198,15 @@ def _postings(docs: DataFrame, frequent: np.ndarray, several: np.ndarray, percen
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(n), pa.int64()), ids, pa.array(n, pa.int64()), pa.array(f1), pa.array(f2), pa.array([c.tobytes() for c in counts], pa.binary())], names
             )
-            token, text = orders.prefixes(hashes, first, 0, percent)
+            token, text, place = orders.prefixes(hashes, first, 0, percent)
             slot = _slot(token)
-            keep = fresh[text] & ((several[slot >> 3] >> (slot & 7)) & 1).astype(bool)
-            token, text = token[keep].view(np.int64), text[keep]
-            nothing = pa.nulls(len(token), pa.int64())
+            other = ((several[slot >> 3] >> (slot & 7)) & 1).astype(bool)
+            own = 1 - np.bincount(text[other], minlength=len(n)) / np.maximum(_prefix(n, percent), 1)
+            lead = (np.rint(own * 10_000).astype(np.int64) << 48) | (f1.view(_U64) >> _U64(16)).astype(np.int64)
+            keep = fresh[text] & other
+            token, text, place = token[keep].view(np.int64), text[keep], place[keep]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token), ids.take(pa.array(text)), pa.array(n[text], pa.int64()), nothing, nothing, pa.nulls(len(token), pa.binary())], names
+                [pa.array(token), ids.take(pa.array(text)), pa.array(n[text], pa.int64()), pa.array(place, pa.int64()), pa.array(lead[text]), pa.nulls(len(token), pa.binary())], names
             )
 
     names = ["shingle", "id", "n", "f1", "f2", "sketch"]
@@ -227,9 +234,21 @@ def _possible(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(possible, pairs.schema).distinct()
 
 
+def _packed(hashes: np.ndarray) -> bytes:
+    return np.unique(hashes >> _U64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    """The numbers at the upper end of 64 bits, where the orders look for them."""
+    wide = np.zeros((len(raw) // 5, 8), np.uint8)
+    wide[:, 3:] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return wide.view("<u8").ravel().astype(_U64)
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(id, set): the shingles of the texts whose id is in ``wanted`` (id) and of few others, as packed 64-bit numbers in
-    ascending order. A bit table of fixed size over hashes of the wanted ids keeps the rest from being sent."""
+    """(id, set): the shingles of the texts whose id is in ``wanted`` (id) and of few others, as packed 40-bit numbers in
+    ascending order; in a pair of sets of thousands, less than one in 10 ** 5 pairs holds two shingles that share one,
+    and such a pair is told wrongly only if a single shingle decides. A bit table of fixed size over hashes of the wanted ids keeps the rest from being sent."""
     bits = 1 << 26
     spark = docs.sparkSession
     place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
@@ -247,7 +266,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             maybe = batch.filter(pa.array((flat[at >> 3] >> (at & 7) & 1).astype(bool)))
             for part in byte_slices([maybe]):
                 hashes, first = shingles(Words.of(texts_of(part), lower=True), width)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([hashes[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary())], ["id", "set"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([_packed(hashes[a:b]) for a, b in zip(first, first[1:], strict=False)], pa.binary())], ["id", "set"])
 
     schema = T.StructType([docs.schema["id"], T.StructField("set", T.BinaryType())])
     return docs.select("id", "text", (place - 1).alias("at")).mapInArrow(pack, schema)
@@ -258,8 +277,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.
     pairs = written(_possible(pairs, texts, percent), "candidates")
     if pairs.isEmpty():
         return pairs
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(_sets_of(docs, wanted, width), "sets")
+    first, second = pairs.select(F.col("a").alias("id")).distinct(), pairs.select(F.col("b").alias("id")).distinct()
+    sets = written(_sets_of(docs, first.unionAll(second).distinct(), width), "sets")
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +289,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.
             if raw not in last:
                 if len(last) > 64:
                     last.clear()
-                x = np.frombuffer(raw, _U64)
+                x = _unpacked(raw)
                 n = np.array([0, len(x)])
                 last[raw] = x, [np.sort(ranked.prefixes(x, n, k, percent)[0]) for k in range(1, orders)]
             return last[raw]
@@ -284,11 +303,42 @@ def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.
                     keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    right, left = sets.select(F.col("id").alias("b"), F.col("set").alias("right")), sets.select(F.col("id").alias("a"), F.col("set").alias("left"))
-    joined = pairs.join(right, "b").join(left, "a")
+    # of the texts held against one, the one's set is sent for all of them once
+    left = sets.select(F.col("id").alias("a"), F.col("set").alias("left"))
+    joined = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("right")), "b").join(left, "a")
     return written(joined.select("a", "b", "left", "right").mapInArrow(verify, pairs.schema).distinct(), "links")
 
 
+def _stars(posts: DataFrame, fit) -> DataFrame:
+    """Distinct (a, b): each text b under a shingle with the text a that leads there (the smallest ``lead``), unless one
+    component holds both."""
+    classed = "c" in posts.columns
+    leaders = posts.groupBy("shingle").agg(F.min("lead").alias("first"))
+    held = posts.join(leaders, "shingle")
+    named = held.where("lead = first").groupBy("first").agg(F.min("id").alias("a"), F.min("n").alias("m"), *([F.min("c").alias("d")] if classed else []))
+    others = held.where("lead <> first").select("first", "id", "n", *(["c"] if classed else [])).distinct()
+    pairs = others.join(named, "first").where((F.col("id") != F.col("a")) & fit("n", "m"))
+    if classed:
+        pairs = pairs.where("c <> d")
+    return pairs.select("a", F.col("id").alias("b")).distinct()
+
+
+def _classed(posts: DataFrame, found: DataFrame) -> DataFrame:
+    """The posts, with their component ``c``, of shingles whose texts are in several components."""
+    classes = found.withColumnRenamed("node", "id").withColumnRenamed("component", "c")
+    placed = posts.join(classes, "id", "left").withColumn("c", F.coalesce("c", "id"))
+    facts = placed.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    return placed.join(facts.select("shingle"), "shingle", "left_semi")
+
+
+def _still_open(posts: DataFrame, found: DataFrame) -> DataFrame:
+    """Of such posts those outside of the leading text's component, for the next round's leader. (The pairs in the end
+    are made from all posts.)"""
+    placed = _classed(posts, found)
+    leaders = placed.groupBy("shingle").agg(F.min(F.struct("lead", "c")).alias("first")).select("shingle", F.col("first.c").alias("lead_class"))
+    return placed.join(leaders, "shingle").where("c <> lead_class").drop("lead_class")
+
+
 def shingle_components(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, width: int = WIDTH, orders: int = ORDERS
 ) -> DataFrame:
@@ -313,27 +363,28 @@ def shingle_components(
     def fit(x: str, y: str):
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
-    # each shingle's texts against one of them: the smallest hash of an id, which near copies share in most shingles
-    posts = posted.where("shingle is not null").select("shingle", "id", "n")
-    mark = F.xxhash64("id")
-    pivots = posts.groupBy("shingle").agg(F.min(mark).alias("pivot"), F.count("*").alias("texts")).where("texts > 1").select("shingle", "pivot")
-    shared = written(posts.join(pivots, "shingle"), "shared-shingles")
-    pivot_ids = shared.where(mark == F.col("pivot")).select("pivot", F.col("id").alias("p"), F.col("n").alias("m")).distinct()
-    stars = shared.where(mark != F.col("pivot")).select("id", "n", "pivot").distinct().join(pivot_ids, "pivot").where(fit("n", "m"))
-    stars = written(stars.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).where("a <> b").distinct(), "stars")
-    links = _verified(stars, texts, known, frequent, percent, width, orders)
-    found = written(components(links.unionAll(copies)), "components")
-
-    # texts of different components under one shingle
-    placed = shared.join(found.withColumnRenamed("node", "id"), "id", "left").select("shingle", "id", "n", F.coalesce("component", "id").alias("c"))
-    several_classes = placed.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("shingle")
-    open_posts = written(placed.join(several_classes, "shingle", "left_semi"), "open-posts")
-    other = open_posts.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
-    pairs = open_posts.withColumnRenamed("id", "a").join(other, "shingle").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fit("n", "m"))
-    pairs = pairs.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    posts = posted.where("shingle is not null").select("shingle", "id", "n", F.col("f1").alias("at"), F.col("f2").alias("lead"))
+    common = posts.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1").select("shingle")
+    shared = open_posts = written(posts.join(common, "shingle"), "shared-shingles")
+    links, tried, found = copies, None, None
+    for _ in range(ROUNDS):
+        pairs = written(_stars(open_posts, fit), "stars")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        more = _verified(pairs, texts, known, frequent, percent, width, orders)
+        links = links.unionAll(more)
+        found = written(components(links), "components")
+        open_posts = written(_still_open(open_posts.drop("c"), found), "open-posts")
+
+    # what is still in different components under one shingle, pair by pair
+    open_posts = written(_classed(shared, found), "open-posts")
+    far = (F.least(F.col("n") - F.col("at"), F.col("m") - F.col("bt")) * (100 + percent)) >= (F.col("n") + F.col("m")) * percent
+    other = open_posts.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("at").alias("bt"))
+    pairs = open_posts.withColumnRenamed("id", "a").join(other, "shingle").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fit("n", "m") & far)
+    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
     more = _verified(pairs, texts, known, frequent, percent, width, orders)
 
-    merged = found if more.isEmpty() else components(links.unionAll(more).unionAll(copies))
+    merged = found if more.isEmpty() else components(links.unionAll(more))
     out = texts.select("id", "n").join(merged.withColumnRenamed("node", "id"), "id", "left")
     classed = out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     unknown = narrow.where(F.col("id").isNull())
