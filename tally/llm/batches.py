@@ -7,11 +7,23 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 20
 TOKEN_BYTES = 2 << 20  # for tokenizers, which gain from words that repeat
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends a task a few MB of texts at a time; a limit that the session sets is left alone."""
+    spark = df.sparkSession
+    if spark.conf.get(ARROW_BYTES, None) == "67108864b":  # Spark's default
+        spark.conf.set(ARROW_BYTES, f"{8 << 20}b")
+    return df
+
+
 def byte_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices whose ``column`` holds about ``limit`` bytes; a longer value is a slice of its own."""
     for batch in batches:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.batches import byte_slices, texts_of
+from tally.llm.batches import balanced, byte_slices, texts_of
 from tally.llm.words import Words
 
 COVERAGE = 0.8
@@ -236,7 +236,7 @@ def license_scan(
                 schema.names,
             )
 
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     schema = T.StructType(
         [
             narrow.schema["id"],

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.batches import byte_slices, texts_of
+from tally.llm.batches import balanced, byte_slices, texts_of
 from tally.llm.lines import Lines
 from tally.llm.words import Words
 
@@ -193,7 +193,7 @@ def quality_scores(docs: DataFrame, field: LineField, id_column: str = "doc_id",
         for part in byte_slices(batches):
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(field.scores(texts_of(part)))], ["id", "score"])
 
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     schema = T.StructType([narrow.schema["id"], T.StructField("score", T.DoubleType())])
     scored = narrow.mapInArrow(score, schema)
     return scored.select(F.col("id").alias(id_column), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
@@ -208,7 +208,7 @@ def keep_good(docs: DataFrame, field: LineField, text_column: str = "text", thre
         for part in byte_slices(batches, names[at]):
             yield part.filter(pa.array(field.scores(texts_of(part, names[at])) >= threshold))
 
-    numbered = docs.toDF(*names)  # whatever the columns are called
+    numbered = balanced(docs.toDF(*names))  # whatever the columns are called
     return numbered.mapInArrow(keep, numbered.schema).toDF(*docs.columns)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.batches import TOKEN_BYTES, byte_slices
+from tally.llm.batches import TOKEN_BYTES, balanced, byte_slices
 from tally.llm.pieces import loaded, with_end
 from tally.llm.scratch import written
 
@@ -198,7 +198,7 @@ def token_pieces(
                 ["id", "piece", "start", "length", "ids_crc32", "task", "number"],
             )
 
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     schema = T.StructType(
         [
             narrow.schema["id"],

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core a task
 
 # how much is remembered; beyond it the memo starts anew, which costs time and changes nothing
-MEMO_PIECES = 600_000
+MEMO_PIECES = 250_000
 
 # white space besides single spaces and line feeds within the text; control characters; a letter that lower case breaks up;
 # what opens a special string

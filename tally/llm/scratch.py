@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_PATHS: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,7 +24,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark)}/tally-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tally-llm/{name}-{uuid.uuid4().hex}"
+    _PATHS.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this driver has written on the way; call it once no result is read from there any more."""
+    while _PATHS:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.llm.automaton import SEPARATOR, Automaton, compiled
-from tally.llm.batches import byte_slices, texts_of
+from tally.llm.batches import balanced, byte_slices, texts_of
 
 
 @dataclass(frozen=True)
@@ -126,7 +126,7 @@ def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                 ["id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
             )
 
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     schema = T.StructType(
         [
             narrow.schema["id"],
@@ -163,5 +163,5 @@ def redact_secrets(docs: DataFrame, text_column: str = "text", mask: str = "[sec
                 part = part.set_column(at, names[at], pa.array(texts, part.schema.field(at).type))
             yield part
 
-    numbered = docs.toDF(*names)  # whatever the columns are called
+    numbered = balanced(docs.toDF(*names))  # whatever the columns are called
     return numbered.mapInArrow(redact, numbered.schema).toDF(*docs.columns)

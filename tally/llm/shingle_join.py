@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.batches import byte_slices, texts_of
+from tally.llm.batches import balanced, byte_slices, texts_of
 from tally.llm.components import components
 from tally.llm.scratch import written
 from tally.llm.words import Words, mixed
@@ -82,7 +82,7 @@ def _count_shingles(docs: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray
     """
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text", 8 << 20):
+        for batch in byte_slices(batches, "text", 4 << 20):
             pieces = [shingles(Words.of(texts_of(part), lower=True))[0] >> _U64(24) for part in byte_slices([batch], "text")]
             keys, counts = np.unique(np.concatenate(pieces), return_counts=True)
             edges = np.searchsorted(keys, (np.arange(parts + 1, dtype=np.float64) * (2.0**40 / parts)).astype(_U64))
@@ -349,7 +349,7 @@ def shingle_components(
     are one node: it links with whatever any of its texts links with. Ids must be integers; rows with a null id keep a null component. An empty table gives an empty one;
     further columns are left behind. Very long texts are read whole.
     """
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     known = narrow.where(F.col("id").isNotNull())
     parts = max(32, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     frequent, several = _count_shingles(known, parts)

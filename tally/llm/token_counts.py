@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.batches import TOKEN_BYTES, byte_slices, lengths_in_bytes
+from tally.llm.batches import TOKEN_BYTES, balanced, byte_slices, lengths_in_bytes
 from tally.llm.pieces import loaded
 
 
@@ -30,7 +30,7 @@ def token_counts(
             n = pa.array(encoder.counts(part.column("text")), pa.int64())
             yield pa.RecordBatch.from_arrays([part.column("id"), lengths_in_bytes(part), n], ["id", "n_bytes", "n_tokens"])
 
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     schema = T.StructType([narrow.schema["id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
     return narrow.mapInArrow(count, schema).select(
         F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > over).alias("over_limit")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.batches import byte_slices
+from tally.llm.batches import balanced, byte_slices
 from tally.llm.pieces import loaded, with_end
 
 ROW_GROUP_BYTES = 16 << 20
@@ -62,7 +62,7 @@ def write_token_files(
             )
             before += int(ends[-1])
 
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     in_order = narrow.repartitionByRange(shards, "id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
     schema = T.StructType(
         [
