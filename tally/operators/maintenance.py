@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.operators.dedup import RAW_KEY, merge_newest, orphans
 from tally.operators.quality import schema_check
-from tally.operators.shaping import union_all
+from tally.operators.shaping import observed, union_all
 from tally.schemas import PASS, RAW
 from tally.sources.lake import Lake
 
@@ -99,11 +99,9 @@ def merge_raw_tables(lake: Lake, sources: Iterable[str], destination: str, dry_r
             raise RowConflict(f"{destination} holds {lost} key(s) that no source table has")
     if dry_run:
         return Change(True, merged.count(), False)
-    lake.overwrite(merged, "raw", destination)
-    written = lake.read("raw", destination)
-    _require(written, RAW, destination)
-    expected = union_all(frames, lake.spark, RAW).select(*RAW_KEY).distinct().count()
-    rows = verify(lake, "raw", destination, RAW, expected)
+    counted = Observation("merged")  # as written: the sources may hold the destination itself
+    lake.overwrite(merged.observe(counted, F.count(F.lit(1)).alias("rows")), "raw", destination)
+    rows = verify(lake, "raw", destination, RAW, observed(counted, "rows") or 0)
     return Change(True, rows, True)
 
 
