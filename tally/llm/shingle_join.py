@@ -331,12 +331,11 @@ def _classed(posts: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(facts.select("shingle"), "shingle", "left_semi")
 
 
-def _still_open(posts: DataFrame, found: DataFrame) -> DataFrame:
+def _without_leaders(posts: DataFrame) -> DataFrame:
     """Of such posts those outside of the leading text's component, for the next round's leader. (The pairs in the end
-    are made from all posts.)"""
-    placed = _classed(posts, found)
-    leaders = placed.groupBy("shingle").agg(F.min(F.struct("lead", "c")).alias("first")).select("shingle", F.col("first.c").alias("lead_class"))
-    return placed.join(leaders, "shingle").where("c <> lead_class").drop("lead_class")
+    are made from all of them.)"""
+    leaders = posts.groupBy("shingle").agg(F.min(F.struct("lead", "c")).alias("first")).select("shingle", F.col("first.c").alias("lead_class"))
+    return posts.join(leaders, "shingle").where("c <> lead_class").drop("lead_class")
 
 
 def shingle_components(
@@ -365,18 +364,18 @@ def shingle_components(
 
     posts = posted.where("shingle is not null").select("shingle", "id", "n", F.col("f1").alias("at"), F.col("f2").alias("lead"))
     common = posts.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1").select("shingle")
-    shared = open_posts = written(posts.join(common, "shingle"), "shared-shingles")
+    open_posts = written(posts.join(common, "shingle"), "shared-shingles")
     links, tried, found = copies, None, None
-    for _ in range(ROUNDS):
-        pairs = written(_stars(open_posts, fit), "stars")
+    for turn in range(ROUNDS):
+        pairs = written(_stars(_without_leaders(open_posts) if turn else open_posts, fit), "stars")
         tried = pairs if tried is None else tried.unionAll(pairs)
         more = _verified(pairs, texts, known, frequent, percent, width, orders)
         links = links.unionAll(more)
         found = written(components(links), "components")
-        open_posts = written(_still_open(open_posts.drop("c"), found), "open-posts")
+        # components only grow, so a shingle that is in one component stays there
+        open_posts = written(_classed(open_posts.drop("c"), found), "open-posts")
 
     # what is still in different components under one shingle, pair by pair
-    open_posts = written(_classed(shared, found), "open-posts")
     far = (F.least(F.col("n") - F.col("at"), F.col("m") - F.col("bt")) * (100 + percent)) >= (F.col("n") + F.col("m")) * percent
     other = open_posts.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("at").alias("bt"))
     pairs = open_posts.withColumnRenamed("id", "a").join(other, "shingle").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fit("n", "m") & far)
