@@ -20,7 +20,9 @@ class Broker:
     so their transforms read the fresh batch instead of the accumulated table.
     ``needs_target`` brokers state rates to their base currency, which count
     only when that is the ledger's target. ``event_sources`` must all be in a batch
-    of events that replaces the stored history.
+    of events that replaces the stored history. ``prepare`` takes raw rows, a key
+    and a scratch and does once what both transforms need; they get its result
+    for raw rows, and ``notes`` makes one row of counts of it that a run warns of.
     """
 
     name: str
@@ -29,6 +31,8 @@ class Broker:
     uses_current_batch: bool = False
     needs_target: bool = False
     event_sources: tuple[str, ...] = ()
+    prepare: Callable[..., object] | None = None
+    notes: Callable[..., DataFrame] | None = None
 
     @property
     def display_name(self) -> str:

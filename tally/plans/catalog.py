@@ -30,7 +30,7 @@ from tally.plans import workload as L
 from tally.schemas import EVENTS, EVENTS_MONEY, plain
 from tally.session import use_utc
 from tally.sources.json_payloads import decode_rows, explode_events
-from tally.sources.workbook import cells, header_is, locate_body, read_workbooks
+from tally.sources.workbook import header_is, locate_body, sheet_rows
 from tally.sources.xml_statements import conversion_rates
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -1182,7 +1182,7 @@ def _(spark, d):
 
 
 def _two_uploads(spark, d) -> DataFrame:
-    """A second upload per account, unreadable for every third of them."""
+    """Raw rows with a second upload per account, unreadable for every third of them."""
     first = L.customer_workbooks(spark, d).withColumn("fetched_at", F.lit("2024-01-01").cast("timestamp"))
     broken = F.col("payload_hash").cast("bigint") % 3 == 0
     second = first.withColumns(
@@ -1191,7 +1191,7 @@ def _two_uploads(spark, d) -> DataFrame:
             "payload": F.when(broken, F.lit(b"not a workbook")).otherwise(F.col("payload")),
         }
     )
-    return xtb.parsed_reports(first.unionByName(second))
+    return first.unionByName(second)
 
 
 @register(
@@ -1200,7 +1200,7 @@ def _two_uploads(spark, d) -> DataFrame:
       CAST(0 AS BIGINT) AS account_mismatches FROM customer""",
 )
 def _(spark, d):
-    return xtb.report_notes(_two_uploads(spark, d))
+    return xtb.report_notes(xtb.parsed_reports(_two_uploads(spark, d)))
 
 
 @register(
@@ -1208,7 +1208,29 @@ def _(spark, d):
     "SELECT CAST(10000000 + c_custkey AS VARCHAR) AS account_id, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS upload FROM customer",
 )
 def _(spark, d):
-    return xtb.latest_reports(_two_uploads(spark, d)).select("account_id", F.dayofmonth("fetched_at").alias("upload"))
+    return xtb.latest_reports(_two_uploads(spark, d)).facts.select("account_id", F.dayofmonth("fetched_at").alias("upload"))
+
+
+@register(
+    "xtb_reports_by_rank",
+    """SELECT CAST(10000000 + c_custkey AS VARCHAR) AS account_id,
+      CAST(CASE WHEN c_custkey % 6 = 0 THEN 5 WHEN c_custkey % 3 = 0 THEN 3 WHEN c_custkey % 2 = 0 THEN 3 ELSE 1 END AS BIGINT) AS reports_read,
+      CASE WHEN c_custkey % 6 = 0 THEN 2 WHEN c_custkey % 3 = 0 THEN 4 WHEN c_custkey % 2 = 0 THEN 3 ELSE 5 END AS upload FROM customer""",
+)
+def _(spark, d):
+    """Five uploads: the newest are unreadable for a half and a third of the accounts, more of them for a sixth."""
+    books, key = L.customer_workbooks(spark, d), F.col("payload_hash").cast("bigint")
+    days = books.withColumn("day", F.explode(F.sequence(F.lit(1), F.lit(5))))
+    readable_up_to = F.when(key % 6 == 0, 2).when(key % 3 == 0, 4).when(key % 2 == 0, 3).otherwise(5)
+    raw = days.withColumns(
+        {
+            "fetched_at": F.timestamp_add("DAY", F.col("day"), F.lit("2023-12-31").cast("timestamp")),
+            "payload": F.when(F.col("day") > readable_up_to, F.lit(b"not a workbook")).otherwise(F.col("payload")),
+        }
+    )
+    found = xtb.latest_reports(raw.drop("day"))
+    read = found.tried.groupBy("file_account").agg(F.count("*").alias("reports_read"))
+    return found.facts.join(read, "file_account").select("account_id", "reports_read", F.dayofmonth("fetched_at").alias("upload"))
 
 
 @register(
@@ -1219,7 +1241,7 @@ def _(spark, d):
 )
 def _(spark, d):
     raw = L.customer_workbooks(spark, d).select("payload_hash", F.col("payload").alias("body"))
-    long = cells(read_workbooks(raw), ["payload_hash"])
+    long = sheet_rows(raw)
     at = lambda i: F.get("cells", F.lit(i))
     sold, held = at(0) == "Stock sell", (at(3) == "ETF") & (F.col("sheet") == "open position") & (at(1) != "Sold")
     return long.filter(sold | held).select(

@@ -28,6 +28,7 @@ from tally.schemas import (
 )
 from tally.sources.lake import Lake
 from tally.sources.landing import require_sources
+from tally.sources.scratch import Scratch
 
 log = logging.getLogger(__name__)
 
@@ -100,13 +101,25 @@ def transform_broker(
     The input is the current batch for brokers that use it, else the accumulated
     raw table. An absent or empty input leaves the old table in place.
     """
-    written = []
+    with ledger.lake.scratch() as scratch:
+        return _transform_layers(ledger, broker, current or {}, scratch, events_options)
+
+
+def _transform_layers(
+    ledger: Ledger, broker: Broker, current: Mapping[str, DataFrame], scratch: Scratch, events_options: Mapping,
+) -> list[str]:
+    written, prepared = [], None
     for layer, (schema, money) in _LAYERS.items():
-        handed = (current or {}).get(layer) if broker.uses_current_batch else None
+        handed = current.get(layer) if broker.uses_current_batch else None
         raw = handed if handed is not None else ledger.lake.find("raw", broker.name)
         if raw is None or raw.isEmpty():
             log.warning("%s %s: no input, table left as it is", broker.display_name, layer)
             continue
+        if broker.prepare:
+            if prepared is None:
+                prepared = broker.prepare(raw, ledger.key, scratch)
+                _warn(broker, prepared)
+            raw = prepared
         if layer == "snapshot":
             rows = broker.snapshot(raw, ledger.key)
         else:
@@ -118,6 +131,13 @@ def transform_broker(
     return written
 
 
+def _warn(broker: Broker, prepared: object) -> None:
+    counts = broker.notes(prepared).first().asDict() if broker.notes else {}
+    for name, count in counts.items():
+        if count:
+            log.warning("%s: %d %s", broker.display_name, count, name.replace("_", " "))
+
+
 def run_broker(
     ledger: Ledger, name: str, batches: Mapping[str, Iterable[DataFrame]], *, now: datetime | None = None,
     **events_options,

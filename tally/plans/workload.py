@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tally.operators.currency import normalize_currency, rates_frame
 from tally.operators.holdings import consolidate_holdings, portfolio_holdings
 from tally.operators.income import with_periods
+from tally.sources.scratch import Scratch
 
 TARGET = "EUR"
 DEMO_KEY = "cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4="
@@ -488,8 +489,18 @@ def customer_report(key: int, name: str, segment: str, balance: float) -> bytes:
     )
 
 
+_BUILT: dict[tuple[str, str], DataFrame] = {}
+
+
 def customer_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One workbook per customer as raw rows."""
+    """One workbook per customer as raw rows, built once a session and read from the shared folder."""
+    at = spark.sparkContext.applicationId, sf_dir
+    if at not in _BUILT:
+        _BUILT[at] = Scratch(spark).written(_built_workbooks(spark, sf_dir), "customer-workbooks")
+    return _BUILT[at]
+
+
+def _built_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

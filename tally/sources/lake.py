@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 
 from tally.operators.shaping import empty
 from tally.schemas import LAYERS, RAW
+from tally.sources.scratch import Scratch
 
 # Columns that the tables of a layer are partitioned by: each transform reads the sources it maps, no others.
 PARTITIONS = {"raw": ("source",)}
@@ -35,7 +35,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
-        self._stashed: list[str] = []
+        self._stashed = self.scratch()
 
     # ------------------------------------------------------------ paths
 
@@ -109,16 +109,14 @@ class Lake:
         The folder is the one that the session names in ``spark.checkpoint.dir``, else one below the lake, which
         every executor reaches. :meth:`clear_stash` deletes what this lake has put there.
         """
-        base = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.root}/_stash"
-        path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        self._stashed.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self._stashed.written(df, name)
 
     def clear_stash(self) -> None:
-        while self._stashed:
-            fs, target = self._fs(self._stashed.pop())
-            fs.delete(target, True)
+        self._stashed.clear()
+
+    def scratch(self) -> Scratch:
+        """A scratch of its own, to be cleared by who asked for it."""
+        return Scratch(self.spark, f"{self.root}/_stash")
 
     @property
     def swaps(self) -> bool:

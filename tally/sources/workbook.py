@@ -1,9 +1,9 @@
-"""Workbook reports: cells by a small Arrow-fed reader, everything after it in SQL.
+"""Workbook reports: rows by a streaming reader, everything after it in SQL.
 
-The reader turns one workbook into one row with three sheets, each an array of
-rows of cell texts. A workbook is a single payload to begin with, so this is no
-larger than the value it comes from, and header search, body cuts and totals
-need neither a shuffle nor a window.
+The reader pulls a workbook's sheets through an XML parser and hands on rows of
+cell texts in bounded batches, so a sheet's size is no matter of memory. Headers
+are found by an aggregate of row numbers; body cuts, totals and lookups are
+filters, joins and aggregates over the rows.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ import posixpath
 import zipfile
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import IO
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,12 +25,13 @@ from pyspark.sql import types as T
 from tally.functions.values import european_float, header_text, is_date_serial, round_exact
 
 # --- fixed values: sheets by name fragment, header signatures, cell positions ---
-SHEETS = {"open_rows": "open position", "cash_rows": "cash operation", "closed_rows": "closed position"}
+SHEETS = ("open position", "cash operation", "closed position")
 OPEN_CELLS = {"product": 0, "instrument": 1, "ticker": 2, "category": 3, "type": 4, "value": 6}
 CASH_CELLS = {"type": 0, "ticker": 2, "time": 4, "amount": 5, "id": 6, "comment": 7, "position": 9}
 CLOSED_CELLS = {"first": 0, "close_time": 8, "commission": 16, "position": 23}
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_SI, _T, _ROW, _C, _V = (f"{_MAIN[1:]}{tag}" for tag in ("si", "t", "row", "c", "v"))
 _REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
@@ -44,50 +47,121 @@ def _column_index(letters: str) -> int:
     return index - 1
 
 
+_CHUNK = 1 << 16
+
+
+class _Part:
+    """Handlers that gather what an XML part holds; :meth:`read` feeds it chunk by chunk and hands on what is complete."""
+
+    def __init__(self):
+        self.done: list = []
+        self._text: list[str] | None = None
+        self._parser = expat.ParserCreate(namespace_separator="}")
+        self._parser.buffer_text = True
+        self._parser.StartElementHandler = self.start
+        self._parser.EndElementHandler = self.end
+        self._parser.CharacterDataHandler = self._more
+
+    def _more(self, text: str) -> None:
+        if self._text is not None:
+            self._text.append(text)
+
+    def _taken(self) -> str:
+        text, self._text = "".join(self._text or ()), None
+        return text
+
+    def read(self, stream: IO[bytes]) -> Iterator:
+        while chunk := stream.read(_CHUNK):
+            self._parser.Parse(chunk, False)
+            yield from self.done
+            self.done.clear()
+        self._parser.Parse(b"", True)
+
+
+class _Texts(_Part):
+    """The shared texts."""
+
+    def start(self, name: str, attributes: dict[str, str]) -> None:
+        if name == _T:
+            self._text = []
+        elif name == _SI:
+            self._item: list[str] = []
+
+    def end(self, name: str) -> None:
+        if name == _T:
+            self._item.append(self._taken())
+        elif name == _SI:
+            self.done.append("".join(self._item))
+
+
+class _Rows(_Part):
+    """(row from 0, cells) in order; a gap between rows is one row without cells, at its beginning."""
+
+    def __init__(self, shared: list[str]):
+        super().__init__()
+        self._shared = shared
+        self._last = 0
+        self._at = -1
+
+    def start(self, name: str, attributes: dict[str, str]) -> None:
+        if name == _C:
+            reference = attributes.get("r")
+            self._at = _column_index(reference.rstrip("0123456789")) if reference else len(self._cells)
+            if not 0 <= self._at < MAX_COLUMNS:
+                raise ValueError(f"column {self._at} is outside of a sheet")
+            self._kind, self._value, self._inline = attributes.get("t", "n"), None, ""
+        elif name == _V or name == _T:
+            self._text = []
+        elif name == _ROW:
+            number = int(attributes.get("r", self._last + 1))
+            if not self._last < number <= MAX_ROWS:
+                raise ValueError(f"row {number} is outside of a sheet or out of order")
+            if number > self._last + 1:
+                self.done.append((self._last, []))
+            self._last = number
+            self._cells: list[str | None] = []
+
+    def end(self, name: str) -> None:
+        if name == _C:
+            self._cells.extend([None] * (self._at + 1 - len(self._cells)))
+            self._cells[self._at] = self._cell_text()
+        elif name == _V:
+            text = self._taken()
+            self._value = text if self._value is None else self._value
+        elif name == _T:
+            if self._at >= 0:
+                self._inline += self._taken()
+            else:
+                self._text = None
+        elif name == _ROW:
+            self.done.append((self._last - 1, self._cells))
+
+    def _cell_text(self) -> str | None:
+        kind, value = self._kind, self._value
+        if kind == "inlineStr":
+            return self._inline
+        if value is None or kind == "e":
+            return value
+        if kind == "s":
+            return self._shared[int(value)]
+        if kind == "b":
+            return "True" if value == "1" else "False"
+        return value
+
+
 def _shared_texts(book: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in book.namelist():
         return []
-    root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
-    return ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in root.iter(f"{_MAIN}si")]
+    with book.open("xl/sharedStrings.xml") as stream:
+        return list(_Texts().read(stream))
 
 
-def _cell_text(cell, shared: list[str]) -> str | None:
-    kind = cell.get("t", "n")
-    if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(f"{_MAIN}t"))
-    value = cell.findtext(f"{_MAIN}v")
-    if value is None or kind == "e":
-        return value
-    if kind == "s":
-        return shared[int(value)]
-    if kind == "b":
-        return "True" if value == "1" else "False"
-    return value
-
-
-def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> list[list[str | None]]:
-    """Rows by number; the rows of a gap are one shared empty list, so a gap costs no cells."""
-    rows: list[list[str | None]] = []
-    gap: list[str | None] = []
-    for row in ElementTree.fromstring(book.read(part)).iter(f"{_MAIN}row"):
-        number = int(row.get("r", len(rows) + 1))
-        if not 0 < number <= MAX_ROWS:
-            raise ValueError(f"row {number} is outside of a sheet")
-        rows.extend([gap] * (number - len(rows)))
-        cells = list(rows[number - 1])
-        for cell in row.iter(f"{_MAIN}c"):
-            reference = cell.get("r")
-            at = _column_index(reference.rstrip("0123456789")) if reference else len(cells)
-            if not 0 <= at < MAX_COLUMNS:
-                raise ValueError(f"column {at} is outside of a sheet")
-            cells.extend([None] * (at + 1 - len(cells)))
-            cells[at] = _cell_text(cell, shared)
-        rows[number - 1] = cells
-    return rows
-
-
-def workbook_sheets(data: bytes) -> dict[str, list[list[str | None]] | None]:
-    """The report's sheets; a sheet that is absent is None. Raises on anything but a workbook."""
+def workbook_rows(data: bytes) -> Iterator[tuple[str | None, int | None, list[str | None]]]:
+    """(sheet, row, cells) of the report's sheets, and last (None, None, sheets that are there).
+
+    The sheets are pulled through the parser a row at a time, so memory is that of the file itself, its table of texts
+    and one row. Raises on anything but a workbook, possibly behind rows that were fine.
+    """
     with zipfile.ZipFile(io.BytesIO(data)) as book:
         rels = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
         parts = {r.get("Id"): posixpath.normpath(posixpath.join("xl", r.get("Target"))).lstrip("/") for r in rels}
@@ -98,66 +172,64 @@ def workbook_sheets(data: bytes) -> dict[str, list[list[str | None]] | None]:
             for s in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")
         ]
         shared = _shared_texts(book)
-        found = {}
-        for column, fragment in SHEETS.items():
+        there = []
+        for fragment in SHEETS:
             part = next((p for name, p in listed if fragment in name), None)
-            found[column] = None if part is None else _sheet_rows(book, part, shared)
-        return found
-
-
-# Parsed reports are handed on after this many payload bytes.
-_FLUSH_BYTES = 4 << 20
-_GRID = pa.list_(pa.list_(pa.string()))
+            if part is not None:
+                there.append(fragment)
+                with book.open(part) as stream:
+                    for at, cells in _Rows(shared).read(stream):
+                        yield fragment, at, cells
+        yield None, None, there
 
 
-def _parsed(bodies: list[bytes | None]) -> list[pa.Array]:
-    """Arrow columns ``readable`` and the three sheets."""
-    readable, sheets = [], {name: [] for name in SHEETS}
-    for body in bodies:
-        try:
-            found = workbook_sheets(body)
-        except Exception:  # whatever is wrong with the bytes, the report is just unreadable
-            found = None
-        readable.append(found is not None)
-        for name, column in sheets.items():
-            column.append(found[name] if found else None)
-    return [pa.array(readable, pa.bool_()), *[pa.array(c, _GRID) for c in sheets.values()]]
+# Rows are handed on after this many, or after about this many bytes of text.
+_FLUSH_ROWS, _FLUSH_BYTES = 8192, 2 << 20
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        body = batch.column("body")
-        kept = batch.drop_columns(["body"])
-        start, size = 0, 0
-        for at in range(len(batch)):
-            size += len(body[at].as_buffer() or b"") if body[at].is_valid else 0
-            if size >= _FLUSH_BYTES or at + 1 == len(batch):
-                columns = kept.slice(start, at + 1 - start).columns
-                parsed = _parsed(body.slice(start, at + 1 - start).to_pylist())
-                yield pa.RecordBatch.from_arrays([*columns, *parsed], [*kept.schema.names, "readable", *SHEETS])
-                start, size = at + 1, 0
-
-
-def read_workbooks(rows: DataFrame) -> DataFrame:
-    """Rows with binary ``body`` to rows with ``readable`` and the three sheets."""
-    kept = [f for f in rows.schema.fields if f.name != "body"]
-    grid = T.ArrayType(T.ArrayType(T.StringType()))
+        keys = batch.drop_columns(["body"])
+        rows: list[tuple[int, str | None, int | None, list[str | None], bool | None]] = []
+        size = 0
+
+        def flushed() -> pa.RecordBatch:
+            source, sheet, at, cells, readable = zip(*rows, strict=True)
+            own = keys.take(pa.array(source, pa.int64()))
+            read = [pa.array(sheet, pa.string()), pa.array(at, pa.int32()), pa.array(cells, pa.list_(pa.string())), pa.array(readable, pa.bool_())]
+            return pa.RecordBatch.from_arrays([*own.columns, *read], [*keys.schema.names, "sheet", "row_idx", "cells", "readable"])
+
+        for n in range(len(batch)):
+            try:
+                for sheet, at, cells in workbook_rows(batch.column("body")[n].as_py()):
+                    rows.append((n, sheet, at, cells, True if sheet is None else None))
+                    size += 32 + sum(8 + len(c or "") for c in cells)
+                    if len(rows) >= _FLUSH_ROWS or size >= _FLUSH_BYTES:
+                        yield flushed()
+                        rows, size = [], 0
+            except Exception:  # whatever is wrong with the bytes, the report is just unreadable
+                rows.append((n, None, None, [], False))
+        if rows:
+            yield flushed()
+
+
+def sheet_rows(books: DataFrame) -> DataFrame:
+    """Rows with binary ``body`` to one row per sheet row: ``sheet`` (its name fragment), ``row_idx`` (from 0), ``cells``.
+
+    All other columns are carried along. Each workbook ends with a row without sheet that tells whether it was
+    ``readable`` and lists the sheets that are there; of an unreadable one there may be rows from before the fault.
+    """
+    kept = [f for f in books.schema.fields if f.name != "body"]
     schema = T.StructType(
-        [*kept, T.StructField("readable", T.BooleanType()), *[T.StructField(c, grid) for c in SHEETS]]
-    )
-    return rows.mapInArrow(_read_batches, schema)
-
-
-def cells(reports: DataFrame, keys: list[str]) -> DataFrame:
-    """Long form: one row per (report, sheet, row) with its cells."""
-    sheets = F.array(
-        *[F.struct(F.lit(name).alias("sheet"), F.col(column).alias("rows")) for column, name in SHEETS.items()]
+        [
+            *kept, T.StructField("sheet", T.StringType()), T.StructField("row_idx", T.IntegerType()),
+            T.StructField("cells", T.ArrayType(T.StringType())), T.StructField("readable", T.BooleanType()),
+        ]
     )
-    by_sheet = reports.select(*keys, F.explode(sheets).alias("s"))
-    return by_sheet.select(*keys, "s.sheet", F.posexplode("s.rows").alias("row_idx", "cells"))
+    return books.mapInArrow(_read_batches, schema)
 
 
-# ---------------------------------------------------------------- expressions over one sheet
+# ---------------------------------------------------------------- expressions over one row
 
 
 def cell(row: Column, index: int) -> Column:
@@ -167,7 +239,7 @@ def cell(row: Column, index: int) -> Column:
 def cell_text(row: Column, index: int) -> Column:
     """Trimmed text, empty when the cell is; a whole number loses its ``.0``."""
     text = F.trim(F.coalesce(cell(row, index), F.lit("")))
-    return F.regexp_replace(text, r"^(\d+)\.0+$", "$1")
+    return F.when(F.contains(text, F.lit(".0")), F.regexp_replace(text, r"^(\d+)\.0+$", "$1")).otherwise(text)
 
 
 def with_amounts(df: DataFrame, **texts: str) -> DataFrame:
@@ -189,160 +261,130 @@ def header_is(row: Column, *names: str | tuple[str, ...]) -> Column:
     return matched
 
 
-def header_position(rows: Column, *names: str | tuple[str, ...]) -> Column:
-    """1-based position of the first matching row, 0 when there is none."""
-    return F.array_position(F.transform(rows, lambda r: header_is(r, *names)), True)
-
-
-def body_after(rows: Column, position: Column) -> Column:
-    """Rows below the header whose first cell is filled; none without a header."""
-    below = F.filter(rows, lambda r, i: (i >= position) & cell(r, 0).isNotNull())
-    return F.when(position > 0, below).otherwise(F.array().cast("array<array<string>>"))
-
-
 OPEN_HEADER = ("product", ("instrument/position", "instrument"))
 CASH_HEADER = ("type", "instrument")
 CLOSED_HEADER = ("instrument", "ticker")
 SUMMARY_HEADER = ("product", "metric", "amount", "currency")
+OPEN, CASH, CLOSED = SHEETS
 
 
-def sheet_account(rows: Column) -> Column:
-    first = F.get(rows, F.lit(0))
-    found = F.when(header_is(first, "account number"), cell_text(first, 1))
-    return F.nullif(found, F.lit(""))
+def _in(sheet: str) -> Column:
+    return F.col("sheet") == sheet
 
 
-def summary_currency(rows: Column) -> Column:
-    """First currency of the summary block, empty when there is none.
+def _first_row(sheet: str, *names: str | tuple[str, ...]) -> Column:
+    return F.min(F.when(_in(sheet) & header_is(F.col("cells"), *names), F.col("row_idx")))
 
-    The block ends at the first row without first cell or with a note.
-    """
-    at = header_position(rows, *SUMMARY_HEADER)
-    after = F.slice(rows, (at + 1).cast("int"), F.size(rows))
-    ends = F.transform(after, lambda r: cell(r, 0).isNull() | (header_text(cell(r, 0)) == "note"))
-    stop = F.array_position(ends, True)
-    block = F.when(stop > 0, F.slice(after, F.lit(1), (stop - 1).cast("int"))).otherwise(after)
-    codes = F.filter(F.transform(block, lambda r: cell_text(r, 3)), lambda c: c != "")
-    return F.coalesce(F.when(at > 0, F.get(codes, F.lit(0))), F.lit(""))
-
-
-def open_positions(body: Column) -> Column:
-    """Aggregate rows (no type) with a ticker; the value stays text."""
-    c = OPEN_CELLS
-    kept = F.filter(body, lambda r: (cell_text(r, c["type"]) == "") & (cell_text(r, c["ticker"]) != ""))
-    return F.transform(
-        kept,
-        lambda r: F.struct(
-            *[cell_text(r, c[n]).alias(n) for n in ("product", "instrument", "ticker", "category")],
-            cell(r, c["value"]).alias("value"),
-        ),
-    )
 
+def _may_be_header() -> Column:
+    """By the first cell alone."""
+    return _head().isin({h[0] for h in (OPEN_HEADER, CASH_HEADER, CLOSED_HEADER, SUMMARY_HEADER)})
 
-def free_cash(body: Column) -> Column:
-    """Amount text of the last total row (empty cell: ``0``); null when there is none."""
-    totals = F.filter(body, lambda r: (header_text(cell(r, 0)) == "total") & (F.size(r) > 5))
-    amounts = F.transform(totals, lambda r: F.coalesce(cell(r, CASH_CELLS["amount"]), F.lit("0")))
-    return F.try_element_at(amounts, F.lit(-1))
 
+def _below(sheet: str, header: str) -> Column:
+    """Rows below the header whose first cell is filled; none without a header."""
+    return _in(sheet) & (F.col("row_idx") > F.col(header)) & cell(F.col("cells"), 0).isNotNull()
 
-def _blank(row: Column, index: int) -> Column:
-    return F.coalesce(cell(row, index), F.lit("")) == ""
 
+def _blank(index: int) -> Column:
+    return F.coalesce(cell(F.col("cells"), index), F.lit("")) == ""
 
-def operation_rows(body: Column) -> Column:
-    """Typed rows without totals and internal transfers."""
-    return F.filter(
-        body,
-        lambda r: (cell_text(r, CASH_CELLS["type"]) != "")
-        & ~header_text(cell(r, 0)).isin("total", "subaccount transfer"),
-    )
 
+def _head() -> Column:
+    return header_text(cell(F.col("cells"), 0))
 
-def cash_operations(operations: Column) -> Column:
-    """Operations with a time."""
-    c = CASH_CELLS
-    timed = F.filter(operations, lambda r: ~_blank(r, c["time"]))
-    return F.transform(
-        timed,
-        lambda r: F.struct(
-            *[cell_text(r, c[n]).alias(n) for n in ("type", "ticker", "id", "comment", "position")],
-            cell(r, c["time"]).alias("time"),
-            cell(r, c["amount"]).alias("amount"),
-        ),
-    )
 
+def located(rows: DataFrame, key: str) -> DataFrame:
+    """One row per workbook: whether it is readable, has an open-positions sheet, and where its headers are.
 
-def closed_rows(body: Column) -> Column:
-    """Rows with a position id and a close time, without totals."""
-    c = CLOSED_CELLS
-    return F.filter(
-        body,
-        lambda r: ~header_text(cell(r, 0)).isin("profit/loss", "total")
-        & (cell_text(r, c["position"]) != "")
-        & ~_blank(r, c["close_time"]),
+    ``rows`` are :func:`sheet_rows`. The aggregate holds numbers alone and is folded in the task that read the
+    workbook, so one large sheet is a few numbers by the time it is sent.
+    """
+    return rows.filter(F.col("sheet").isNull() | _may_be_header()).groupBy(key).agg(
+        F.coalesce(F.max("readable"), F.lit(False)).alias("readable"),
+        F.coalesce(F.max(F.col("sheet").isNull() & F.array_contains("cells", OPEN)), F.lit(False)).alias("has_open"),
+        _first_row(OPEN, *OPEN_HEADER).alias("open_at"),
+        _first_row(CASH, *CASH_HEADER).alias("cash_at"),
+        _first_row(CLOSED, *CLOSED_HEADER).alias("closed_at"),
+        _first_row(OPEN, *SUMMARY_HEADER).alias("summary_at"),
     )
 
 
-def closed_positions(rows: Column) -> Column:
-    c = CLOSED_CELLS
-    return F.transform(
-        rows,
-        lambda r, i: F.struct(
-            i.alias("at"),
-            cell_text(r, c["position"]).alias("position"),
-            cell(r, c["close_time"]).alias("close_time"),
-            cell(r, c["commission"]).alias("commission"),
-        ),
-    )
-
+def typed_rows(rows: DataFrame, headers: DataFrame, key: str) -> DataFrame:
+    """``rows`` with their workbook's headers and a ``kind``: position, operation, closed, total, or null.
 
-def _bad_date(rows: Column, index: int) -> Column:
-    """A filled date cell that is no date."""
-    bad = F.exists(rows, lambda r: ~_blank(r, index) & ~is_date_serial(cell(r, index)))
-    return F.coalesce(bad, F.lit(False))
+    Positions are the aggregate rows (no type) with a ticker; operations have a type and are neither totals nor internal
+    transfers; closed rows have a position and a close time. How the sides of the join meet is left to adaptive
+    execution, which splits the rows of one large workbook.
+    """
+    c = F.col("cells")
+    position = _below(OPEN, "open_at") & (cell_text(c, OPEN_CELLS["type"]) == "") & (cell_text(c, OPEN_CELLS["ticker"]) != "")
+    in_cash = _below(CASH, "cash_at")
+    operation = in_cash & (cell_text(c, CASH_CELLS["type"]) != "") & ~_head().isin("total", "subaccount transfer")
+    total = in_cash & (_head() == "total") & (F.size(c) > 5)
+    closed = (
+        _below(CLOSED, "closed_at") & ~_head().isin("profit/loss", "total")
+        & (cell_text(c, CLOSED_CELLS["position"]) != "") & ~_blank(CLOSED_CELLS["close_time"])
+    )
+    kind = F.when(position, "position").when(operation, "operation").when(closed, "closed").when(total, "total")
+    return rows.drop("readable").join(headers, key).withColumn("kind", kind)
 
 
-def parse_reports(workbooks: DataFrame, account_override: str | None = None) -> DataFrame:
-    """Contents of every report, with ``ok`` telling whether it can be used.
+def workbook_facts(typed: DataFrame, key: str) -> DataFrame:
+    """One row per workbook: account, currency, free cash, dropped rows, and whether it can be used (``ok``).
 
-    Numbers and dates are still cell texts; they are read after the rows are
-    exploded (:func:`with_amounts`, ``excel_timestamp``). A report is usable
-    when it is a workbook, its summary block names a currency (if it has an
-    open-positions sheet at all) and its dates are dates. Each step is a
-    projection of its own, so headers and bodies are found once.
+    ``typed`` are :func:`typed_rows`. The account stands in the first row of the open-positions sheet, else of the cash
+    operations, else of the closed positions. The currency is the first one of the summary block, which ends at the
+    first row without first cell or with a note. Free cash is the amount text of the last total row (empty cell: ``0``).
+    A workbook can be used when it is readable, its summary block names a currency (if it has an open-positions sheet at
+    all) and its filled dates are dates. Operations without a time are dropped and counted.
     """
-    opened, cash, closed = (F.col(c) for c in SHEETS)
-    account = F.coalesce(sheet_account(opened), sheet_account(cash), sheet_account(closed), F.lit(""))
-    located = workbooks.withColumns(
-        {
-            "account_id": F.lit(account_override) if account_override else account,
-            "account_ccy": F.when(opened.isNotNull(), summary_currency(opened)).otherwise(F.lit("")),
-            "no_summary": opened.isNotNull(),
-            "open_at": header_position(opened, *OPEN_HEADER),
-            "cash_at": header_position(cash, *CASH_HEADER),
-            "closed_at": header_position(closed, *CLOSED_HEADER),
-        }
+    c, at = F.col("cells"), F.col("row_idx")
+    owner = F.when((at == 0) & header_is(c, "account number"), F.nullif(cell_text(c, 1), F.lit("")))
+    in_summary = _in(OPEN) & (at > F.col("summary_at"))
+    code = cell_text(c, 3)
+    timed = (F.col("kind") == "operation") & ~_blank(CASH_CELLS["time"])
+    bad_date = (timed & ~is_date_serial(cell(c, CASH_CELLS["time"]))) | ((F.col("kind") == "closed") & ~is_date_serial(cell(c, CLOSED_CELLS["close_time"])))
+    total = F.when(F.col("kind") == "total", F.struct(at, F.coalesce(cell(c, CASH_CELLS["amount"]), F.lit("0")).alias("amount")))
+    facts = typed.groupBy(key, "readable", "has_open").agg(
+        *[F.max(F.when(_in(sheet), owner)).alias(f"owner_{n}") for n, sheet in enumerate(SHEETS)],
+        F.min(F.when(in_summary & (cell(c, 0).isNull() | (_head() == "note")), at)).alias("stop"),
+        F.min(F.when(in_summary & (code != ""), F.struct(at, code.alias("code")))).alias("first"),
+        F.max(total)["amount"].alias("free_cash"),
+        F.count_if((F.col("kind") == "operation") & _blank(CASH_CELLS["time"])).alias("dropped_rows"),
+        F.coalesce(F.max(bad_date), F.lit(False)).alias("bad_date"),
     )
-    bodies = located.withColumns(
+    in_block = F.col("first").isNotNull() & (F.col("stop").isNull() | (F.col("first.row_idx") < F.col("stop")))
+    named = facts.withColumns(
         {
-            "open_rows": body_after(opened, F.col("open_at")),
-            "cash_rows": body_after(cash, F.col("cash_at")),
-            "closed_rows": closed_rows(body_after(closed, F.col("closed_at"))),
-            "no_summary": F.col("no_summary") & (F.col("account_ccy") == ""),
+            "account_id": F.coalesce(*[F.col(f"owner_{n}") for n in range(len(SHEETS))], F.lit("")),
+            "account_ccy": F.when(in_block, F.col("first.code")).otherwise(F.lit("")),
         }
     )
-    typed = bodies.withColumns({"free_cash": free_cash(cash), "cash_rows": operation_rows(cash)})
-    bad_date = _bad_date(cash, CASH_CELLS["time"]) | _bad_date(closed, CLOSED_CELLS["close_time"])
-    return typed.withColumns(
-        {
-            "positions": open_positions(opened),
-            "operations": cash_operations(cash),
-            "closed": closed_positions(closed),
-            "dropped_rows": F.coalesce(F.size(F.filter(cash, lambda r: _blank(r, CASH_CELLS["time"]))), F.lit(0)),
-            "ok": F.col("readable") & ~F.col("no_summary") & ~bad_date,
-        }
-    ).drop(*SHEETS, "no_summary", "open_at", "cash_at", "closed_at")
+    usable = F.col("readable") & ~(F.col("has_open") & (F.col("account_ccy") == "")) & ~F.col("bad_date")
+    return named.select(key, "account_id", "account_ccy", "free_cash", "dropped_rows", usable.alias("ok"))
+
+
+def positions(typed: DataFrame) -> DataFrame:
+    """The position rows; the value stays text."""
+    c, names = F.col("cells"), ("product", "instrument", "ticker", "category")
+    fields = [cell_text(c, OPEN_CELLS[n]).alias(n) for n in names]
+    return typed.filter("kind = 'position'").withColumns({n: f for n, f in zip(names, fields)} | {"value": cell(c, OPEN_CELLS["value"])})
+
+
+def operations(typed: DataFrame) -> DataFrame:
+    """The operations that have a time; time and amount stay text."""
+    c, names = F.col("cells"), ("type", "ticker", "id", "comment", "position")
+    timed = typed.filter(F.col("kind") == "operation").filter(~_blank(CASH_CELLS["time"]))
+    return timed.withColumns({n: cell_text(c, CASH_CELLS[n]) for n in names} | {n: cell(c, CASH_CELLS[n]) for n in ("time", "amount")})
+
+
+def closed_positions(typed: DataFrame) -> DataFrame:
+    """The closed rows; close time and commission stay text."""
+    c = F.col("cells")
+    return typed.filter("kind = 'closed'").withColumns(
+        {"position": cell_text(c, CLOSED_CELLS["position"])} | {n: cell(c, CLOSED_CELLS[n]) for n in ("close_time", "commission")}
+    )
 
 
 # ---------------------------------------------------------------- long form

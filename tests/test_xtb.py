@@ -1,9 +1,14 @@
+import io
+import tracemalloc
+import zipfile
+
+import pyarrow as pa
 import pytest
 
 from tally.brokers import xtb
 from tally.functions.fernet import encrypt_payload
 from tally.schemas import EVENTS, SNAPSHOT, plain
-from tally.sources.workbook import cells, read_workbooks
+from tally.sources.workbook import _read_batches, sheet_rows, workbook_rows
 
 from .conftest import KEY, has_schema, rows
 from .payloads import DAY1, DAY2, TIME, raw, raw_row, report
@@ -109,26 +114,141 @@ def test_undecryptable_rows_are_dropped(spark):
 
 def test_cells_in_long_form(spark):
     body = single(spark).selectExpr("payload_hash", "payload AS body")
-    long = cells(read_workbooks(body), ["payload_hash"])
+    long = sheet_rows(body)
     assert long.filter("sheet = 'cash operation' AND row_idx = 1").first().cells[0] == "Type"
     assert long.filter("sheet = 'open position' AND row_idx = 6").first().cells == ["Plan", "Fjord Index", "FJD.DE", "ETF", None, "3", "411.3"]
 
 
 @pytest.mark.parametrize("claim", ['<row r="1000000000"', '<row r="0"', '<row r="2"><c r="ZZZZ9"><v>1</v></c></row><row r="3"'])
 def test_a_file_that_claims_more_than_a_sheet_holds_is_unreadable(claim):
-    import io
-    import zipfile
-
-    from tally.sources.workbook import workbook_sheets
-
     made, out = zipfile.ZipFile(io.BytesIO(report())), io.BytesIO()
     with zipfile.ZipFile(out, "w") as book:
         for name in made.namelist():
             book.writestr(name, made.read(name).decode().replace('<row r="3"', claim))
     with pytest.raises(ValueError):
-        workbook_sheets(out.getvalue())
+        list(workbook_rows(out.getvalue()))
 
 
 @pytest.mark.parametrize("raw_type, kind", [*xtb.OPERATION_TYPES.items(), ("Stock sale", "UNKNOWN")])
 def test_operation_types(raw_type, kind):
     assert xtb.OPERATION_TYPES.get(raw_type, "UNKNOWN") == kind
+
+
+# ---------------------------------------------------------------- reading no more than needed
+
+
+def tried(spark, *entries):
+    found = xtb.latest_reports(uploads(spark, *entries))
+    return sorted((r.source_file, r.fetched_at.day) for r in found.tried.collect()), rows(found.facts, "account_id", "source_file")
+
+
+def test_only_the_newest_reports_are_read_when_they_can_be_used(spark):
+    good = [(report(account=str(a)), day, f"PLN_{a}_{n}.xlsx") for a in (111, 222, 333) for n, day in ((1, DAY1), (2, DAY2))]
+    read, latest = tried(spark, *good)
+    assert [f for f, _ in read] == ["PLN_111_2.xlsx", "PLN_222_2.xlsx", "PLN_333_2.xlsx"]
+    assert latest == [("111", "PLN_111_2.xlsx"), ("222", "PLN_222_2.xlsx"), ("333", "PLN_333_2.xlsx")]
+
+
+def test_accounts_without_a_usable_report_go_on_to_older_ones(spark):
+    entries = [(report(account="111"), DAY1, f"PLN_111_{n}.xlsx") for n in range(9)]
+    entries += [(report(account="222") if n < 5 else b"broken", DAY1, f"PLN_222_{n}.xlsx") for n in range(9)]
+    entries += [(b"broken", DAY1, f"PLN_333_{n}.xlsx") for n in range(5)]
+    entries += [(report(account="444"), DAY2, "other.xlsx"), (report(account="444"), DAY1, "PLN_444_1.xlsx"), (b"broken", DAY1, "none.xlsx")]
+    read, latest = tried(spark, *entries)
+    per_account = {a: sum(f.startswith(f"PLN_{a}_") for f, _ in read) for a in (111, 222, 333, 444)}
+    assert per_account == {111: 1, 222: 8, 333: 5, 444: 1}  # one, then one, two and four more
+    assert ("other.xlsx", DAY2.day) in read and ("none.xlsx", DAY1.day) in read
+    assert latest == [("111", "PLN_111_8.xlsx"), ("222", "PLN_222_4.xlsx"), ("444", "other.xlsx")]
+
+
+def test_a_report_that_is_stored_twice_counts_once(spark):
+    once, twice = single(spark), uploads(spark, (report(), DAY1, FILE), (report(), DAY1, FILE))
+    for table in (xtb.snapshot, xtb.events):
+        assert rows(table(twice)) == rows(table(once))
+
+
+def test_no_reports(spark):
+    nothing = single(spark).filter("false")
+    assert xtb.snapshot(nothing).count() == 0 and xtb.events(nothing).count() == 0
+    assert xtb.report_notes(xtb.latest_reports(nothing)).first().asDict() == {"unusable_reports": 0, "dropped_cash_rows": 0, "account_mismatches": 0}
+
+
+# ---------------------------------------------------------------- the streaming reader
+
+
+def rewritten(change):
+    """The usual report with its open-positions sheet changed as text."""
+    made, out = zipfile.ZipFile(io.BytesIO(report())), io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        for name in made.namelist():
+            text = made.read(name).decode()
+            book.writestr(name, change(text) if "OPEN" in text.upper() and "Fjord" in text else text)
+    return out.getvalue()
+
+
+def test_a_gap_between_rows_is_one_empty_row():
+    found = [(at, cells[:1]) for sheet, at, cells in workbook_rows(rewritten(lambda t: t.replace('<row r="9">', '<row r="400">').replace('<row r="10">', '<row r="401">'))) if sheet == "open position"]
+    assert [at for at, _ in found] == [0, 1, 2, 3, 4, 5, 6, 7, 8, 399, 400]
+    assert found[8] == (8, [])
+
+
+def test_a_gap_ends_the_summary_block(spark):
+    moved = rewritten(lambda t: t.replace('<row r="3">', '<row r="3"></row><row r="4">').replace('<row r="4"><c r="A4"', '<row r="5"><c r="A4"').split('<row r="5">')[0] + "</sheetData></worksheet>")
+    assert not xtb.parsed_reports(uploads(spark, (moved, DAY1, FILE))).facts.first().ok
+
+
+def test_every_kind_of_cell():
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    row = (
+        '<x:c r="B1" t="s"><x:v>1</x:v></x:c><x:c t="b"><x:v>1</x:v></x:c><x:c r="E1" t="e"><x:v>#N/A</x:v></x:c>'
+        '<x:c r="F1"><x:f>A1+1</x:f><x:v>2.50</x:v></x:c><x:c r="G1" t="inlineStr"><x:is><x:r><x:t>a</x:t></x:r><x:r><x:t> b</x:t></x:r></x:is></x:c>'
+        '<x:c r="H1" t="str"><x:v></x:v></x:c><x:c r="I1"/>'
+    )
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="My CASH OPERATIONS" r:id="a"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="a" Target="/xl/some/part.xml"/></Relationships>')
+        book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>zero</t></si><si><r><t>o</t></r><r><t>ne</t></r></si></sst>')
+        book.writestr("xl/some/part.xml", f'<x:worksheet xmlns:x="{main}"><x:sheetData><x:row>{row}</x:row><x:row/></x:sheetData></x:worksheet>')
+    assert list(workbook_rows(out.getvalue())) == [
+        ("cash operation", 0, [None, "one", "True", None, "#N/A", "2.50", "a b", "", None]), ("cash operation", 1, []), (None, None, ["cash operation"]),
+    ]
+
+
+def large_report(count):
+    sheet = io.BytesIO()
+    with zipfile.ZipFile(sheet, "w", zipfile.ZIP_DEFLATED) as book:
+        made = zipfile.ZipFile(io.BytesIO(report()))
+        for name in made.namelist():
+            text = made.read(name).decode()
+            if "Free funds" not in text:
+                book.writestr(name, text)
+                continue
+            with book.open(name, "w") as part:
+                head, tail = text.split('<row r="3">', 1)[0], "</sheetData></worksheet>"
+                part.write(head.encode())
+                for n in range(count):
+                    part.write(f'<row r="{n + 3}"><c r="A{n + 3}" t="inlineStr"><is><t>Deposit</t></is></c><c r="E{n + 3}"><v>45700.5</v></c><c r="F{n + 3}"><v>{n}.5</v></c><c r="G{n + 3}"><v>{n}</v></c></row>'.encode())
+                part.write(tail.encode())
+    return sheet.getvalue()
+
+
+def _peak(count):
+    batch = pa.RecordBatch.from_pydict({"k": [1], "body": [large_report(count)]})
+    tracemalloc.start()
+    held = tracemalloc.get_traced_memory()[0]
+    total = sum(b.num_rows for b in _read_batches(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert total > count
+    return peak - len(batch.column("body")[0].as_buffer())
+
+
+def test_a_large_sheet_takes_no_more_memory_than_a_small_one():
+    assert _peak(150_000) < 1.3 * _peak(15_000) + (1 << 20)
+
+
+def test_a_large_report_in_whole(spark):
+    made = xtb.events(uploads(spark, (large_report(30_000), DAY1, FILE)))
+    assert rows(made.agg({"cash_amount": "sum", "*": "count"})) == [(sum(n + 0.5 for n in range(30_000)), 30_000)]
