@@ -17,8 +17,8 @@ from tally.operators.shaping import conform
 from tally.schemas import BROKER_NAMES, DEFAULT_TARGET, EVENTS, SNAPSHOT, plain
 from tally.sources.landing import FLEX, FLEX_EVENTS
 from tally.sources.xml_statements import (
-    EVENT_ATTRIBUTES, EVENT_SECTIONS, EVENTS_XML, SNAPSHOT_XML, accounts, base_currencies,
-    is_currency_row, items, parse_statements,
+    ACCOUNTS_XML, EVENT_ATTRIBUTES, EVENT_SECTIONS, EVENT_TIMES_XML, EVENTS_XML, SNAPSHOT_XML, TIME_ATTRIBUTES, accounts,
+    base_currencies, is_currency_row, items, parse_statements,
 )
 
 # --- fixed values: cash transaction types ---
@@ -276,23 +276,49 @@ def commission_mismatches(elements: DataFrame) -> DataFrame:
     return elements.filter(F.col("kind") == "Trade").agg(F.count_if(stuck).alias("unconverted_fees"))
 
 
+def _moment(text: Column) -> Column:
+    """A readable event time, else null."""
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+
+
 def event_facts(events: DataFrame) -> Column:
     """Earliest readable event time, earliest fetch and number of events, as one scalar subquery."""
-    text = F.col("event_datetime")
-    moment = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
     facts = F.struct(
-        F.min(moment).alias("earliest"), F.min("fetched_at").alias("fetched_at"), F.count(F.lit(1)).alias("events")
+        F.min(_moment(F.col("event_datetime"))).alias("earliest"), F.min("fetched_at").alias("fetched_at"),
+        F.count(F.lit(1)).alias("events"),
     )
     return events.agg(facts.alias("facts")).scalar()
 
 
-def opening_deposits(events: DataFrame, account_rows: DataFrame, target: str = DEFAULT_TARGET) -> DataFrame:
+def _time_of(kind: str):
+    return lambda e: text_or_empty(e[f"_{TIME_ATTRIBUTES[kind]}"])
+
+
+def statement_facts(raw: DataFrame, key: Key | None) -> Column:
+    """The same of stored statements, read with a schema that has the events' times and nothing else.
+
+    No element becomes a row: each payload's times are folded to their least and their number where they are read.
+    """
+    parsed = parse_statements(raw, FLEX_EVENTS, EVENT_TIMES_XML, key)
+    nothing = F.array().cast("array<string>")
+    times = [F.coalesce(F.transform(items(s, i), _time_of(i)), nothing) for s, i in EVENT_SECTIONS.items()]
+    found = parsed.select("fetched_at", F.concat(*times).alias("times"))
+    folded = found.select("fetched_at", F.array_min(F.transform("times", lambda t: _moment(iso_datetime(t)))).alias("earliest"), F.size("times").cast("long").alias("n"))
+    facts = F.struct(
+        F.min("earliest").alias("earliest"), F.min(F.when(F.col("n") > 0, F.col("fetched_at"))).alias("fetched_at"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("events"),
+    )
+    return folded.agg(facts.alias("facts")).scalar()
+
+
+def opening_deposits(events: DataFrame | Column, account_rows: DataFrame, target: str = DEFAULT_TARGET) -> DataFrame:
     """A synthetic opening deposit per account at midnight of the day before the earliest event.
 
-    ``account_rows`` is ``(account_id, base_ccy, fetched_at)``. An account
-    without name (none is known) gets one only when there are events.
+    ``events`` are events, or their facts. ``account_rows`` is ``(account_id,
+    base_ccy, fetched_at)``. An account without name (none is known) gets one
+    only when there are events.
     """
-    known = account_rows.withColumn("facts", event_facts(events))
+    known = account_rows.withColumn("facts", event_facts(events) if isinstance(events, DataFrame) else events)
     day = F.coalesce(
         F.date_trunc("day", "facts.earliest") - F.expr("interval 1 day"),
         F.lit(datetime(2020, 1, 1)).cast("timestamp"),
@@ -328,7 +354,7 @@ def last_accounts(raw: DataFrame, key: Key | None) -> DataFrame:
         .orderBy(F.col("fetched_at").desc(), F.col("payload_hash").desc())
         .limit(1)
     )
-    parsed = parse_statements(newest, FLEX_EVENTS, EVENTS_XML, key)
+    parsed = parse_statements(newest, FLEX_EVENTS, ACCOUNTS_XML, key)
     bases = base_currencies(accounts())
     unknown = F.create_map(F.lit(""), F.lit("USD"))
     return parsed.select(
@@ -342,7 +368,7 @@ def events(
     """Events of all statements, newest version per event id."""
     mapped = map_elements(event_elements(raw, key), target)
     if is_paper:
-        mapped = mapped.unionByName(opening_deposits(mapped, last_accounts(raw, key), target))
+        mapped = mapped.unionByName(opening_deposits(statement_facts(raw, key), last_accounts(raw, key), target))
     return dedup_newest(mapped, IBKR_EVENT_KEY)
 
 

@@ -81,9 +81,40 @@ def drop_known(incoming: DataFrame, existing: DataFrame, keys: Sequence[str] = R
     return incoming.join(keys_of(existing, keys), match_keys(incoming, keys), "left_anti")
 
 
-def merge_newest(df: DataFrame, tiebreak: Sequence[Column] | None = None) -> DataFrame:
-    """Raw rows of several tables merged: newest per content key, with its ``source_file``."""
-    return dedup_newest(df, RAW_KEY, tiebreak=tiebreak)
+# Where a stored row lies; together they name one row.
+ADDRESS = ("__file", "__row")
+
+
+def addressed(table: DataFrame) -> DataFrame:
+    """A table read from files, with every row's file and number in it."""
+    return table.select("*", F.col("_metadata.file_path").alias(ADDRESS[0]), F.col("_metadata.row_index").alias(ADDRESS[1]))
+
+
+def winners(df: DataFrame, keys: Sequence[str], address: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The address of each key's newest row; null keys are a key of their own.
+
+    One aggregate over narrow columns, which every map task folds before the shuffle. Equally old rows (undated ones
+    come last) are told apart by ``tiebreak``, then by address, the smallest first.
+    """
+    age = F.coalesce(-F.unix_micros(F.col("fetched_at").cast("timestamp")), F.lit((1 << 63) - 1)).alias("__age")
+    first = df.groupBy(*keys).agg(F.min(F.struct(age, *tiebreak, *address)).alias("__won"))
+    return first.select(*[F.col(f"__won.{a}").alias(a) for a in address])
+
+
+def merge_newest(
+    df: DataFrame, tiebreak: Sequence[Column] | Sequence[str] | None = None, address: Sequence[str] | None = None
+) -> DataFrame:
+    """Raw rows of several tables merged: newest per content key, with its ``source_file``.
+
+    With the columns of an ``address`` (see :func:`addressed`) the winners are found among keys and times alone, and
+    their rows, payloads included, are fetched by a semi-join that hashes the addresses: a payload is neither sorted nor
+    does it pass through a window. ``tiebreak`` then names columns, by which the smallest of equally old rows wins. Rows
+    without an address are ranked whole.
+    """
+    if address is None:
+        return dedup_newest(df, RAW_KEY, tiebreak=tiebreak)
+    won = winners(df, RAW_KEY, address, tiebreak or ())
+    return df.join(won.hint("shuffle_hash"), list(address), "left_semi").drop(*address)
 
 
 def orphans(destination: DataFrame, merged: DataFrame, keys: Sequence[str] = RAW_KEY) -> DataFrame:

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.operators.dedup import RAW_KEY, merge_newest, orphans
+from tally.operators.dedup import ADDRESS, RAW_KEY, merge_newest, orphans
 from tally.operators.quality import schema_check
 from tally.operators.shaping import observed, union_all
 from tally.schemas import PASS, RAW
 from tally.sources.lake import Lake
 
 
+_ADDRESSED = T.StructType([*RAW.fields, T.StructField(ADDRESS[0], T.StringType()), T.StructField(ADDRESS[1], T.LongType())])
+
+
 class SchemaConflict(RuntimeError):
     """A table whose schema is not the expected one."""
 
@@ -84,15 +87,17 @@ def merge_raw_tables(lake: Lake, sources: Iterable[str], destination: str, dry_r
     """Merge raw tables into one, newest row per content key.
 
     A destination that holds keys no source has, or another schema, is never
-    overwritten.
+    overwritten. Of equally old rows the one with the smallest ``source_file``
+    stays. Which rows stay is decided by keys, times and addresses; a payload
+    is moved once and sorted never.
     """
-    frames = [f for f in (lake.find("raw", s) for s in sources) if f is not None]
+    frames = [f for f in (lake.find("raw", s, with_address=True) for s in sources) if f is not None]
     held = lake.find("raw", destination)
     if held is not None:
         _require(held, RAW, destination)
     if not frames:
         return Change(False)
-    merged = merge_newest(union_all(frames, lake.spark, RAW))
+    merged = merge_newest(union_all(frames, lake.spark, _ADDRESSED), ["source_file"], ADDRESS)
     if held is not None:
         lost = orphans(held, merged, RAW_KEY).count()
         if lost:

@@ -15,7 +15,7 @@ from tally.functions import values as V
 from tally.operators import report as R
 from tally.operators.currency import convert, normalize_currency, rates_frame, unconvertible
 from tally.operators.dedup import (
-    IBKR_EVENT_KEY, LEDGER_EVENT_KEY, TRADING212_EVENT_KEY, XTB_EVENT_KEY, dedup_newest, drop_known,
+    ADDRESS, IBKR_EVENT_KEY, LEDGER_EVENT_KEY, TRADING212_EVENT_KEY, XTB_EVENT_KEY, addressed, dedup_newest, drop_known,
     duplicates_removed, latest_per_source, merge_newest, orphans,
 )
 from tally.operators.holdings import aggregate_percentages, extract_holdings, portfolio_holdings
@@ -27,6 +27,7 @@ from tally.operators.maintenance import raw_vocabulary, replace_value
 from tally.operators.quality import null_report, previous_counts, results_frame, table_checks, uncovered
 from tally.operators.shaping import conform
 from tally.plans import workload as L
+from tally.plans.jobs import ingest_raw
 from tally.schemas import EVENTS, EVENTS_MONEY, plain
 from tally.session import use_utc
 from tally.sources.json_payloads import decode_rows, explode_events
@@ -68,12 +69,13 @@ def doubles(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("double") for n in names})
 
 
-def docs(spark: SparkSession, d: str) -> DataFrame:
+def docs(spark: SparkSession, d: str, with_address: bool = False) -> DataFrame:
     """Documents as raw rows: the text is the payload, fetched in five rounds."""
-    return L.table(spark, d, "documents").selectExpr(
+    read = L.table(spark, d, "documents")
+    return (addressed(read) if with_address else read).selectExpr(
         "timestampadd(DAY, CAST(doc_id % 5 AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00') AS fetched_at",
         "'IBKR' AS broker", "source", "CAST(text AS BINARY) AS payload", "sha2(CAST(text AS BINARY), 256) AS payload_hash",
-        "concat('f', doc_id) AS source_file", "doc_id",
+        "concat('f', doc_id) AS source_file", "doc_id", *(ADDRESS if with_address else ()),
     )
 
 
@@ -96,6 +98,25 @@ def _(spark, d):
     return drop_known(incoming, docs(spark, d).filter("doc_id % 2 = 0")).select("doc_id", "source", "payload_hash")
 
 
+@register(
+    "ingest_batches",
+    f"""WITH {DOCS_SQL}, known AS (SELECT DISTINCT source, payload_hash FROM docs WHERE doc_id % 2 = 0)
+    SELECT d.source_file, d.source, d.payload_hash, strftime(d.fetched_at, '{STAMP}') AS fetched_at, CAST(doc_id % 2 AS INTEGER) AS batch
+    FROM docs d WHERE doc_id % 2 = 0 OR NOT EXISTS (SELECT 1 FROM known k WHERE k.source = d.source AND k.payload_hash = d.payload_hash)""",
+)
+def _(spark, d):
+    """Two batches, the second with all of the first one's content again, through encryption, key index and lake."""
+    rows = docs(spark, d)
+    ledger = L.new_ledger(spark, "ingest")
+    ingest_raw(ledger, rows.filter("doc_id % 2 = 0"), "ibkr", hand_on=False)
+    ingest_raw(ledger, rows, "ibkr", hand_on=False)
+    stored = ledger.lake.read("raw", "ibkr")
+    opened = decode_rows(stored, ledger.key, require_json=False).withColumn("payload_hash", F.sha2("body", 256))
+    return opened.select(
+        "source_file", "source", "payload_hash", stamp("fetched_at"), (F.substring("source_file", 2, 20).cast("long") % 2).cast("int").alias("batch")
+    )
+
+
 @register(
     "latest_snapshot_per_source",
     f"""WITH {DOCS_SQL} SELECT doc_id, source, strftime(fetched_at, '{STAMP}') AS fetched_at FROM docs
@@ -178,9 +199,10 @@ def _(spark, d):
     QUALIFY row_number() OVER (PARTITION BY broker, source, payload_hash ORDER BY fetched_at DESC, source_file) = 1""",
 )
 def _(spark, d):
-    first = docs(spark, d)
-    second = first.filter("doc_id % 3 = 0").withColumn("fetched_at", F.expr("fetched_at + INTERVAL 7 DAY"))
-    merged = merge_newest(first.unionByName(second), tiebreak=[F.col("source_file")])
+    first = docs(spark, d, with_address=True)
+    later = first.filter("doc_id % 3 = 0").withColumn("fetched_at", F.expr("fetched_at + INTERVAL 7 DAY"))
+    both = first.unionByName(later.withColumn("__file", F.concat("__file", F.lit("#later"))))
+    merged = merge_newest(both, ["source_file"], ADDRESS)
     return merged.select("source", "payload_hash", "source_file", stamp("fetched_at"))
 
 
@@ -1214,7 +1236,7 @@ def _(spark, d):
 @register(
     "xtb_reports_by_rank",
     """SELECT CAST(10000000 + c_custkey AS VARCHAR) AS account_id,
-      CAST(CASE WHEN c_custkey % 6 = 0 THEN 5 WHEN c_custkey % 3 = 0 THEN 3 WHEN c_custkey % 2 = 0 THEN 3 ELSE 1 END AS BIGINT) AS reports_read,
+      CAST(CASE WHEN c_custkey % 2 = 0 THEN 4 WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS reports_read,
       CASE WHEN c_custkey % 6 = 0 THEN 2 WHEN c_custkey % 3 = 0 THEN 4 WHEN c_custkey % 2 = 0 THEN 3 ELSE 5 END AS upload FROM customer""",
 )
 def _(spark, d):

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tally.brokers import BROKERS, Broker
 from tally.functions.fernet import Key, decrypt_columns, encrypt_columns, encrypt_payload
 from tally.operators.currency import ConversionError, normalize_currency, rates_frame, require_convertible
-from tally.operators.dedup import drop_known
 from tally.operators.holdings import consolidate_holdings, portfolio_holdings
 from tally.operators.income import income_base, income_tables, lacks_target, require_target, with_periods
 from tally.operators.ledger import consolidate_events
@@ -26,6 +25,7 @@ from tally.schemas import (
     EVENTS, EVENTS_MONEY, FAIL, HOLDINGS_MONEY, INCOME_MONEY, INTEREST_INCOME, PORTFOLIO_HOLDINGS, RAW,
     SNAPSHOT, SNAPSHOT_MONEY, WARN,
 )
+from tally.sources.keys import KeyIndex, content_key
 from tally.sources.lake import Lake
 from tally.sources.landing import require_sources
 from tally.sources.scratch import Scratch
@@ -61,30 +61,40 @@ class Ledger:
 def ingest_raw(ledger: Ledger, batch: DataFrame, name: str, hand_on: bool = True) -> DataFrame | None:
     """Encrypt a batch and append what is new; with ``hand_on``, return the whole encrypted batch.
 
-    Tokens differ with every evaluation (random IV), so a batch that is handed
-    on is written out once to the shared folder; both the append and the caller
-    read that copy, which survives lost executors. It keeps rows that were
-    already stored, until the caller clears the lake's stash. Without ``hand_on`` the batch is encrypted and appended in one pass.
+    Tokens differ with every evaluation (random IV) and a landing directory may
+    change, so the batch is written out once to the shared folder; the search
+    for known content, the append and the caller read that copy, which survives
+    lost executors. A batch that is handed on keeps rows that were already
+    stored and lies there until the caller clears the lake's stash.
     """
     sealed = encrypt_payload(conform(batch, RAW), ledger.key)
     if hand_on:
         sealed = ledger.lake.stash(sealed, f"batch-{name}")
-    append_new(ledger.lake, sealed, name)
-    return sealed if hand_on else None
+        append_new(ledger.lake, sealed, name)
+        return sealed
+    with ledger.lake.scratch() as scratch:
+        append_new(ledger.lake, scratch.written(sealed, f"batch-{name}"), name)
+    return None
 
 
 def append_new(lake: Lake, batch: DataFrame, name: str) -> None:
-    """Append the rows whose content is not stored yet.
+    """Append the rows of a stored batch whose content the table does not hold yet.
 
-    When there is nothing to append, a table without rows is still created, and
-    an existing one gets no files.
+    Only the batch's keys meet the index of known ones, once; the rows are then
+    picked by the few keys that are new. Copies inside the batch all stay. When
+    there is nothing to append, a table without rows is still created, and an
+    existing one gets no files.
     """
-    existing = lake.find("raw", name)
-    fresh = batch if existing is None else drop_known(batch, existing)
-    if not fresh.isEmpty():
-        lake.append(fresh, "raw", name)
-    elif existing is None:
-        lake.create(RAW, "raw", name)
+    index = KeyIndex(lake, name)
+    with lake.scratch() as scratch:
+        fresh = scratch.written(index.unknown(batch), "fresh-keys")
+        if fresh.isEmpty():
+            lake.create(RAW, "raw", name)
+            return
+        rows = batch.withColumn("key", content_key()).join(fresh, "key", "left_semi").drop("key")
+        with index.changing():
+            lake.append(rows, "raw", name, indexed=True)
+            index.add(fresh)
 
 
 # ---------------------------------------------------------------- broker runs

@@ -9,6 +9,7 @@ twin for the comparison engine.
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 from decimal import Decimal
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 from tally.operators.currency import normalize_currency, rates_frame
 from tally.operators.holdings import consolidate_holdings, portfolio_holdings
 from tally.operators.income import with_periods
-from tally.sources.scratch import Scratch
+from tally.plans.jobs import Ledger
+from tally.sources.lake import Lake
+from tally.sources.scratch import Scratch, shared_folder
 
 TARGET = "EUR"
 DEMO_KEY = "cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4="
@@ -32,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_ledger(spark: SparkSession, name: str) -> Ledger:
+    """A ledger over an empty lake in the shared folder."""
+    return Ledger(Lake(spark, f"{shared_folder(spark)}/lakes/{name}-{uuid.uuid4().hex}"), DEMO_KEY, target=TARGET, manual_rates=RATES)
+
+
 def rates(spark: SparkSession) -> DataFrame:
     return rates_frame(spark, manual=RATES)
 

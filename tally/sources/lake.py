@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tally.operators.dedup import addressed
 from tally.operators.shaping import empty
 from tally.schemas import LAYERS, RAW
 from tally.sources.scratch import Scratch
@@ -65,10 +66,12 @@ class Lake:
             raise FileNotFoundError(f"no table {name} in layer {layer} under {self.root}")
         return found
 
-    def find(self, layer: str, name: str) -> DataFrame | None:
+    def find(self, layer: str, name: str, with_address: bool = False) -> DataFrame | None:
+        """The table, or None; ``with_address`` adds where each row lies (see ``tally.operators.dedup.addressed``)."""
         if not self.exists(layer, name):
             return None
         table = self.spark.read.format(self.fmt).load(self.path(layer, name))
+        table = addressed(table) if with_address else table
         if layer not in PARTITIONS:
             return table
         # a reader puts partition columns last, and knows no type where all of their values are null
@@ -85,7 +88,10 @@ class Lake:
     def _parts(columns: Sequence[str], layer: str, partition_by: Sequence[str] | None) -> list[str]:
         return [c for c in (PARTITIONS.get(layer, ()) if partition_by is None else partition_by) if c in columns]
 
-    def append(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] | None = None) -> None:
+    def append(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] | None = None, indexed: bool = False) -> None:
+        """Add rows. ``indexed``: the caller keeps the index of content keys in step; else it is built anew when asked for."""
+        if layer == "raw" and not indexed:
+            self.forget_keys(name)
         parts = self._parts(df.columns, layer, partition_by)
         df.write.format(self.fmt).mode("append").partitionBy(*parts).save(self.path(layer, name))
 
@@ -101,6 +107,11 @@ class Lake:
         below = "/".join([self.path(layer, name), *(f"{c}={_NO_VALUE}" for c in parts)])
         empty(self.spark, schema).drop(*parts).coalesce(1).write.format(self.fmt).save(below)
 
+    def forget_keys(self, name: str) -> None:
+        """Delete the index of a raw table's content keys (see ``tally.sources.keys``)."""
+        fs, target = self._fs(f"{self.root}/_keys/{name}")
+        fs.delete(target, True)
+
     # ------------------------------------------------------------ copies on the way
 
     def stash(self, df: DataFrame, name: str) -> DataFrame:
@@ -134,6 +145,8 @@ class Lake:
         ``approve`` runs between the two and keeps the old table by raising.
         """
         path, parts = self.path(layer, name), self._parts(df.columns, layer, partition_by)
+        if layer == "raw":
+            self.forget_keys(name)
         if not self.swaps:
             writer = df.write.format("delta").mode("overwrite").option("overwriteSchema", "true")
             writer.partitionBy(*parts).save(path)
@@ -202,7 +215,7 @@ class Lake:
             path = self.path(layer, name)
             self.spark.catalog.refreshByPath(path)
             try:
-                self.spark.read.format(self.fmt).load(path).createOrReplaceTempView(alias)
+                self.find(layer, name).createOrReplaceTempView(alias)
             except AnalysisException:  # a directory without data files is not a table
                 continue
             names.append(alias)

@@ -62,6 +62,10 @@ SNAPSHOT_XML = _statement(
 EVENTS_XML = _statement(
     _ACCOUNTS, *[_section(s, i, EVENT_ATTRIBUTES) for s, i in EVENT_SECTIONS.items()]
 )
+ACCOUNTS_XML = _statement(_ACCOUNTS)
+# The times of events alone; an element's time is in one of two attributes.
+TIME_ATTRIBUTES = {i: "date" if i == "TransactionFee" else "dateTime" for i in EVENT_SECTIONS.values()}
+EVENT_TIMES_XML = _statement(*[_section(s, i, (TIME_ATTRIBUTES[i],)) for s, i in EVENT_SECTIONS.items()])
 RATES_XML = _statement(_section("ConversionRates", "ConversionRate", RATE_ATTRIBUTES))
 
 

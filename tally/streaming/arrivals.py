@@ -9,11 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tally.brokers import BROKERS
-from tally.functions.fernet import encrypt_payload
 from tally.functions.values import file_name
-from tally.operators.shaping import conform
-from tally.plans.jobs import Ledger, append_new, transform_broker
-from tally.schemas import RAW
+from tally.plans.jobs import Ledger, ingest_raw, transform_broker
 from tally.sources.landing import BINARY_FILE, XTB_REPORT, raw_rows
 
 
@@ -44,7 +41,7 @@ def ingest_arrivals(
     def ingest(batch: DataFrame, _batch_id: int) -> None:
         stamp = F.col("modificationTime") if fetched_at is None else F.lit(fetched_at).cast("timestamp")
         rows = raw_rows(batch.withColumn("__at", stamp), broker, kind, file_name("path"), stamp=F.col("__at"))
-        append_new(ledger.lake, encrypt_payload(conform(rows, RAW), ledger.key), broker)
+        ingest_raw(ledger, rows, broker, hand_on=False)
 
     query = (
         arriving_files(ledger, path, glob)

@@ -86,6 +86,44 @@ def test_merge_keeps_the_winners_file(spark):
     assert rows(D.merge_newest(df), "payload_hash", "source_file") == [("h", "new"), ("i", "only")]
 
 
+def stored(spark, tmp_path, *parts):
+    """RAW rows written as tables and read back with their addresses."""
+    tables = []
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, RAW).coalesce(1).write.parquet(str(tmp_path / str(n)))
+        tables.append(D.addressed(spark.read.parquet(str(tmp_path / str(n)))))
+    merged = tables[0]
+    for table in tables[1:]:
+        merged = merged.unionByName(table)
+    return merged
+
+
+def test_merge_of_stored_rows(spark, tmp_path):
+    first = [(1, "B", "s", "h", "old"), (2, "B", "s", "h", "new"), (1, "B", "s", "i", "b"), (1, "B", "s", "i", "a"), (None, "B", "s", "j", "undated")]
+    second = [(2, "B", "s", "h", "new"), (1, "B", "s", "j", "dated"), (1, None, "s", "h", "n"), (1, None, "s", "h", "n"), (1, "B", None, None, None)]
+    df = stored(spark, tmp_path, first, second)
+    merged = D.merge_newest(df, ["source_file"], D.ADDRESS)
+    assert merged.columns == [c.split()[0] for c in RAW.split(", ")]
+    assert rows(merged, "broker", "payload_hash", "source_file") == sorted(
+        [("B", "h", "new"), ("B", "i", "a"), ("B", "j", "dated"), (None, "h", "n"), ("B", None, None)], key=repr
+    )
+
+
+def test_merge_moves_payloads_without_sorting_them(spark, tmp_path):
+    spark.createDataFrame([(1, "B", "s", b"body", "h", "f")], "fetched_at int, broker string, source string, payload binary, payload_hash string, source_file string").withColumn(
+        "fetched_at", D.F.timestamp_seconds("fetched_at")
+    ).write.parquet(str(tmp_path / "raw"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_of(D.merge_newest(D.addressed(spark.read.parquet(str(tmp_path / "raw"))), ["source_file"], D.ADDRESS))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    physical = text[text.index("Physical Plan"):]
+    assert "ShuffledHashJoin" in physical and "Window" not in physical
+    above, reads_payloads, reads_keys = physical.split("FileScan parquet")
+    assert "Sort" not in above and "payload:binary" in reads_payloads and "payload:binary" not in reads_keys
+
+
 def test_orphans(spark):
     held = spark.createDataFrame([(1, "B", "s", "h", "f"), (1, "B", "s", "gone", "f")], RAW)
     merged = spark.createDataFrame([(1, "B", "s", "h", "f")], RAW)

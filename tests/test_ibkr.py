@@ -5,7 +5,7 @@ from tally.functions.fernet import encrypt_payload
 from tally.schemas import EVENTS, SNAPSHOT, plain
 from tally.sources.xml_statements import conversion_rates
 
-from .conftest import KEY, has_schema, rows
+from .conftest import KEY, has_schema, plan_of, rows
 from .payloads import ACCOUNT, DAY1, DAY2, element, events_xml, raw, raw_row, snapshot_xml, statement
 
 
@@ -131,6 +131,21 @@ def test_paper_deposits(spark):
     assert df.count() == 8 and ibkr.events(one(spark, events_xml())).count() == 7
 
 
+def test_statement_facts_equal_those_of_the_mapped_events(spark):
+    unread = element("Trade", accountId="U1", currency="USD", ibExecID="x", dateTime="soon")
+    dated = element("TransactionFee", accountId="U1", currency="USD", date="20240229", taxDescription="levy", taxAmount="1")
+    for raw in (one(spark, events_xml()), one(spark, statement(("Trades", [unread]), ("TransactionFees", [dated]), account="U1", currency="USD")), one(spark, statement(account="U1", currency="USD"))):
+        narrow = spark.range(1).select(ibkr.statement_facts(raw, None).alias("f")).select("f.*")
+        whole = spark.range(1).select(ibkr.event_facts(ibkr.map_elements(ibkr.event_elements(raw))).alias("f")).select("f.*")
+        assert rows(narrow) == rows(whole)
+
+
+def test_one_full_parse_with_paper_deposits(spark):
+    plan = ibkr.events(one(spark, events_xml()), is_paper=True)._jdf.queryExecution().executedPlan().toString()
+    parses = plan.split("from_xml(")[1:]
+    assert len(parses) == 3 and sum("StructField(_ibCommission," in p for p in parses) == 1
+
+
 def test_paper_deposit_without_events_or_accounts(spark):
     quiet = ibkr.events(one(spark, statement(account="U1", currency="BASE")), is_paper=True).collect()
     assert [(r.account_id, r.security_ccy, r.event_datetime, r.target_fx_rate) for r in quiet] == [("U1", "USD", "2020-01-01T00:00:00Z", None)]

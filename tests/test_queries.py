@@ -45,10 +45,11 @@ def test_every_query_has_a_twin():
 
 
 # checks of a whole table are made on the driver, so these run their aggregate when they are built; workbooks are
-# written once a session, and their reports are read in rounds that depend on what the round before found
+# written once a session, and their reports are read in rounds that depend on what the round before found; jobs write
+# their tables
 AT_BUILD = {
     "dq_table_checks", "crypto_decrypt_all", "workbook_cells", "xtb_snapshot", "xtb_events", "xtb_report_notes",
-    "xtb_latest_report_fallback", "xtb_reports_by_rank",
+    "xtb_latest_report_fallback", "xtb_reports_by_rank", "ingest_batches",
 }
 
 
