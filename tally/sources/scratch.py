@@ -32,24 +32,41 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 class Scratch:
-    """Writes tables into the shared folder and deletes them on :meth:`clear`."""
+    """Writes tables into the shared folder; each is deleted by :meth:`drop`, all that are left by :meth:`clear`."""
 
     def __init__(self, spark: SparkSession, fallback: str | None = None):
         self.spark = spark
         self._fallback = fallback
-        self._paths: list[str] = []
+        self._tables: list[tuple[DataFrame | None, str]] = []
+
+    def new_path(self, name: str) -> str:
+        """A path in the shared folder that nothing has used yet."""
+        path = f"{shared_folder(self.spark, self._fallback)}/{name}-{uuid.uuid4().hex}"
+        self._tables.append((None, path))
+        return path
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         """The rows of ``df`` computed once and read back, which cuts the lineage: no lost executor costs them."""
-        path = f"{shared_folder(self.spark, self._fallback)}/{name}-{uuid.uuid4().hex}"
-        self._paths.append(path)
+        path = self.new_path(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self._tables[-1] = table, path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that :meth:`written` returned; call it behind the last action that reads them."""
+        for table in tables:
+            for entry in [e for e in self._tables if e[0] is table]:
+                self._tables.remove(entry)
+                self._delete(entry[1])
 
     def clear(self) -> None:
-        while self._paths:
-            target = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop())
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        while self._tables:
+            self._delete(self._tables.pop()[1])
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
     def __enter__(self) -> Scratch:
         return self
