@@ -10,6 +10,7 @@ correct the lines of bad documents that it finds good (and of good documents tha
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -118,47 +119,78 @@ class LineField:
         return np.clip(lines.per_text(good * length) / lines.per_text(length), 0, 1)
 
 
+@dataclass(frozen=True)
+class LineSample:
+    """Stretches of lines of labelled texts: features in 32 bits, and the first line of each text's stretch."""
+
+    features: np.ndarray
+    first: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.first) - 1
+
+
+def sample_of(texts: list[str], most_lines: int | None = None) -> LineSample:
+    """Of each text ``most_lines`` consecutive lines, from a place that a hash of the text gives; all of shorter ones.
+
+    Features are those of the lines within their whole texts.
+    """
+    lines = Lines(Words.of(texts))
+    features = line_features(lines).astype(np.float32)
+    kept = []
+    for i, text in enumerate(texts):
+        begin, end = int(lines.first[i]), int(lines.first[i + 1])
+        spare = end - begin - (most_lines or end - begin)
+        if spare > 0:
+            begin += zlib.crc32(text.encode("utf-8", "surrogatepass")) % (spare + 1)
+        kept.append(features[begin : min(end, begin + (most_lines or end))])
+    first = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int64)
+    return LineSample(np.concatenate(kept) if kept else features, first)
+
+
 def fit(
-    texts: list[str], good: np.ndarray, steps: int = 80, rounds: int = 2, penalty: float = 1e-3, rate: float = 0.1, sure: float = 0.95
+    texts: list[str] | LineSample, good: np.ndarray, steps: int = 80, rounds: int = 2, penalty: float = 1e-3, rate: float = 0.1, sure: float = 0.95
 ) -> LineField:
     """Fit the field to labelled texts (``good``: 1 or 0) by gradient ascent (Adam) on the lines' likelihood.
 
     Both classes weigh the same in all. Without texts of both classes every score is 0.5 or follows the one class.
+    A sample of lines is worked on as it is, in 32 bits: some 400 bytes a line in all.
     """
-    lines = Lines(Words.of(texts))
-    x, chains = line_features(lines), _Chains(lines.first)
+    sample = texts if isinstance(texts, LineSample) else sample_of(texts)
+    x, chains = sample.features, _Chains(sample.first)
     w, trans = np.zeros(x.shape[1]), np.zeros((2, 2))
-    if not texts:
+    if not len(sample):
         return LineField(w, trans)
-    y = good[lines.text].astype(float)
+    y = np.repeat(good, np.diff(sample.first)).astype(np.float32)
     later = np.ones(len(y), bool)
-    later[lines.first[:-1]] = False
+    later[sample.first[:-1]] = False
     at = np.flatnonzero(later)
     # a class's weight is shared by its lines; a chain lies within one class, so weights go with the chain
-    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)).astype(np.float32)
     for turn in range(rounds):
         seen = np.zeros((2, 2))
         np.add.at(seen, (y[at - 1].astype(int), y[at].astype(int)), 1.0)
         theta = np.concatenate([w, trans.ravel()])
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         for step in range(1, steps + 1):
-            p, expected = chains.marginals(x @ theta[:-4], theta[-4:].reshape(2, 2))
-            slope = np.concatenate([x.T @ ((y - p) * share), ((seen - expected) / len(y)).ravel()]) - penalty * theta
+            p, expected = chains.marginals(x @ theta[:-4].astype(np.float32), theta[-4:].reshape(2, 2))
+            slope = np.concatenate([x.T @ ((y - p.astype(np.float32)) * share), ((seen - expected) / len(y)).ravel()]) - penalty * theta
             m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope * slope
             theta += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, trans = theta[:-4], theta[-4:].reshape(2, 2)
         if turn + 1 < rounds:
-            alone = 1 / (1 + np.exp(-(x @ w)))  # the line without its neighbours' labels
-            y = np.where((y == 0) & (alone > sure), 1.0, np.where((y == 1) & (alone < 1 - sure), 0.0, y))
+            alone = 1 / (1 + np.exp(-(x @ w.astype(np.float32))))  # the line without its neighbours' labels
+            y = np.where((y == 0) & (alone > sure), 1.0, np.where((y == 1) & (alone < 1 - sure), 0.0, y)).astype(np.float32)
     return LineField(w, trans)
 
 
 def training_texts(
-    docs: DataFrame, labels: DataFrame, per_class: int = 1000, most_bytes: int = 20_000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality"
-) -> tuple[list[str], np.ndarray]:
-    """A bounded sample of labelled texts: of each class the ``per_class`` labelled ids with the smallest hash, texts
-    over ``most_bytes`` left out of the training. ``labels`` may hold ids several times; ids with differing or null
-    labels train nothing. The sample is what bounds memory: 2 * per_class * most_bytes at most."""
+    docs: DataFrame, labels: DataFrame, per_class: int = 1000, lines_per_text: int = 64, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality"
+) -> tuple[LineSample, np.ndarray]:
+    """A bounded sample of labelled lines: of each class the ``per_class`` labelled ids with the smallest hash, and of each
+    of their texts a stretch of ``lines_per_text`` lines, however long the text is. ``labels`` may hold ids several times;
+    ids with differing or null labels, and null texts, train nothing. Features are made where the texts are; the driver
+    gets 2 * per_class * lines_per_text * 43 numbers of 32 bits at most (22 MB), and no text."""
     agreed = labels.groupBy(id_column).agg(F.min(label_column).alias("low"), F.max(label_column).alias("high"))
     agreed = agreed.where((F.col("low") == F.col("high")) & F.col("low").isin(0, 1) & F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("id"), F.col("low").alias("good")
@@ -167,18 +199,23 @@ def training_texts(
     chosen = agreed.where("good = 1").orderBy(order).limit(per_class).unionAll(agreed.where("good = 0").orderBy(order).limit(per_class))
     rows = chosen.collect()  # 2 * per_class rows at most
     if not rows:
-        return [], np.empty(0)
-    sample = docs.sparkSession.createDataFrame(rows, chosen.schema)
-    texts = (
-        docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-        .where(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
-        .join(F.broadcast(sample), "id")  # the sample's size is bounded above
-        .groupBy("id", "good")
-        .agg(F.min("text").alias("text"))
-        .collect()
-    )
-    texts = sorted(texts, key=lambda r: (r["good"], str(r["id"])))
-    return [r["text"] for r in texts], np.array([r["good"] for r in texts])
+        return LineSample(np.empty((0, 3 * OWN + 1), np.float32), np.zeros(1, np.int64)), np.empty(0)
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in byte_slices(batches):
+            sample = sample_of(texts_of(part), lines_per_text)
+            blobs = [sample.features[a:b].tobytes() for a, b in zip(sample.first, sample.first[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("good"), pa.array(blobs, pa.binary())], ["id", "good", "lines"])
+
+    wanted = docs.sparkSession.createDataFrame(rows, chosen.schema)
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(F.col("text").isNotNull())
+    once = texts.join(F.broadcast(wanted), "id").groupBy("id", "good").agg(F.min("text").alias("text"))  # the sample's size is bounded above
+    schema = T.StructType([chosen.schema["id"], chosen.schema["good"], T.StructField("lines", T.BinaryType())])
+    found = sorted(once.mapInArrow(measure, schema).collect(), key=lambda r: (r["good"], str(r["id"])))
+    parts = [np.frombuffer(r["lines"], np.float32).reshape(-1, 3 * OWN + 1) for r in found]
+    first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    features = np.concatenate(parts) if parts else np.empty((0, 3 * OWN + 1), np.float32)
+    return LineSample(features, first), np.array([r["good"] for r in found])
 
 
 def quality_scores(docs: DataFrame, field: LineField, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -200,7 +237,11 @@ def quality_scores(docs: DataFrame, field: LineField, id_column: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, field: LineField, text_column: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns.
+
+    Null and empty texts get the probability of one empty line; repeated rows are judged each; texts are read whole,
+    whatever their length; an empty table gives an empty one, and columns may have any names.
+    """
     at = docs.columns.index(text_column)
     names = [f"c{i}" for i in range(len(docs.columns))]
 

@@ -1,46 +1,32 @@
-"""Tables written on the way, in the folder that all executors share."""
+"""Tables that this subpackage writes on the way, in the folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN: dict[str, str] = {}
-_PATHS: list[str] = []
+from tally.sources.scratch import Scratch
+
+_BY_APP: dict[str, Scratch] = {}
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of our own only where none is named (tests, one machine)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="tally-llm-")
-    return _OWN[app]
+def session_scratch(spark: SparkSession) -> Scratch:
+    """The tables that outlive the operator that wrote them, as its result reads them."""
+    return _BY_APP.setdefault(spark.sparkContext.applicationId, Scratch(spark))
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    path = f"{shared_folder(spark)}/tally-llm/{name}-{uuid.uuid4().hex}"
-    _PATHS.append(path)
-    return path
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this driver has written on the way; call it once no result is read from there any more."""
-    while _PATHS:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return session_scratch(spark).new_path(f"tally-llm/{name}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``df``, computed once and read back from a Parquet table in the shared folder.
 
     This cuts the lineage: a lost executor costs nothing that was written, and each later use reads the table.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (scratch or session_scratch(df.sparkSession)).written(df, f"tally-llm/{name}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this session has written on the way; call it once no result is read from there any more."""
+    session_scratch(spark).clear()

@@ -28,8 +28,9 @@ from pyspark.sql import types as T
 
 from tally.llm.batches import balanced, byte_slices, texts_of
 from tally.llm.components import components
-from tally.llm.scratch import written
+from tally.llm.scratch import session_scratch, written
 from tally.llm.words import Words, mixed
+from tally.sources.scratch import Scratch
 
 WIDTH = 5
 PERCENT = 80
@@ -245,7 +246,7 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return wide.view("<u8").ravel().astype(_U64)
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, scratch: Scratch) -> DataFrame:
     """(id, set): the shingles of the texts whose id is in ``wanted`` (id) and of few others, as packed 40-bit numbers in
     ascending order; in a pair of sets of thousands, less than one in 10 ** 5 pairs holds two shingles that share one,
     and such a pair is told wrongly only if a single shingle decides. A bit table of fixed size over hashes of the wanted ids keeps the rest from being sent."""
@@ -269,16 +270,20 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([_packed(hashes[a:b]) for a, b in zip(first, first[1:], strict=False)], pa.binary())], ["id", "set"])
 
     schema = T.StructType([docs.schema["id"], T.StructField("set", T.BinaryType())])
-    return docs.select("id", "text", (place - 1).alias("at")).mapInArrow(pack, schema)
+    sets = written(docs.select("id", "text", (place - 1).alias("at")).mapInArrow(pack, schema), "sets", scratch)
+    shared.destroy()
+    return sets
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.ndarray, percent: int, width: int, orders: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.ndarray, percent: int, width: int, orders: int, scratch: Scratch
+) -> DataFrame:
     """The pairs (a, b) that the sketches and the other orders' prefixes let through and whose sets overlap enough."""
-    pairs = written(_possible(pairs, texts, percent), "candidates")
+    pairs = written(_possible(pairs, texts, percent), "candidates", scratch)
     if pairs.isEmpty():
         return pairs
     first, second = pairs.select(F.col("a").alias("id")).distinct(), pairs.select(F.col("b").alias("id")).distinct()
-    sets = written(_sets_of(docs, first.unionAll(second).distinct(), width), "sets")
+    sets = _sets_of(docs, first.unionAll(second).distinct(), width, scratch)
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +311,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.
     # of the texts held against one, the one's set is sent for all of them once
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("left"))
     joined = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("right")), "b").join(left, "a")
-    return written(joined.select("a", "b", "left", "right").mapInArrow(verify, pairs.schema).distinct(), "links")
+    links = written(joined.select("a", "b", "left", "right").mapInArrow(verify, pairs.schema).distinct(), "links", scratch)
+    scratch.drop(pairs, sets)
+    shared.destroy()
+    return links
 
 
 def _stars(posts: DataFrame, fit) -> DataFrame:
@@ -339,41 +347,49 @@ def _without_leaders(posts: DataFrame) -> DataFrame:
 
 
 def shingle_components(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, width: int = WIDTH, orders: int = ORDERS
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, width: int = WIDTH, orders: int = ORDERS,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
     Two texts link when 100 * |intersection| >= percent * |union| of their sets of distinct ``width``-word shingles
     (A to Z lowered). Null, empty and blank texts have no shingles and link with nothing. Rows that repeat an id
     are one node: it links with whatever any of its texts links with. Ids must be integers; rows with a null id keep a null component. An empty table gives an empty one;
-    further columns are left behind. Very long texts are read whole.
+    further columns are left behind. Very long texts are read whole. What the result reads lies in ``scratch`` (the
+    session's own, if not given), what only a round needed is deleted behind it.
     """
+    scratch = scratch or session_scratch(docs.sparkSession)
     narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     known = narrow.where(F.col("id").isNotNull())
     parts = max(32, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     frequent, several = _count_shingles(known, parts)
-    posted = written(_postings(known, frequent, several, percent, width), "postings")
+    posted = written(_postings(known, frequent, several, percent, width), "postings", scratch)
 
     texts = posted.where("shingle is null").select("id", "n", "f1", "f2", "sketch")
-    same = written(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "equal-sets")  # equal sets link
+    same = written(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "equal-sets", scratch)  # equal sets link
     copies = texts.join(same, ["n", "f1", "f2"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
-    copies = written(copies, "copies")
+    copies = written(copies, "copies", scratch)
+    scratch.drop(same)
 
     def fit(x: str, y: str):
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
     posts = posted.where("shingle is not null").select("shingle", "id", "n", F.col("f1").alias("at"), F.col("f2").alias("lead"))
     common = posts.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1").select("shingle")
-    open_posts = written(posts.join(common, "shingle"), "shared-shingles")
-    links, tried, found = copies, None, None
+    open_posts = written(posts.join(common, "shingle"), "shared-shingles", scratch)
+    tried, found, known_links = None, None, copies
     for turn in range(ROUNDS):
-        pairs = written(_stars(_without_leaders(open_posts) if turn else open_posts, fit), "stars")
+        pairs = written(_stars(_without_leaders(open_posts) if turn else open_posts, fit), "stars", scratch)
         tried = pairs if tried is None else tried.unionAll(pairs)
-        more = _verified(pairs, texts, known, frequent, percent, width, orders)
-        links = links.unionAll(more)
-        found = written(components(links), "components")
+        more = _verified(pairs, texts, known, frequent, percent, width, orders, scratch)
+        # the components so far stand for all links so far
+        grown = written(components(known_links.unionAll(more), scratch=scratch), "components", scratch)
+        scratch.drop(known_links if found is None else found, more)
+        found, known_links = grown, grown.select(F.col("component").alias("a"), F.col("node").alias("b"))
         # components only grow, so a shingle that is in one component stays there
-        open_posts = written(_classed(open_posts.drop("c"), found), "open-posts")
+        still = written(_classed(open_posts.drop("c"), found), "open-posts", scratch)
+        scratch.drop(open_posts)
+        open_posts = still
 
     # what is still in different components under one shingle, pair by pair
     far = (F.least(F.col("n") - F.col("at"), F.col("m") - F.col("bt")) * (100 + percent)) >= (F.col("n") + F.col("m")) * percent
@@ -381,9 +397,10 @@ def shingle_components(
     pairs = open_posts.withColumnRenamed("id", "a").join(other, "shingle").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fit("n", "m") & far)
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
-    more = _verified(pairs, texts, known, frequent, percent, width, orders)
+    more = _verified(pairs, texts, known, frequent, percent, width, orders, scratch)
+    scratch.drop(open_posts)
 
-    merged = found if more.isEmpty() else components(links.unionAll(more))
+    merged = found if more.isEmpty() else components(known_links.unionAll(more), scratch=scratch)
     out = texts.select("id", "n").join(merged.withColumnRenamed("node", "id"), "id", "left")
     classed = out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     unknown = narrow.where(F.col("id").isNull())
@@ -394,10 +411,12 @@ def shingle_components(
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, width: int = WIDTH, orders: int = ORDERS) -> DataFrame:
     """The rows of ``docs`` with all their columns, of each component the one with the smallest id.
 
-    Rows alike in id and text are one document; texts without shingles and rows without an id all stay.
+    Rows alike in id and text are one document; texts without shingles (null, empty and blank ones) and rows without an
+    id all stay. Texts are read whole, however long; an empty table gives an empty one.
     """
-    found = shingle_components(docs, id_column, text_column, percent, width, orders)
-    found = written(found.select(F.col(id_column).alias("__id"), "n_shingles", "component_id"), "classes")
+    with Scratch(docs.sparkSession) as scratch:  # all but the classes goes once they are written
+        found = shingle_components(docs, id_column, text_column, percent, width, orders, scratch)
+        found = written(found.select(F.col(id_column).alias("__id"), "n_shingles", "component_id"), "classes")
     others = found.where("component_id <> __id").select("__id").distinct()
     again = found.where("n_shingles > 0 and __id is not null").groupBy("__id").count().where("count > 1").select("__id")
     again = written(again, "repeated-ids")
