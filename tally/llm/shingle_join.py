@@ -317,12 +317,16 @@ def _verified(
     return links
 
 
-def _stars(posts: DataFrame, fit) -> DataFrame:
-    """Distinct (a, b): each text b under a shingle with the text a that leads there (the smallest ``lead``), unless one
-    component holds both."""
-    classed = "c" in posts.columns
-    leaders = posts.groupBy("shingle").agg(F.min("lead").alias("first"))
-    held = posts.join(leaders, "shingle")
+def _led(posts: DataFrame) -> DataFrame:
+    """The posts of shingles that stand in two texts or more, with ``first``, the smallest ``lead`` under each."""
+    facts = posts.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("lead").alias("first"))
+    return posts.join(facts.where("texts > 1").select("shingle", "first"), "shingle")
+
+
+def _stars(held: DataFrame, fit) -> DataFrame:
+    """Distinct (a, b): each text b under a shingle (see ``_led``) with the text a that leads there, unless one component
+    holds both."""
+    classed = "c" in held.columns
     named = held.where("lead = first").groupBy("first").agg(F.min("id").alias("a"), F.min("n").alias("m"), *([F.min("c").alias("d")] if classed else []))
     others = held.where("lead <> first").select("first", "id", "n", *(["c"] if classed else [])).distinct()
     pairs = others.join(named, "first").where((F.col("id") != F.col("a")) & fit("n", "m"))
@@ -375,11 +379,10 @@ def shingle_components(
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
     posts = posted.where("shingle is not null").select("shingle", "id", "n", F.col("f1").alias("at"), F.col("f2").alias("lead"))
-    common = posts.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1").select("shingle")
-    open_posts = written(posts.join(common, "shingle"), "shared-shingles", scratch)
+    open_posts = written(_led(posts), "shared-shingles", scratch)
     tried, found, known_links = None, None, copies
     for turn in range(ROUNDS):
-        pairs = written(_stars(_without_leaders(open_posts) if turn else open_posts, fit), "stars", scratch)
+        pairs = written(_stars(_led(_without_leaders(open_posts)) if turn else open_posts, fit), "stars", scratch)
         tried = pairs if tried is None else tried.unionAll(pairs)
         more = _verified(pairs, texts, known, frequent, percent, width, orders, scratch)
         # the components so far stand for all links so far
@@ -387,7 +390,7 @@ def shingle_components(
         scratch.drop(known_links if found is None else found, more)
         found, known_links = grown, grown.select(F.col("component").alias("a"), F.col("node").alias("b"))
         # components only grow, so a shingle that is in one component stays there
-        still = written(_classed(open_posts.drop("c"), found), "open-posts", scratch)
+        still = written(_classed(open_posts.drop("c", "first"), found), "open-posts", scratch)
         scratch.drop(open_posts)
         open_posts = still
 
