@@ -10,7 +10,7 @@ import pytest
 
 from tally.llm.automaton import SEPARATOR, compiled
 from tally.llm.licenses import TEMPLATES, Scanner, increasing, license_scan, patience
-from tally.llm.line_crf import _Chains, fit, held_out, keep_good, quality_scores, training_texts
+from tally.llm.line_crf import _Chains, fit, held_out, keep_good, quality_scores, sample_of, training_texts
 from tally.llm.quality_rules import quality_rules
 from tally.llm.secrets import RULES, redact_secrets, secret_scan, spans_of
 from tests.llm.awkward import collected, documents, prose, texts
@@ -91,6 +91,19 @@ def test_field_tells_good_from_bad_lines(spark):
     assert keep_good(documents(spark, []), field).count() == 0
 
 
+def test_training_holds_a_bounded_number_of_lines():
+    texts_ = ["a\n" * 10_000 + str(i) for i in range(40)] + [prose(i) + "\n" + prose(i + 500) for i in range(40)]
+    sample = sample_of(texts_, 64)
+    assert sample.features.shape == (40 * 64 + 40 * 2, 43) and sample.features.dtype == np.float32
+    assert np.diff(sample.first).tolist() == [64] * 40 + [2] * 40
+    whole = sample_of(texts_[:1])
+    begins = [b for b in range(len(whole.features) - 63) if np.array_equal(whole.features[b : b + 64], sample.features[:64])]
+    assert begins  # a stretch of the text, its neighbours' features included
+    field = fit(sample, np.array([0] * 40 + [1] * 40))
+    bad, good = field.scores([texts_[0], texts_[50]])
+    assert bad < 0.3 < good
+
+
 def test_field_without_labels():
     assert fit([], np.empty(0)).scores(["", "x"]).tolist() == [0.5, 0.5]
 
