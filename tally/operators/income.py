@@ -127,6 +127,13 @@ def income_tables(base: DataFrame) -> dict[str, DataFrame]:
 
 
 # display orders of the three tables
-SORT_DIVIDEND = ("period_month", "broker", "ticker")
-SORT_INTEREST = ("period_month", "broker", "security_ccy")
-SORT_CASH_FLOW = ("period_month", "broker", "event_type")
+DISPLAY_ORDER = {
+    "dividend_income": ("period_month", "broker", "ticker"),
+    "interest_income": ("period_month", "broker", "security_ccy"),
+    "cash_flow_summary": ("period_month", "broker", "event_type"),
+}
+
+
+def for_display(table: DataFrame, name: str) -> DataFrame:
+    """An income table in its display order; only what is shown is sorted, never what is stored."""
+    return table.orderBy(*DISPLAY_ORDER[name])

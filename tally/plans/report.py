@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.fernet import Key, decrypt_all
 from tally.operators import report as R
+from tally.operators.income import DISPLAY_ORDER, for_display
 from tally.operators.quality import latest_run
 from tally.schemas import CHECKED_TABLES, DATA_QUALITY
 from tally.sources.lake import Lake
@@ -48,6 +49,7 @@ def report_datasets(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "cross_broker_tickers": R.cross_broker_tickers(held),
         "passive_income": R.passive_income(dividends, interest).orderBy("period_month", "series"),
         "passive_income_totals": R.passive_income_totals(dividends, interest),
+        **{name: for_display(tables[name], name) for name in DISPLAY_ORDER},
         "cash_flow_grid": R.cash_flow_grid(flows).orderBy("event_type", "period_month"),
         "cash_flow_outliers": R.cash_flow_outliers(R.cash_flow_peaks(flows)),
         "quality_counts": R.status_counts(quality).orderBy("status"),

@@ -228,14 +228,23 @@ class Lake:
         return self.spark.sql(text)
 
 
-_ALL = 1 << 30  # rows of a table that is shown whole
+def _print_rows(df: DataFrame) -> None:
+    """All rows as text, a partition at a time; the driver never holds more."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
 
 
 def export(df: DataFrame, fmt: str = "table", path: str | None = None, limit: int | None = None) -> None:
-    """Show a result whole (or its first ``limit`` rows), or write it as csv or json files."""
+    """Show a result whole (or its first ``limit`` rows), or write it as csv or json files.
+
+    A whole table is printed row by row as its partitions arrive, tabs between the columns.
+    """
     shown = df if limit is None else df.limit(limit)
-    if fmt == "table":
-        shown.show(limit or _ALL, truncate=False)
+    if fmt == "table" and limit is None:
+        _print_rows(df)
+    elif fmt == "table":
+        shown.show(limit, truncate=False)
     elif fmt == "csv":
         shown.write.mode("overwrite").option("header", "true").csv(path)
     elif fmt == "json":

@@ -175,3 +175,11 @@ def test_sections(spark):
     )
     quality = spark.createDataFrame([("portfolio_holdings", "FAIL"), ("interest_income", "WARN"), ("events", "FAIL")], "table_name string, status string")
     assert dict(rows(R.section_visibility(counts, quality))) == {"portfolio": False, "passive_income": True, "cash_flow": False}
+
+
+def test_display_order_of_the_income_tables(spark):
+    from tally.operators.income import DISPLAY_ORDER, for_display
+
+    df = spark.createDataFrame([("2024-02", "A", "x"), ("2024-01", "B", "y"), ("2024-01", "A", "z"), ("2024-01", "A", "a")], "period_month string, broker string, ticker string")
+    assert [tuple(r) for r in for_display(df, "dividend_income").collect()] == [("2024-01", "A", "a"), ("2024-01", "A", "z"), ("2024-01", "B", "y"), ("2024-02", "A", "x")]
+    assert set(DISPLAY_ORDER) == {"dividend_income", "interest_income", "cash_flow_summary"}

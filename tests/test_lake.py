@@ -82,6 +82,11 @@ def test_export(spark, tmp_path, capsys):
     df = spark.createDataFrame([(1, "a")], "n int, s string")
     export(df)
     assert "a" in capsys.readouterr().out
+    export(spark.createDataFrame([(n, None) for n in range(50)], "n int, s string"))
+    printed = capsys.readouterr().out.splitlines()
+    assert printed[0] == "n\ts" and sorted(printed[1:]) == sorted(f"{n}\tNULL" for n in range(50))  # all of them
+    export(spark.range(50), limit=3)
+    assert "top 3" not in capsys.readouterr().out
     export(df, "csv", str(tmp_path / "c"))
     export(df, "json", str(tmp_path / "j"))
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).first().s == "a"
