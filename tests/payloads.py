@@ -51,49 +51,46 @@ def _elements(name, account, columns, table):
 
 
 def snapshot_xml(account=ACCOUNT):
-    """A bond whose value must be computed, an option, two shares, one sold out, and cash."""
-    cash = _elements("CashReportCurrency", account, "currency endingCash", "EUR 615.40")
+    """One position for each branch of the mapping, and cash that is held, owed and gone."""
     positions = _elements(
-        "OpenPosition", account, "assetCategory symbol currency position markPrice positionValue isin fxRateToBase description",
+        "OpenPosition", account, "symbol description assetCategory currency isin position markPrice positionValue",
         """
-        BOND  OATX31           EUR  40  98.5   0        .             1  Treasury
-        STK   GONEX            USD  0   12.0   0.0      .             1  Gone
-        OPT   QBT-270115-P55   USD  2   155.1  310.25   .             1  Put
-        STK   NORDX            USD  41  42.09  1725.50  XX0000000002  1  Nordic
-        STK   HELIO            EUR  11  80     880.00   XX0000000001  1  Helio
+        MERID  Meridian  FUND  usd  xx0000000011  6   200  1200.00
+        TARN   Tarn      WAR   EUR  .             16  2.5  0
+        LARCH  Larch     STK   EUR  .             -3  50   -150.00
+        .      Unlisted  STK   EUR  .             2   10   20.00
+        PINE   Pine      .     USD  .             3   18.5 55.50
+        EMPTY  Empty     STK   EUR  .             0   4    0
         """,
     )
-    return statement(("CashReport", cash), ("OpenPositions", positions), account=account)
+    cash = _elements("CashReportCurrency", account, "currency endingCash", "EUR 615.40\nUSD -20.00\nPLN 0")
+    return statement(("OpenPositions", positions), ("CashReport", cash), account=account)
 
 
 def events_xml(account=ACCOUNT, amount="18.36"):
-    """One event of each section, and cash in every direction; ``amount`` is the dividend's."""
-    fees = _elements(
-        "TransactionFee", account, "date settleDate symbol currency fxRateToBase taxDescription taxAmount quantity tradePrice",
-        "20250310 20250312 NORDX USD 0.8 Exchange-Fee 0.35 12 31.25",
-    )
-    transfers = _elements(
-        "Transfer", account,
-        "transactionID dateTime settleDate symbol description currency fxRateToBase type direction quantity transferPrice cashTransfer",
-        "tr-9 20250317;081500 20250319 KELP Kelp USD 0.8 FOP IN 3 212.0 0.0",
+    """A purchase with a commission in a third currency, a sale, cash in and out, and a fee of its own; ``amount`` is the dividend's."""
+    trades = _elements(
+        "Trade", account, "ibExecID dateTime settleDateTarget symbol buySell quantity tradePrice currency fxRateToBase ibCommission ibCommissionCurrency netCash",
+        """
+        bx1  20250310;144501  20250312  LARCH  BUY   5    80     EUR  1.0  -1.50  CHF  -401.50
+        sx2  20250311;100000  20250313  PINE   SELL  -12  31.25  USD  0.8  -0.75  USD  374.25
+        """,
     )
     cash = _elements(
-        "CashTransaction", account, "transactionID dateTime settleDate currency fxRateToBase amount symbol description type",
+        "CashTransaction", account, "transactionID type dateTime settleDate currency fxRateToBase amount symbol",
         f"""
-        ct-1  20250404  20250404  EUR  1.0  -640.00   .  .  Deposits/Withdrawals
-        ct-2  20250321  20250321  EUR  1.0  {amount}  .  .  Dividends
-        ct-3  20250402  20250402  EUR  1.0  2500.00   .  .  Deposits/Withdrawals
-        ct-4  20250328  20250328  USD  0.8  7.12      .  .  Broker_Interest_Received
+        ct-2  Dividends             20250321  20250324  EUR  1.0  {amount}  LARCH
+        ct-5  Withholding_Tax       20250321  20250324  EUR  1.0  -2.75     LARCH
+        ct-3  Deposits/Withdrawals  20250402  20250402  EUR  1.0  2500.00   .
         """,
     )
-    trades = _elements(
-        "Trade", account,
-        "ibExecID tradeID dateTime settleDateTarget symbol description isin currency fxRateToBase buySell quantity tradePrice "
-        "ibCommission ibCommissionCurrency netCash taxes transactionType",
-        "xq77 tq77 20250310;144501 20250312 NORDX Nordic XX0000000002 USD 0.8 BUY 12 31.25 -0.75 USD -375.75 0.0 ExchTrade",
+    transfers = _elements(
+        "Transfer", account, "transactionID type direction dateTime settleDate currency fxRateToBase cashTransfer",
+        "tr-9 INTERNAL OUT 20250317;081500 20250319 USD 0.8 -120.50",
     )
-    sections = (("TransactionFees", fees), ("Transfers", transfers), ("CashTransactions", cash), ("Trades", trades))
-    return statement(*sections, account=account).replace("Broker_Interest", "Broker Interest").replace("Interest_Received", "Interest Received")
+    fees = _elements("TransactionFee", account, "date settleDate currency fxRateToBase taxDescription taxAmount", "20250405 20250407 EUR 1.0 Data 4.20")
+    sections = (("Trades", trades), ("CashTransactions", cash), ("Transfers", transfers), ("TransactionFees", fees))
+    return statement(*sections, account=account).replace("Withholding_Tax", "Withholding Tax")
 
 
 # ---------------------------------------------------------------- JSON

@@ -18,10 +18,12 @@ def test_snapshot_golden(spark):
     assert has_schema(df, plain(SNAPSHOT))
     assert rows(df, "label", "position_type", "asset_class", "security_value", "security_ccy", "isin", "account_id") == [
         ("CASH EUR", "CASH", "CASH", 615.4, "EUR", "", ACCOUNT),
-        ("HELIO", "EQUITY", "STK", 880.0, "EUR", "XX0000000001", ACCOUNT),
-        ("NORDX", "EQUITY", "STK", 1725.5, "USD", "XX0000000002", ACCOUNT),
-        ("OATX31", "EQUITY", "BOND", 3940.0, "EUR", "", ACCOUNT),
-        ("QBT-270115-P55", "EQUITY", "OPT", 310.25, "USD", "", ACCOUNT),
+        ("CASH USD", "CASH", "CASH", -20.0, "USD", "", ACCOUNT),
+        ("LARCH", "EQUITY", "STK", -150.0, "EUR", "", ACCOUNT),
+        ("MERID", "EQUITY", "FUND", 1200.0, "USD", "XX0000000011", ACCOUNT),
+        ("PINE", "EQUITY", "STK", 55.5, "USD", "", ACCOUNT),
+        ("TARN", "EQUITY", "WAR", 40.0, "EUR", "", ACCOUNT),
+        ("Unlisted", "EQUITY", "STK", 20.0, "EUR", "", ACCOUNT),
     ]
 
 
@@ -36,7 +38,7 @@ def test_snapshot_takes_the_latest_statement_only(spark):
 
 
 def test_plain_payload_is_read_and_malformed_xml_fails(spark):
-    assert ibkr.snapshot(one(spark, snapshot_xml(), "flex"), KEY).count() == 5
+    assert ibkr.snapshot(one(spark, snapshot_xml(), "flex"), KEY).count() == 7
     with pytest.raises(Exception):
         ibkr.snapshot(one(spark, "<FlexQueryResponse><a>", "flex"), KEY).collect()
 
@@ -71,18 +73,19 @@ def test_events_golden(spark):
     assert len(fee_id) == 16
     assert got == sorted(
         [
-            (fee_id, "FEE", 0.35, "USD", "2025-03-10T00:00:00Z", 0.8),
-            ("tr-9", "TRANSFER", 0.0, "USD", "2025-03-17T08:15:00Z", 0.8),
-            ("ct-1", "WITHDRAWAL", -640.0, "EUR", "2025-04-04T00:00:00Z", 1.0),
+            (fee_id, "FEE", 4.2, "EUR", "2025-04-05T00:00:00Z", 1.0),
+            ("tr-9", "TRANSFER", -120.5, "USD", "2025-03-17T08:15:00Z", 0.8),
             ("ct-2", "DIVIDEND", 18.36, "EUR", "2025-03-21T00:00:00Z", 1.0),
+            ("ct-5", "TAX", -2.75, "EUR", "2025-03-21T00:00:00Z", 1.0),
             ("ct-3", "DEPOSIT", 2500.0, "EUR", "2025-04-02T00:00:00Z", 1.0),
-            ("ct-4", "INTEREST", 7.12, "USD", "2025-03-28T00:00:00Z", 0.8),
-            ("xq77", "TRADE", -375.75, "USD", "2025-03-10T14:45:01Z", 0.8),
+            ("bx1", "TRADE", -401.5, "EUR", "2025-03-10T14:45:01Z", 1.0),
+            ("sx2", "TRADE", 374.25, "USD", "2025-03-11T10:00:00Z", 0.8),
         ],
         key=repr,
     )
-    trade = df.filter("event_id = 'xq77'").first()
-    assert (trade.quantity, trade.price, trade.side, trade.fee_amount, trade.settle_date) == (12.0, 31.25, "BUY", 0.75, "2025-03-12T00:00:00Z")
+    sale = df.filter("event_id = 'sx2'").first()
+    assert (sale.quantity, sale.price, sale.side, sale.fee_amount, sale.settle_date) == (-12.0, 31.25, "SELL", 0.75, "2025-03-13T00:00:00Z")
+    assert rows(df.filter("event_id = 'bx1'"), "fee_amount") == [(1.5,)]  # in a third currency: left as it is
 
 
 def test_broker_rate_only_when_base_is_target(spark):

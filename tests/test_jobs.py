@@ -88,15 +88,15 @@ def test_end_to_end(spark, ledger):
 
     held = decrypt_columns(ledger.lake.read("normalized", "consolidated_holdings"), HOLDINGS_MONEY, KEY)
     assert [(t, round(v, 6), i) for t, v, i in rows(held.filter("broker = 'IBKR'"), "ticker", "target_value", "identifier")] == [
-        ("CASH EUR", 615.4, "-"), ("HELIO", 880.0, "ISIN:XX0000000001"), ("NORDX", 1552.95, "ISIN:XX0000000002"),
-        ("OATX31", 3940.0, "-"), ("QBT-270115-P55", 279.225, "-"),
+        ("CASH EUR", 615.4, "-"), ("CASH USD", -18.0, "-"), ("LARCH", -150.0, "-"), ("MERID", 1080.0, "ISIN:XX0000000011"),
+        ("PINE", 49.95, "-"), ("TARN", 40.0, "-"), ("Unlisted", 20.0, "-"),
     ]
     assert [t for t, in rows(held.filter("broker = 'XTB'"), "identifier")] == ["TICKER:CASH PLN", "TICKER:CBL.DE", "TICKER:FJD.DE"]
 
     events = decrypt_columns(ledger.lake.read("normalized", "events"), EVENTS_MONEY, KEY)
     assert events.count() == 7 + 3 + 6
     converted = {r.event_id: round(r.target_value, 6) for r in events.collect()}
-    assert (converted["xq77"], converted["90210"], converted["dv-5"], converted["tx-3"], converted["23"]) == (-300.6, -309.6, 3.2, 72.0, 225.0)
+    assert (converted["sx2"], converted["90210"], converted["dv-5"], converted["tx-3"], converted["23"]) == (299.4, -309.6, 3.2, 72.0, 225.0)
     assert {r[0] for r in rows(events, "target_ccy")} == {"EUR"}
 
     portfolio = ledger.lake.read("analytics", "portfolio_holdings")
