@@ -105,10 +105,12 @@ def position(ticker, name, isin, ccy, quantity, price):
     }
 
 
+# whole shares, part of a share, a third currency, and one that is sold out
 POSITIONS = [
-    position("NONE_EQ", "None left", "Y", "EUR", 0.0, 9.5),
-    position("NORDXu_EQ", "Nordic", "XX0000000002", "USD", 6, 41.5),
-    position("HELIOl_EQ", "Helio", "XX0000000001", "EUR", 4.5, 80.0),
+    position("MERIDd_EQ", "Meridian", "XX0000000021", "EUR", 3, 41.25),
+    position("PINE_US_EQ", "Pine", "XX0000000022", "USD", 0.125, 88.0),
+    position("EMPTYa_EQ", "Empty", "XX0000000023", "USD", 0, 7.0),
+    position("TARNl_EQ", "Tarn", "XX0000000024", "GBP", 12, 2.5),
 ]
 
 _NORDX = {"ticker": "NORDX_US_EQ", "isin": "XX0000000002", "name": "Nordic", "currency": "USD"}

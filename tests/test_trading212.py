@@ -29,8 +29,9 @@ def test_snapshot_golden(spark):
     assert has_schema(df, plain(SNAPSHOT))
     assert rows(df, "label", "security_value", "security_ccy", "asset_class", "account_id", "description") == [
         ("CASH GBP", 240.5, "GBP", "CASH", "", "Cash GBP"),
-        ("HELIOl_EQ", 360.0, "EUR", "EQUITY", "", "Helio"),
-        ("NORDXu_EQ", 249.0, "USD", "EQUITY", "", "Nordic"),
+        ("MERIDd_EQ", 123.75, "EUR", "EQUITY", "", "Meridian"),
+        ("PINE_US_EQ", 11.0, "USD", "EQUITY", "", "Pine"),
+        ("TARNl_EQ", 30.0, "GBP", "EQUITY", "", "Tarn"),
     ]
 
 
