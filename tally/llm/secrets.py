@@ -1,9 +1,13 @@
-"""Secret scans by one combined automaton over the bytes of whole texts."""
+"""Secret scans by one combined automaton over the bytes of whole texts.
+
+The rules' own expressions are compiled, as a whole, into one automaton, and one pass over the bytes tells where matches
+of any of them end. Only the stretches around such ends are read again: back, by the automaton of the reversed rule, for
+the places where matches begin, and from those on for the end of the longest. Both passes are linear in the text.
+"""
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -14,15 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.automaton import SEPARATOR, Automaton, compiled
+from tally.llm.automaton import SEPARATOR, Automaton, Expression, combined
 from tally.llm.batches import balanced, byte_slices, texts_of
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Matches of ``pattern``, leftmost and not overlapping, whose ``group`` has ``least`` characters or more.
+    """Matches of ``pattern``, leftmost, longest and not overlapping, whose ``group`` has ``least`` characters or more.
 
-    ``scan`` is what the automaton looks for: within every match that counts, from the match's first character on.
+    A match that is too short counts for nothing, but the next one begins behind it. ``group`` must be the last part of
+    the pattern (0: the whole). Letters match in either case with ``ignore_case``.
     """
 
     kind: str
@@ -30,7 +35,6 @@ class Rule:
     least: int = 1
     group: int = 0
     ignore_case: bool = False
-    scan: str = ""
 
 
 # fixed values: the kinds that every scan reports
@@ -41,20 +45,19 @@ BASE = (
         least=6,
         group=2,
         ignore_case=True,
-        scan=r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]""",
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", least=20, scan=r"AKIA[A-Z0-9]"),
-    Rule("hex", r"[0-9a-f]+", least=24, scan=r"[0-9a-f]{24}"),
+    Rule("access", r"AKIA[A-Z0-9]+", least=20),
+    Rule("hex", r"[0-9a-f]{24,}", least=24),
 )
 # fixed values: public formats of keys that name themselves
 NAMED = (
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40, scan=r"gh[pousr]_"),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=15, scan=r"xox[abprs]-"),
-    Rule("google", r"AIza[A-Za-z0-9_-]+", least=39, scan=r"AIza"),
-    Rule("stripe", r"[rs]k_live_[A-Za-z0-9]+", least=24, scan=r"[rs]k_live_"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=40, scan=r"eyJ"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", scan=r"-----BEGIN "),
-    Rule("bearer", r"bearer\x20+([A-Za-z0-9._~+/-]+=*)", least=16, group=1, ignore_case=True, scan=r"bearer\x20"),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=15),
+    Rule("google", r"AIza[A-Za-z0-9_-]+", least=39),
+    Rule("stripe", r"[rs]k_live_[A-Za-z0-9]+", least=24),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=40),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("bearer", r"bearer\x20+([A-Za-z0-9._~+/-]+=*)", least=16, group=1, ignore_case=True),
 )
 RULES = BASE + NAMED
 
@@ -62,18 +65,19 @@ Spans = list[tuple[int, int, int]]  # (start, number of the rule, end), in code
 
 
 @lru_cache(maxsize=4)
-def _built(rules: tuple[Rule, ...]) -> tuple[Automaton, list[re.Pattern[bytes]]]:
-    automaton = compiled([(r.scan, r.ignore_case) for r in rules])
-    return automaton, [re.compile(r.pattern.encode(), re.IGNORECASE if r.ignore_case else 0) for r in rules]
+def _built(rules: tuple[Rule, ...]) -> tuple[Automaton, list[Expression]]:
+    each = [Expression(r.pattern, r.ignore_case, r.group) for r in rules]
+    return combined([e.ends for e in each]), each
 
 
 def spans_of(texts: list[str], rules: tuple[Rule, ...] = RULES) -> dict[int, Spans]:
     """The spans of the texts that have any, by the text's place, in order of start and rule.
 
-    One pass over all bytes gives the states. A match begins behind the last place where the state was the start, so
-    only the lines that hold an accepting state are read again, from there on, to tell where matches begin and end.
+    One pass over all bytes gives the states; where one accepts, matches of the rules that its bits name end. A match
+    begins behind the last place where the state was the start, and no rule reads on behind the next such place, so the
+    stretch between them is all that these rules' own automata read.
     """
-    automaton, exact = _built(rules)
+    automaton, each = _built(rules)
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     ends = np.cumsum([len(r) + 1 for r in raw])
     data = bytes([SEPARATOR]).join([*raw, b""])
@@ -88,19 +92,16 @@ def spans_of(texts: list[str], rules: tuple[Rule, ...] = RULES) -> dict[int, Spa
     bits = np.bitwise_or.reduceat(automaton.accepts[states[hits]], heads).tolist()
     points = np.concatenate([[0], np.cumsum((buffer & 0xC0) != 0x80)])
     found: dict[int, Spans] = {}
-    done = [0] * len(rules)  # where each rule's last match ended, those that don't count included
     for stretch, on in zip(stretches.tolist(), bits, strict=True):
         begin = int(quiet[stretch - 1]) + 1 if stretch else 0
         until = int(quiet[stretch])
         text = int(np.searchsorted(ends, begin, side="right"))
-        last = int(ends[text]) - 1
-        zero = points[last - len(raw[text])]
+        zero = points[ends[text] - 1 - len(raw[text])]
         for i, rule in enumerate(rules):
             if on >> i & 1:
-                while (m := exact[i].search(data, max(begin, done[i]), last)) and m.start() < until:
-                    done[i] = m.end()
-                    if len(m[rule.group].decode("utf-8", "surrogatepass")) >= rule.least:
-                        found.setdefault(text, []).append((int(points[m.start()] - zero), i, int(points[m.end()] - zero)))
+                for start, group, end in each[i].matches(data, begin, until):
+                    if points[end] - points[group] >= rule.least:
+                        found.setdefault(text, []).append((int(points[start] - zero), i, int(points[end] - zero)))
     return {text: sorted(spans) for text, spans in found.items()}
 
 

@@ -3,12 +3,13 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from tally.llm.automaton import SEPARATOR, compiled
+from tally.llm.automaton import SEPARATOR, Expression, combined, compiled
 from tally.llm.licenses import TEMPLATES, Scanner, increasing, license_scan, patience
 from tally.llm.line_crf import _Chains, fit, held_out, keep_good, quality_scores, sample_of, training_texts
 from tally.llm.quality_rules import quality_rules
@@ -159,6 +160,63 @@ def test_automaton_reads_classes_counts_and_choices():
         compiled([(r"a(?=b)", False)])
 
 
+def test_base_rules_are_those_of_the_contract():
+    """A count in the pattern spares hits in every word of a to f and changes no span."""
+    base = (r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", r"AKIA[A-Z0-9]+", r"[0-9a-f]+")
+    rng = random.Random(5)
+    parts = ["0a" * 11, "f", "9", "g", "token=", "secret", "AKIA", "Z" * 15, "Q", " ", '"', "=", ".", "abc"]
+    rows = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    found = spans_of(rows)
+    for i, text in enumerate(rows):
+        plain = [(m.start(), k, m.end()) for k, (p, least) in enumerate(zip(base, (6, 20, 24), strict=True)) for m in re.finditer(p, text) if len(m[2 if k == 0 else 0]) >= least]
+        assert [s for s in found.get(i, []) if s[1] < 3] == sorted(plain)
+
+
+def test_secrets_in_long_texts_take_linear_time():
+    for part in ("AIza ", "eyJ ", "-----BEGIN ", "-----BEGIN \n", "eyJa.b.", "token=a ", "eyJ", "AKIA", "0f", "token=", "xoxb-ghp_bearer "):
+        text = part * (1_000_000 // len(part))
+        begun = time.perf_counter()
+        found = spans_of([text]).get(0, [])
+        assert time.perf_counter() - begun < 10
+        if part in ("AIza ", "eyJ ", "-----BEGIN ", "-----BEGIN \n"):
+            assert found == []
+    assert spans_of(["0f" * 500_000])[0] == [(0, 2, 1_000_000)]
+
+
+def test_expressions_find_what_a_longest_match_search_finds():
+    rng = random.Random(7)
+    for pattern, group in ((r"ab+c?", 0), (r"(a|ab)(c+)", 2), (r"a+(ab*)", 1), (r"[ab]{2,4}c", 0), (r"(ab|b)+c", 0)):
+        made = Expression(pattern, group=group)
+        for _ in range(400):
+            text = "".join(rng.choice("abc") for _ in range(rng.randint(0, 12)))
+            expected, at = [], 0
+            while at < len(text):
+                ends = [e for e in range(at + 1, len(text) + 1) if re.fullmatch(pattern, text[at:e])]
+                if ends:
+                    expected.append((at, ends[-1]))
+                at = ends[-1] if ends else at + 1
+            got = list(made.matches(text.encode(), 0, len(text)))
+            assert [(s, e) for s, _, e in got] == expected
+            assert all(s <= g < e for s, g, e in got)
+    for bad, group in ((r"a*", 0), (r"(a)b", 1)):
+        with pytest.raises(ValueError):
+            Expression(bad, group=group)
+
+
+def test_combined_automaton_accepts_what_each_accepts():
+    patterns = (r"a[b-d]{2,3}e?", r"(x|yz)+!", r"[^a]q", r"cd")
+    single = [compiled([(p, False)]) for p in patterns]
+    both = combined(single)
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdexyz!q\n") for _ in range(20_000)).encode() + bytes([SEPARATOR])
+    buffer = np.frombuffer(text, np.uint8)
+    states = both.states(buffer)
+    own = [m.states(buffer) for m in single]
+    for i, m in enumerate(single):
+        assert ((both.accepts[states] >> i & 1) == (m.accepts[own[i]] != 0)).all()
+    assert ((states == 0) == np.all([o == 0 for o in own], axis=0)).all()
+
+
 def longest(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
