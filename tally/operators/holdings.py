@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tally.functions.values import first_filled, round_half_even
 from tally.operators.currency import convert
 from tally.operators.shaping import labelled_sum, total
+from tally.operators.sums import exact_sum
 from tally.schemas import BROKER_NAMES, DEFAULT_TARGET
 
 
@@ -67,7 +68,7 @@ def portfolio_holdings(consolidated: DataFrame) -> DataFrame:
 
     The total is a scalar subquery over one pruned column.
     """
-    whole = total(consolidated, F.sum("target_value"))
+    whole = total(consolidated, exact_sum(consolidated, "target_value"))
     return consolidated.select(
         "broker", "ticker", "security_ccy", "security_value", "target_value", "target_ccy",
         percentage_of(F.col("target_value"), whole).alias("percentage"),
@@ -87,7 +88,7 @@ def aggregate_percentages(
     converted = convert(holdings, "security_value", "security_ccy", rates, target)
     filled = converted.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in labels})
     grouped = labelled_sum(filled, ["ticker", "broker"], labels, "converted")
-    worth = total(converted, F.sum("converted").cast("double"))
+    worth = total(converted, exact_sum(converted, "converted").cast("double"))
     share = F.coalesce(F.try_divide(F.col("converted").cast("double"), worth), F.raise_error(F.lit("net worth is zero")))
     shares = grouped.filter(F.col("converted") != 0).select(
         "ticker",

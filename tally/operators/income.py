@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.values import event_time, period_month, period_quarter
 from tally.operators.currency import _names
+from tally.operators.sums import added_up, partial_sums
 
 _PERIOD = ("period_month", "period_quarter")
 DIVIDEND_KEYS = (*_PERIOD, "broker", "ticker", "isin", "description", "security_ccy")
@@ -58,8 +59,7 @@ _DIVIDEND_ONLY = ("ticker", "isin", "description", "instrument_ccy")
 def _fine(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """First level: hash aggregated, as every text column is a key."""
     return events.groupBy(*keys).agg(
-        F.sum("cash_amount").alias("cash_amount"),
-        F.sum("target_value").alias("target_value"),
+        *partial_sums(events, "cash_amount", "target_value"),
         F.count("event_id").alias("event_count"),
     )
 
@@ -67,8 +67,8 @@ def _fine(events: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _coarse(fine: DataFrame, keys: Sequence[str], labels: Sequence[str]) -> DataFrame:
     """Second level over few rows: sums per ``keys``, the smallest non-null value of each label."""
     return fine.groupBy(*keys).agg(
-        F.coalesce(F.sum("cash_amount").cast("double"), F.lit(0.0)).alias("cash_amount"),
-        F.sum("target_value").cast("double").alias("target_value"),
+        F.coalesce(added_up(fine, "cash_amount").cast("double"), F.lit(0.0)).alias("cash_amount"),
+        added_up(fine, "target_value").cast("double").alias("target_value"),
         F.sum("event_count").alias("event_count"),
         *[F.min(label).alias(label) for label in labels],
     )

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.operators.shaping import labelled_sum, total
+from tally.operators.sums import added_up, exact_sum, partial_sums
 
 OUTLIER_RATIO = 10.0
 
 
 def _share_by(holdings: DataFrame, key: str) -> DataFrame:
-    return holdings.groupBy(key).agg(F.sum("percentage").cast("double").alias("percentage"))
+    return holdings.groupBy(key).agg(exact_sum(holdings, "percentage").cast("double").alias("percentage"))
 
 
 def allocation_by_broker(holdings: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def largest_first(df: DataFrame) -> DataFrame:
 def currency_allocation(holdings: DataFrame) -> DataFrame:
     """Rounded share and number of positions per currency."""
     return holdings.groupBy("security_ccy").agg(
-        F.round(F.sum("percentage").cast("double"), 2).alias("total_pct"), F.count(F.lit(1)).alias("positions")
+        F.round(exact_sum(holdings, "percentage").cast("double"), 2).alias("total_pct"), F.count(F.lit(1)).alias("positions")
     )
 
 
@@ -44,10 +45,10 @@ def cross_broker_tickers(holdings: DataFrame) -> DataFrame:
 
     Grouped per (ticker, broker) first, so a popular ticker is folded map-side.
     """
-    per_broker = holdings.groupBy("ticker", "broker").agg(F.sum("percentage").alias("percentage"))
+    per_broker = holdings.groupBy("ticker", "broker").agg(*partial_sums(holdings, "percentage"))
     return (
         per_broker.groupBy("ticker")
-        .agg(F.count(F.lit(1)).alias("broker_count"), F.sum("percentage").cast("double").alias("total_pct"))
+        .agg(F.count(F.lit(1)).alias("broker_count"), added_up(per_broker, "percentage").cast("double").alias("total_pct"))
         .filter(F.col("broker_count") > 1)
     )
 
@@ -57,7 +58,7 @@ def passive_income(dividends: DataFrame, interest: DataFrame) -> DataFrame:
 
     def monthly(df: DataFrame, series: str) -> DataFrame:
         return df.groupBy("period_month").agg(
-            F.lit(series).alias("series"), F.sum("target_value").cast("double").alias("total")
+            F.lit(series).alias("series"), exact_sum(df, "target_value").cast("double").alias("total")
         )
 
     return monthly(dividends, "Dividends").unionByName(monthly(interest, "Interest"))
@@ -69,7 +70,7 @@ def passive_income_totals(dividends: DataFrame, interest: DataFrame) -> DataFram
     def overall(df: DataFrame, series: str) -> DataFrame:
         return df.agg(
             F.lit(series).alias("series"),
-            F.sum("target_value").cast("double").alias("total"),
+            exact_sum(df, "target_value").cast("double").alias("total"),
             F.min("target_ccy").alias("target_ccy"),
         )
 
@@ -82,7 +83,7 @@ def cash_flow_grid(cash_flow: DataFrame) -> DataFrame:
     The list of types is one array (the mappings give no more than their own
     vocabulary), exploded per month; months are rows, however many there are.
     """
-    flows = cash_flow.groupBy("event_type", "period_month").agg(F.sum("target_value").cast("double").alias("value"))
+    flows = cash_flow.groupBy("event_type", "period_month").agg(exact_sum(cash_flow, "target_value").cast("double").alias("value"))
     types = total(flows, F.array_sort(F.collect_set("event_type")))
     cells = flows.select("period_month").distinct().select(F.explode(types).alias("event_type"), "period_month")
     return cells.join(flows, ["event_type", "period_month"], "left").select(
@@ -92,7 +93,7 @@ def cash_flow_grid(cash_flow: DataFrame) -> DataFrame:
 
 def cash_flow_peaks(cash_flow: DataFrame) -> DataFrame:
     """Largest absolute monthly value per event type."""
-    flows = cash_flow.groupBy("event_type", "period_month").agg(F.sum("target_value").cast("double").alias("value"))
+    flows = cash_flow.groupBy("event_type", "period_month").agg(exact_sum(cash_flow, "target_value").cast("double").alias("value"))
     return flows.groupBy("event_type").agg(F.coalesce(F.max(F.abs("value")), F.lit(0.0)).alias("peak"))
 
 
@@ -131,8 +132,8 @@ def latest_results_first(quality: DataFrame) -> DataFrame:
 
 def _value_share(holdings: DataFrame, key: str) -> DataFrame:
     """Per key the value and its share of the whole, which is summed from the groups: holdings are read once."""
-    grouped = holdings.groupBy(key).agg(F.sum("target_value").alias("value"))
-    whole = F.sum("value").over(Window.partitionBy()).cast("double")
+    grouped = holdings.groupBy(key).agg(exact_sum(holdings, "target_value").alias("value"))
+    whole = F.sum("value").over(Window.partitionBy().orderBy("value", key).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("double")
     value = F.col("value").cast("double")
     share = F.coalesce(F.try_divide(value, whole) * F.lit(100.0), F.lit(0.0))
     return grouped.select(key, value.alias("total"), share.alias("share"))
@@ -150,15 +151,15 @@ def equity_cash_split(holdings: DataFrame) -> DataFrame:
     """Equity and cash share, one digit."""
 
     def share(kind: str) -> Column:
-        summed = F.sum(F.when(F.col("position_type") == kind, F.col("percentage")))
-        return F.coalesce(F.bround(summed.cast("double"), 1), F.lit(0.0))
+        return F.coalesce(F.bround(exact_sum(parts, kind).cast("double"), 1), F.lit(0.0))
 
-    return holdings.agg(share("EQUITY").alias("equity_pct"), share("CASH").alias("cash_pct"))
+    parts = holdings.select(*[F.when(F.col("position_type") == k, F.col("percentage")).alias(k) for k in ("EQUITY", "CASH")])
+    return parts.agg(share("EQUITY").alias("equity_pct"), share("CASH").alias("cash_pct"))
 
 
 def total_value(holdings: DataFrame) -> DataFrame:
     return holdings.agg(
-        F.sum("target_value").cast("double").alias("total_value"), F.min("target_ccy").alias("target_ccy")
+        exact_sum(holdings, "target_value").cast("double").alias("total_value"), F.min("target_ccy").alias("target_ccy")
     )
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tally.operators.sums import added_up, partial_sums
+
 
 def conform(df: DataFrame, schema: T.StructType, **stamps: Column) -> DataFrame:
     """Columns of ``schema`` in order and type; absent ones become null.
@@ -64,8 +66,8 @@ def labelled_sum(df: DataFrame, keys: Sequence[str], labels: Sequence[str], valu
     first, hash aggregated level instead; as a rule they do not vary within a
     group, so the second level has few rows.
     """
-    fine = df.groupBy(*keys, *labels).agg(F.sum(value).alias(value))
-    return fine.groupBy(*keys).agg(F.sum(value).alias(value), *[F.min(c).alias(c) for c in labels])
+    fine = df.groupBy(*keys, *labels).agg(*partial_sums(df, value))
+    return fine.groupBy(*keys).agg(added_up(fine, value).alias(value), *[F.min(c).alias(c) for c in labels])
 
 
 def observed(observation: Observation, name: str) -> int | None:
