@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core a task
 
 # how much is remembered; beyond it the memo starts anew, which costs time and changes nothing
-MEMO_PIECES = 250_000
+MEMO_PIECES = 500_000
 
 # white space besides single spaces and line feeds within the text; control characters; a letter that lower case breaks up;
 # what opens a special string
@@ -71,6 +71,7 @@ class PieceTokens:
         self.tokenizer.no_truncation()
         self.memo_pieces = memo_pieces
         self.letters = _byte_letters()
+        self.blank = chr(self.letters[ord(" ")])
         self.lower = bool(json.loads(self.tokenizer.to_str())["normalizer"])
         # a run of letters is one word to the model, which can be asked directly if that gives the library's ids
         probe = [" the", "Probe", " Äpfel", "été", " жук"]
@@ -86,9 +87,11 @@ class PieceTokens:
         self.lengths = np.empty(1 << 15, np.int64)
 
     def _word_ids(self, piece: str) -> list[int]:
+        plain = piece.isascii()  # its letters stand for themselves, and are composed already
         if self.lower:
-            piece = unicodedata.normalize("NFC", piece.strip(" ")).lower()
-        return [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+            piece = (piece.strip(" ") if plain else unicodedata.normalize("NFC", piece.strip(" "))).lower()
+        written = piece.replace(" ", self.blank) if plain else piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenizer.model.tokenize(written)]
 
     def _is_word(self, key: str) -> bool:
         """Letters of the Latin, Greek and Cyrillic blocks only, besides a sigma, whose lower case depends on its place."""
