@@ -18,7 +18,7 @@ from tally.sources.json_payloads import decode_rows
 from tally.sources.landing import XTB_REPORT
 from tally.sources.scratch import Scratch
 from tally.sources.workbook import (
-    closed_positions, located, operations, positions, sheet_rows, typed_rows, with_amounts, workbook_facts,
+    closed_positions, operations, positions, sheet_rows, typed_rows, with_amounts, workbook_facts,
 )
 
 # --- fixed values: operation types ---
@@ -80,8 +80,7 @@ def _read(named: DataFrame, heads: DataFrame, key: Key | None, scratch: Scratch)
     """The reports of ``heads``, parsed once: their rows and facts are written and read back."""
     wanted = named.join(heads.select("report"), "report", "left_semi").dropDuplicates(["report"])
     books = decode_rows(wanted, key, require_json=False).select("report", "body")
-    rows = scratch.written(sheet_rows(books), "report-rows")
-    typed = typed_rows(rows, scratch.written(located(rows, "report"), "report-headers"), "report")
+    typed = scratch.written(typed_rows(sheet_rows(books)), "report-rows")
     found = heads.join(workbook_facts(typed, "report"), "report", "left").fillna({"ok": False, "account_id": "", "dropped_rows": 0})
     facts = scratch.written(found, "report-facts")
     return Reports(typed, facts, facts)

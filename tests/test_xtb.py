@@ -8,9 +8,11 @@ import pytest
 from tally.brokers import xtb
 from tally.functions.fernet import encrypt_payload
 from tally.schemas import EVENTS, SNAPSHOT, plain
-from tally.sources.workbook import _read_batches, sheet_rows, workbook_rows
+from tally.sources import workbook
+from tally.sources.scratch import Scratch
+from tally.sources.workbook import _read_batches, sheet_rows, typed_rows, workbook_facts, workbook_rows
 
-from .conftest import KEY, has_schema, rows
+from .conftest import KEY, has_schema, plan_of, rows
 from .payloads import DAY1, DAY2, TIME, raw, raw_row, report
 
 FILE = "PLN_70077007_2006-01-01_2026-08-03.xlsx"
@@ -252,3 +254,54 @@ def test_a_large_sheet_takes_no_more_memory_than_a_small_one():
 def test_a_large_report_in_whole(spark):
     made = xtb.events(uploads(spark, (large_report(30_000), DAY1, FILE)))
     assert rows(made.agg({"cash_amount": "sum", "*": "count"})) == [(sum(n + 0.5 for n in range(30_000)), 30_000)]
+
+
+# ---------------------------------------------------------------- one pass over a report
+
+
+def test_rows_know_the_headers_above_them(spark):
+    long = sheet_rows(single(spark).selectExpr("payload_hash", "payload AS body"))
+    cash = rows(long.filter("sheet = 'cash operation' AND row_idx < 4"), "row_idx", "body_at", "summary_at")
+    assert cash == [(0, None, None), (1, None, None), (2, 1, None), (3, 1, None)]
+    summary = long.filter("sheet = 'open position' AND summary_at IS NOT NULL").agg({"row_idx": "min", "summary_at": "max"})
+    assert [a - b for a, b in rows(summary, "min(row_idx)", "max(summary_at)")] == [1]
+
+
+def test_kinds_are_told_without_a_shuffle_and_facts_by_one(spark):
+    typed = typed_rows(sheet_rows(single(spark).selectExpr("payload_hash", "payload AS body")))
+    assert "Exchange" not in plan_of(typed) and "Join" not in plan_of(typed)
+    assert "Join" not in plan_of(workbook_facts(typed, "payload_hash"))
+
+
+def test_a_report_is_written_once_with_its_facts(spark):
+    names = []
+
+    class Noted(Scratch):
+        def written(self, df, name):
+            names.append(name)
+            return super().written(df, name)
+
+    with Noted(spark) as scratch:
+        assert xtb.latest_reports(single(spark), scratch=scratch).facts.count() == 1
+    assert names == ["report-heads", "report-rows", "report-facts"]
+
+
+@pytest.mark.parametrize(
+    "old, new",
+    [("</row>", " </row>"), ("<sheetData>", "<!-- <sheetData> --><sheetData>"), ("Fjord", "&#70;jord"), ('t="inlineStr"', 'x="" t="inlineStr"'),
+     ("<v>", "<f>A1</f><v>"), ("<row ", '<row hidden="0" ')],
+)
+def test_rows_written_unusually_are_read_like_plain_ones(old, new):
+    assert list(workbook_rows(rewritten(lambda t: t.replace(old, new)))) == list(workbook_rows(report()))
+
+
+def test_plain_rows_equal_the_parsers(monkeypatch):
+    plain = list(workbook_rows(report()))
+    monkeypatch.setattr(workbook, "_plain_rows", lambda part: None)
+    assert list(workbook_rows(report())) == plain
+
+
+@pytest.mark.parametrize("old, new", [("</sheetData>", "</sheetData"), ("</sheetData>", "</sheetData><row/>x</b>"), ("Fjord", "Fj]]>ord"), ("Fjord", "Fj\x01ord"), ('<row r="9">', '<row r="9" r="9">')])
+def test_what_is_no_xml_is_unreadable(old, new):
+    with pytest.raises(Exception):
+        list(workbook_rows(rewritten(lambda t: t.replace(old, new))))
