@@ -25,7 +25,7 @@ from tally.schemas import (
     EVENTS, EVENTS_MONEY, FAIL, HOLDINGS_MONEY, INCOME_MONEY, INTEREST_INCOME, PORTFOLIO_HOLDINGS, RAW,
     SNAPSHOT, SNAPSHOT_MONEY, WARN,
 )
-from tally.sources.keys import KeyIndex, content_key
+from tally.sources.keys import KeyIndex, content_key, picked
 from tally.sources.lake import Lake
 from tally.sources.landing import require_sources
 from tally.sources.scratch import Scratch
@@ -81,17 +81,19 @@ def append_new(lake: Lake, batch: DataFrame, name: str) -> None:
     """Append the rows of a stored batch whose content the table does not hold yet.
 
     Only the batch's keys meet the index of known ones, once; the rows are then
-    picked by the few keys that are new. Copies inside the batch all stay. When
-    there is nothing to append, a table without rows is still created, and an
-    existing one gets no files.
+    picked by the keys that are new, where they lie: payloads are shuffled only
+    where a bit table can't tell a new key from a known one. Copies inside the
+    batch all stay. When there is nothing to append, a table without rows is
+    still created, and an existing one gets no files.
     """
     index = KeyIndex(lake, name)
     with lake.scratch() as scratch:
-        fresh = scratch.written(index.unknown(batch), "fresh-keys")
+        keys = scratch.written(index.marked(batch), "batch-keys")
+        fresh = keys.filter("fresh").select("key")
         if fresh.isEmpty():
             lake.create(RAW, "raw", name)
             return
-        rows = batch.withColumn("key", content_key()).join(fresh, "key", "left_semi").drop("key")
+        rows = picked(batch.withColumn("key", content_key()), keys).drop("key")
         with index.changing():
             lake.append(rows, "raw", name, indexed=True)
             index.add(fresh)

@@ -19,6 +19,7 @@ from tally.operators.dedup import RAW_KEY
 if TYPE_CHECKING:
     from tally.sources.lake import Lake
 
+BITS = 1 << 26  # of each table in :func:`picked`; with more keys than that it only shuffles more
 BUCKETS = 64  # of a new index; a hundred million keys make files of some 50 MB
 
 
@@ -27,6 +28,35 @@ def content_key(columns: Sequence[str] = RAW_KEY) -> Column:
     return F.unhex(F.sha2(F.to_json(F.struct(*columns)), 256))
 
 
+def _bits(keys: DataFrame, name: str) -> DataFrame:
+    """(bucket, ``name``): the places of ``keys`` in a table of ``BITS`` bits, 4 KB a row."""
+    place = _place()
+    return keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(name))
+
+
+def _place() -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(BITS)) + 1
+
+
+def picked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is ``fresh`` in ``keys`` (key, fresh: every key of the rows, once).
+
+    Two bit tables of fixed size, one of the fresh keys and one of the others, go to all tasks. A row that only the
+    first one names is taken and one that it does not name is left without a shuffle; the few that both name, by
+    chance, are joined with the keys.
+    """
+    fresh = keys.filter("fresh").select("key")
+    tables = _bits(fresh, "__fresh").join(_bits(keys.filter("NOT fresh"), "__others"), "bucket", "full_outer")
+    at = F.bitmap_bit_position(_place())
+    bit = lambda table: F.expr(f"coalesce((CAST(conv(hex(substring({table}, CAST(1 + __at DIV 8 AS INT), 1)), 16, 10) AS INT) & shiftleft(1, CAST(__at % 8 AS INT))) <> 0, false)")
+    placed = rows.withColumns({"__bucket": F.bitmap_bucket_number(_place()), "__at": at})
+    told = placed.join(F.broadcast(tables.withColumnRenamed("bucket", "__bucket")), "__bucket").filter(bit("__fresh"))
+    own = [F.col(c) for c in rows.columns]
+    # an inner join, as the optimizer would move a semi-join of all rows below the choice
+    sure = told.filter(~bit("__others")).select(*own)
+    return sure.unionByName(told.filter(bit("__others")).select(*own).join(fresh, "key").select(*own))
+
+
 class KeyIndex:
     """The keys of raw table ``name`` of a lake.
 
@@ -86,9 +116,15 @@ class KeyIndex:
         yield
         fs.delete(mark, False)
 
+    def marked(self, batch: DataFrame) -> DataFrame:
+        """(key, fresh): the content keys of a batch, each once, and whether the table does not hold them."""
+        keys = batch.select(content_key().alias("key")).distinct()
+        held = self.keys().select("key", F.lit(True).alias("held"))
+        return keys.join(held, "key", "left").select("key", F.col("held").isNull().alias("fresh"))
+
     def unknown(self, batch: DataFrame) -> DataFrame:
         """The content keys of a batch, each once, that the table does not hold."""
-        return batch.select(content_key().alias("key")).distinct().join(self.keys(), "key", "left_anti")
+        return self.marked(batch).filter("fresh").select("key")
 
     def add(self, keys: DataFrame) -> None:
         """Add keys that are not there yet; inside :meth:`changing`, behind the rows themselves."""

@@ -5,7 +5,8 @@ import re
 import pytest
 
 from tally.plans.jobs import append_new
-from tally.sources.keys import KeyIndex
+from tally.sources import keys
+from tally.sources.keys import KeyIndex, content_key, picked
 from tally.sources.lake import Lake
 
 from .conftest import plan_of, rows
@@ -97,3 +98,20 @@ def test_an_index_keeps_its_number_of_buckets(spark, lake):
     lake.forget_keys("ibkr")
     small = KeyIndex(lake, "ibkr", buckets=8)
     assert small.keys().count() == 1 and KeyIndex(lake, "ibkr").buckets == 8
+
+
+@pytest.mark.parametrize("bits", [keys.BITS, 8])
+def test_rows_are_picked_whether_or_not_the_bits_tell(spark, lake, monkeypatch, bits):
+    monkeypatch.setattr(keys, "BITS", bits)
+    append_new(lake, batch(spark, *[b"%d" % n for n in range(0, 40, 2)]), "ibkr")
+    append_new(lake, batch(spark, *[b"%d" % n for n in range(40)], b"39"), "ibkr")
+    assert sorted(stored(lake)) == sorted([b"%d" % n for n in range(40)] + [b"39"]) and indexed(lake) == 40
+
+
+def test_payloads_are_not_shuffled_before_the_bits_have_told(spark, lake):
+    rows_ = batch(spark, b"a", b"b").withColumn("key", content_key())
+    told = spark.createDataFrame([(r.key, r.payload == b"a") for r in rows_.collect()], "key binary, fresh boolean")
+    made = picked(rows_, told)
+    assert rows(made, "payload") == [(b"a",)]
+    physical = made._jdf.queryExecution().sparkPlan().toString()
+    assert "LeftSemi" not in physical and physical.count("BroadcastHashJoin") >= 2
