@@ -74,7 +74,7 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> _U64(64 - 27)).astype(np.int64)
 
 
-def _count_shingles(docs: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
+def _count_shingles(docs: DataFrame, parts: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     """(frequent, several) over all texts of ``docs`` (text): the shingles of the largest document frequencies, most
     frequent last, and a bit for each hash prefix that holds a shingle of two texts or more.
 
@@ -126,6 +126,7 @@ def _count_shingles(docs: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray
     sent = docs.select(F.col("text")).mapInArrow(send, "part int, keys binary, many binary")
     merged = sent.groupBy("part").applyInArrow(merge, "slots binary, keys binary, counts binary")
     # what comes to the driver is bounded by BITS and, a part, by FREQUENT; it is merged row by row
+    merged = written(merged, "counted-shingles", scratch)
     several = np.zeros(BITS // 8, np.uint8)
     keys, counts = np.empty(0, _U64), np.empty(0, np.int64)
     for row in merged.toLocalIterator():
@@ -136,6 +137,7 @@ def _count_shingles(docs: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray
         if len(keys) > FREQUENT:
             top = np.lexsort((keys, -counts))[:FREQUENT]
             keys, counts = keys[top], counts[top]
+    scratch.drop(merged)
     return keys[np.lexsort((keys, counts))], several
 
 
@@ -246,30 +248,37 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return wide.view("<u8").ravel().astype(_U64)
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, scratch: Scratch) -> DataFrame:
-    """(id, set): the shingles of the texts whose id is in ``wanted`` (id) and of few others, as packed 40-bit numbers in
-    ascending order; in a pair of sets of thousands, less than one in 10 ** 5 pairs holds two shingles that share one,
-    and such a pair is told wrongly only if a single shingle decides. A bit table of fixed size over hashes of the wanted ids keeps the rest from being sent."""
-    bits = 1 << 26
-    spark = docs.sparkSession
-    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
-    maps = wanted.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+def _bit_table(ids: DataFrame, place, bits: int) -> np.ndarray:
+    """A table of ``bits`` bits with those set whose ``place`` (from 1) some row of ``ids`` has."""
+    maps = ids.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     size = 32768 // 8
     flat = np.zeros(bits // 8, np.uint8)
     for row in maps.toLocalIterator():  # one row of 4 KB for each 32768 bits
         flat[(row["k"] - 1) * size : row["k"] * size] = np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(flat)
+    return flat
+
+
+def _sets_of(docs: DataFrame, pairs: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """(id, set, is_a, is_b): the shingles of the texts of ``pairs`` (a, b) and of few others, as packed 40-bit numbers in
+    ascending order, and whether the id stands on either side; in a pair of sets of thousands, less than one in 10 ** 5
+    pairs holds two shingles that share one, and such a pair is told wrongly only if a single shingle decides. Bit tables
+    of fixed size over hashes of the ids keep the rest from being sent; they let a few ids through that stand nowhere."""
+    bits = 1 << 26
+    spark = docs.sparkSession
+    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
+    shared = spark.sparkContext.broadcast([_bit_table(pairs.select(F.col(side).alias("id")), place, bits) for side in ("a", "b")])
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = shared.value
         for batch in batches:
             at = batch.column("at").to_numpy()
-            maybe = batch.filter(pa.array((flat[at >> 3] >> (at & 7) & 1).astype(bool)))
-            for part in byte_slices([maybe]):
+            is_a, is_b = ((flat[at >> 3] >> (at & 7) & 1).astype(bool) for flat in shared.value)
+            marked = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(is_a), pa.array(is_b)], ["id", "text", "is_a", "is_b"])
+            for part in byte_slices([marked.filter(pa.array(is_a | is_b))]):
                 hashes, first = shingles(Words.of(texts_of(part), lower=True), width)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([_packed(hashes[a:b]) for a, b in zip(first, first[1:], strict=False)], pa.binary())], ["id", "set"])
+                sets = pa.array([_packed(hashes[a:b]) for a, b in zip(first, first[1:], strict=False)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("id"), sets, part.column("is_a"), part.column("is_b")], ["id", "set", "is_a", "is_b"])
 
-    schema = T.StructType([docs.schema["id"], T.StructField("set", T.BinaryType())])
+    schema = T.StructType([docs.schema["id"], T.StructField("set", T.BinaryType()), *(T.StructField(c, T.BooleanType()) for c in ("is_a", "is_b"))])
     sets = written(docs.select("id", "text", (place - 1).alias("at")).mapInArrow(pack, schema), "sets", scratch)
     shared.destroy()
     return sets
@@ -282,8 +291,7 @@ def _verified(
     pairs = written(_possible(pairs, texts, percent), "candidates", scratch)
     if pairs.isEmpty():
         return pairs
-    first, second = pairs.select(F.col("a").alias("id")).distinct(), pairs.select(F.col("b").alias("id")).distinct()
-    sets = _sets_of(docs, first.unionAll(second).distinct(), width, scratch)
+    sets = _sets_of(docs, pairs, width, scratch)
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,9 +316,10 @@ def _verified(
                     keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    # of the texts held against one, the one's set is sent for all of them once
-    left = sets.select(F.col("id").alias("a"), F.col("set").alias("left"))
-    joined = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("right")), "b").join(left, "a")
+    # of the texts held against one, the one's set is sent for all of them once; a side gets the sets that stand there
+    left = sets.where("is_a").select(F.col("id").alias("a"), F.col("set").alias("left"))
+    right = sets.where("is_b").select(F.col("id").alias("b"), F.col("set").alias("right"))
+    joined = pairs.join(right, "b").join(left, "a")
     links = written(joined.select("a", "b", "left", "right").mapInArrow(verify, pairs.schema).distinct(), "links", scratch)
     scratch.drop(pairs, sets)
     shared.destroy()
@@ -366,10 +375,10 @@ def shingle_components(
     narrow = balanced(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     known = narrow.where(F.col("id").isNotNull())
     parts = max(32, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    frequent, several = _count_shingles(known, parts)
+    frequent, several = _count_shingles(known, parts, scratch)
     posted = written(_postings(known, frequent, several, percent, width), "postings", scratch)
 
-    texts = posted.where("shingle is null").select("id", "n", "f1", "f2", "sketch")
+    texts = written(posted.where("shingle is null").select("id", "n", "f1", "f2", "sketch"), "texts", scratch)
     same = written(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "equal-sets", scratch)  # equal sets link
     copies = texts.join(same, ["n", "f1", "f2"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
     copies = written(copies, "copies", scratch)
@@ -380,6 +389,7 @@ def shingle_components(
 
     posts = posted.where("shingle is not null").select("shingle", "id", "n", F.col("f1").alias("at"), F.col("f2").alias("lead"))
     open_posts = written(_led(posts), "shared-shingles", scratch)
+    scratch.drop(posted)
     tried, found, known_links = None, None, copies
     for turn in range(ROUNDS):
         pairs = written(_stars(_led(_without_leaders(open_posts)) if turn else open_posts, fit), "stars", scratch)

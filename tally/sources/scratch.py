@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
+# Spark's setting that deletes an action's shuffle files behind it, instead of whenever the driver collects garbage
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     """The folder named by ``spark.checkpoint.dir``, else ``fallback``.
@@ -46,9 +49,20 @@ class Scratch:
         return path
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
-        """The rows of ``df`` computed once and read back, which cuts the lineage: no lost executor costs them."""
+        """The rows of ``df`` computed once and read back, which cuts the lineage: no lost executor costs them.
+
+        The shuffle files of the write go with its end, as nothing reads them again.
+        """
         path = self.new_path(name)
-        df.write.parquet(path)
+        before = self.spark.conf.get(SHUFFLE_CLEANUP, None)
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(SHUFFLE_CLEANUP)
+            else:
+                self.spark.conf.set(SHUFFLE_CLEANUP, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         self._tables[-1] = table, path
         return table

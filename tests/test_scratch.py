@@ -1,10 +1,13 @@
 """Tables on the way: where they lie, and that they go."""
 
 import os
+import time
 
 import pytest
 
-from tally.sources.scratch import Scratch, shared_folder
+from pyspark.sql import functions as F
+
+from tally.sources.scratch import SHUFFLE_CLEANUP, Scratch, shared_folder
 
 
 def test_tables_are_read_back_and_deleted(spark, tmp_path):
@@ -20,6 +23,20 @@ def test_tables_are_read_back_and_deleted(spark, tmp_path):
     assert there() == []
 
 
+def test_a_write_takes_its_shuffle_files_along(spark, tmp_path):
+    status = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    held = lambda: status.shuffleStatuses().size()
+    with Scratch(spark, str(tmp_path)) as scratch:
+        before = held()
+        table = scratch.written(spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count(), "counts")
+        deadline = time.time() + 20
+        while held() > before and time.time() < deadline:  # they are deleted beside the driver's work
+            time.sleep(0.1)
+        assert held() <= before
+        assert table.count() == 100
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
 def test_a_cluster_without_a_shared_folder_is_an_error():
     class Context:
         master, applicationId = "spark://host:7077", "a"
