@@ -19,7 +19,7 @@ ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 def balanced(df: DataFrame) -> DataFrame:
     """``df``, in a session that sends a task a few MB of texts at a time; a limit that the session sets is left alone."""
     spark = df.sparkSession
-    if spark.conf.get(ARROW_BYTES, None) == "67108864b":  # Spark's default
+    if spark.conf.get(ARROW_BYTES, None) is None:  # nothing set, which means 64 MB
         spark.conf.set(ARROW_BYTES, f"{8 << 20}b")
     return df
 
