@@ -13,6 +13,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 from decimal import Decimal
+from functools import lru_cache
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -421,45 +422,55 @@ def trading212_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- workbooks
 
 
+_text = lru_cache(maxsize=4096)(escape)
+
+
 def _sheet(rows: list[list[object]]) -> str:
     out = []
     for number, cells in enumerate(rows, 1):
-        body = []
+        out.append(f'<row r="{number}">')
         for at, value in enumerate(cells):
             if value is None:
                 continue
-            ref = f"{chr(65 + at)}{number}"
+            letter = chr(65 + at)
             if isinstance(value, (int, float)):
-                body.append(f'<c r="{ref}"><v>{value!r}</v></c>')
+                out.append(f'<c r="{letter}{number}"><v>{value!r}</v></c>')
             else:
-                body.append(f'<c r="{ref}" t="inlineStr"><is><t>{escape(str(value))}</t></is></c>')
-        out.append(f'<row r="{number}">{"".join(body)}</row>')
+                out.append(f'<c r="{letter}{number}" t="inlineStr"><is><t>{_text(str(value))}</t></is></c>')
+        out.append("</row>")
     return (
         '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
         + "".join(out) + "</sheetData></worksheet>"
     )
 
 
-def workbook_bytes(sheets: dict[str, list[list[object]]]) -> bytes:
-    """A minimal workbook; used to put table rows into report files."""
+@lru_cache(maxsize=16)
+def _contents(names: tuple[str, ...]) -> tuple[str, str]:
+    """The two tables of contents of a workbook with these sheets."""
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    listed = "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(sheets, 1))
+    listed = "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1))
     rels = "".join(
         f'<Relationship Id="rId{i}" Type="{office}/worksheet" Target="worksheets/sheet{i}.xml"/>'
-        for i in range(1, len(sheets) + 1)
+        for i in range(1, len(names) + 1)
+    )
+    return (
+        f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>{listed}</sheets></workbook>',
+        f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>',
     )
+
+
+def workbook_bytes(sheets: dict[str, list[list[object]]]) -> bytes:
+    """A minimal workbook; used to put table rows into report files."""
+    workbook, rels = _contents(tuple(sheets))
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as book:
 
         def put(name: str, text: str) -> None:
             book.writestr(zipfile.ZipInfo(name), text)  # a fixed date: equal contents are equal bytes
 
-        put("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>{listed}</sheets></workbook>')
-        put(
-            "xl/_rels/workbook.xml.rels",
-            f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>',
-        )
+        put("xl/workbook.xml", workbook)
+        put("xl/_rels/workbook.xml.rels", rels)
         for i, rows in enumerate(sheets.values(), 1):
             put(f"xl/worksheets/sheet{i}.xml", _sheet(rows))
     return buffer.getvalue()

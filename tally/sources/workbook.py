@@ -172,7 +172,12 @@ class _Rows:
     def _plain_cells(self, found: list[tuple]) -> list[str | None]:
         cells: list[str | None] = []
         for letters, kind, _, inline, has_value, value in found:
-            self._put(cells, _column_index(letters), self._cell_text(kind or "n", value if has_value else None, inline))
+            at = _column_index(letters)
+            text = inline if kind == "inlineStr" else (value if has_value else None) if not kind else self._cell_text(kind, value if has_value else None, inline)
+            if at == len(cells) < MAX_COLUMNS:  # the next one, as mostly
+                cells.append(text)
+            else:
+                self._put(cells, at, text)
         return cells
 
     def _cells(self, row: ElementTree.Element) -> list[str | None]:
