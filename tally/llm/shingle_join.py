@@ -248,16 +248,26 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return wide.view("<u8").ravel().astype(_U64)
 
 
-def _bit_table(ids: DataFrame, place, bits: int) -> np.ndarray:
-    """A table of ``bits`` bits with those set whose ``place`` (from 1) some row of ``ids`` has."""
-    maps = ids.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+def _place(ids, bits: int, salt: int = 0):
+    """The place from 1 to ``bits`` of an id in a bit table."""
+    return F.pmod(F.xxhash64(ids, F.lit(salt)), F.lit(bits)) + 1
+
+
+def _bit_tables(ids: DataFrame, bits: int, sides: int, salt: int = 0) -> list[np.ndarray]:
+    """``sides`` tables of ``bits`` bits, the i-th with the places set of all ids of ``ids`` (id, side) whose side is i."""
+    place = _place(F.col("id"), bits, salt)
+    maps = ids.groupBy("side", F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     size = 32768 // 8
-    flat = np.zeros(bits // 8, np.uint8)
-    for row in maps.toLocalIterator():  # one row of 4 KB for each 32768 bits
-        flat[(row["k"] - 1) * size : row["k"] * size] = np.frombuffer(row["bits"], np.uint8)
+    flat = [np.zeros(bits // 8, np.uint8) for _ in range(sides)]
+    for row in maps.coalesce(8).toLocalIterator():  # one row of 4 KB for each 32768 bits; a partition is a job
+        flat[row["side"]][(row["k"] - 1) * size : row["k"] * size] = np.frombuffer(row["bits"], np.uint8)
     return flat
 
 
+def _set_at(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (flat[at >> 3] >> (at & 7) & 1).astype(bool)
+
+
 def _sets_of(docs: DataFrame, pairs: DataFrame, width: int, scratch: Scratch) -> DataFrame:
     """(id, set, is_a, is_b): the shingles of the texts of ``pairs`` (a, b) and of few others, as packed 40-bit numbers in
     ascending order, and whether the id stands on either side; in a pair of sets of thousands, less than one in 10 ** 5
@@ -265,13 +275,13 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, width: int, scratch: Scratch) ->
     of fixed size over hashes of the ids keep the rest from being sent; they let a few ids through that stand nowhere."""
     bits = 1 << 26
     spark = docs.sparkSession
-    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
-    shared = spark.sparkContext.broadcast([_bit_table(pairs.select(F.col(side).alias("id")), place, bits) for side in ("a", "b")])
+    ends = pairs.select(F.expr("inline(array(struct(a as id, 0 as side), struct(b as id, 1 as side)))"))
+    shared = spark.sparkContext.broadcast(_bit_tables(ends, bits, 2))
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.column("at").to_numpy()
-            is_a, is_b = ((flat[at >> 3] >> (at & 7) & 1).astype(bool) for flat in shared.value)
+            is_a, is_b = (_set_at(flat, at) for flat in shared.value)
             marked = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(is_a), pa.array(is_b)], ["id", "text", "is_a", "is_b"])
             for part in byte_slices([marked.filter(pa.array(is_a | is_b))]):
                 hashes, first = shingles(Words.of(texts_of(part), lower=True), width)
@@ -279,7 +289,7 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, width: int, scratch: Scratch) ->
                 yield pa.RecordBatch.from_arrays([part.column("id"), sets, part.column("is_a"), part.column("is_b")], ["id", "set", "is_a", "is_b"])
 
     schema = T.StructType([docs.schema["id"], T.StructField("set", T.BinaryType()), *(T.StructField(c, T.BooleanType()) for c in ("is_a", "is_b"))])
-    sets = written(docs.select("id", "text", (place - 1).alias("at")).mapInArrow(pack, schema), "sets", scratch)
+    sets = written(docs.select("id", "text", (_place(F.col("id"), bits) - 1).alias("at")).mapInArrow(pack, schema), "sets", scratch)
     shared.destroy()
     return sets
 
@@ -326,6 +336,17 @@ def _verified(
     return links
 
 
+def _shared(posts: DataFrame) -> DataFrame:
+    """The posts, with ``first`` as in ``_led``, of one shingle for each group of two texts or more: of all shingles under
+    which just these texts stand, that which comes first in the order. The others would make the same pairs at later
+    places. Groups are told apart by their size, leader and two sums of 32-bit hashes."""
+    post = F.xxhash64("id", "n", "lead")
+    sums = F.sum(post.bitwiseAND(0xFFFFFFFF)).alias("low"), F.sum(F.shiftrightunsigned(post, 32)).alias("high")
+    facts = posts.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("lead").alias("first"), F.sum("at").alias("place"), *sums)
+    chosen = facts.where("texts > 1").groupBy("texts", "first", "low", "high").agg(F.min_by("shingle", "place").alias("shingle"))
+    return posts.join(chosen.select("shingle", "first"), "shingle")
+
+
 def _led(posts: DataFrame) -> DataFrame:
     """The posts of shingles that stand in two texts or more, with ``first``, the smallest ``lead`` under each."""
     facts = posts.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("lead").alias("first"))
@@ -380,7 +401,7 @@ def shingle_components(
 
     texts = written(posted.where("shingle is null").select("id", "n", "f1", "f2", "sketch"), "texts", scratch)
     same = written(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "equal-sets", scratch)  # equal sets link
-    copies = texts.join(same, ["n", "f1", "f2"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
+    copies = texts.join(same, ["n", "f1", "f2"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     copies = written(copies, "copies", scratch)
     scratch.drop(same)
 
@@ -388,11 +409,12 @@ def shingle_components(
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
     posts = posted.where("shingle is not null").select("shingle", "id", "n", F.col("f1").alias("at"), F.col("f2").alias("lead"))
-    open_posts = written(_led(posts), "shared-shingles", scratch)
+    open_posts = written(_shared(posts), "shared-shingles", scratch)
     scratch.drop(posted)
     tried, found, known_links = None, None, copies
     for turn in range(ROUNDS):
-        pairs = written(_stars(_led(_without_leaders(open_posts)) if turn else open_posts, fit), "stars", scratch)
+        held = _led(written(_without_leaders(open_posts), "without-leaders", scratch)) if turn else open_posts
+        pairs = written(_stars(held, fit), "stars", scratch)
         tried = pairs if tried is None else tried.unionAll(pairs)
         more = _verified(pairs, texts, known, frequent, percent, width, orders, scratch)
         # the components so far stand for all links so far
@@ -421,6 +443,45 @@ def shingle_components(
     return classed.unionAll(lost.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
 
 
+def _held(tables: list, bits: int, ids, salt: int = 0):
+    """Whether an id is in the first of broadcast bit tables, and not there just for being wrong, as the next ones tell."""
+
+    def held(places: pa.Array) -> pa.Array:
+        at = places.flatten().to_numpy().reshape(-1, len(tables))
+        out = np.zeros(len(at), bool)
+        for i in reversed(range(len(tables))):
+            out = _set_at(tables[i].value, at[:, i]) & ~out
+        return pa.array(out)
+
+    return F.arrow_udf(held, "boolean")(F.array(*[_place(ids, bits, salt + i) - 1 for i in range(len(tables))]))
+
+
+def _without(docs: DataFrame, id_column: str, gone: DataFrame, bits: int = 1 << 26) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``gone`` (id), told by bit tables where the rows lie.
+
+    The first table holds the ids of ``gone``, the next one those of other rows that the first one lets pass as well, the
+    next those of ``gone`` that this one holds, too, and so on until a table holds no wrong id; only ids are shuffled for
+    it. Where ``gone`` would fill a quarter of a table, the rows are joined instead.
+    """
+    plain = docs.join(gone.withColumnRenamed("id", "__id"), docs[id_column] == F.col("__id"), "left_anti")
+    if gone.count() * 4 > bits:
+        return plain
+    spark = docs.sparkSession
+    with Scratch(spark) as scratch:
+        tables, inside, outside = [], gone, docs.select(F.col(id_column).alias("id")).where("id is not null")
+        while True:
+            salt = len(tables)
+            tables.append(spark.sparkContext.broadcast(_bit_tables(inside.select("id", F.lit(0).alias("side")), bits, 1, salt)[0]))
+            wrong = outside.where(_held(tables[-1:], bits, F.col("id"), salt))
+            wrong = written(wrong if salt else wrong.join(gone, "id", "left_anti"), "wrong-ids", scratch)
+            if wrong.isEmpty():
+                break
+            inside, outside = wrong, inside
+
+    ids = F.coalesce(F.col(id_column), F.lit(0))
+    return docs.where(F.col(id_column).isNull() | ~_held(tables, bits, ids))
+
+
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, width: int = WIDTH, orders: int = ORDERS) -> DataFrame:
     """The rows of ``docs`` with all their columns, of each component the one with the smallest id.
 
@@ -430,10 +491,10 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     with Scratch(docs.sparkSession) as scratch:  # all but the classes goes once they are written
         found = shingle_components(docs, id_column, text_column, percent, width, orders, scratch)
         found = written(found.select(F.col(id_column).alias("__id"), "n_shingles", "component_id"), "classes")
-    others = found.where("component_id <> __id").select("__id").distinct()
+    others = found.where("component_id <> __id").select(F.col("__id").alias("id"))
     again = found.where("n_shingles > 0 and __id is not null").groupBy("__id").count().where("count > 1").select("__id")
     again = written(again, "repeated-ids")
-    kept = docs.join(others, docs[id_column] == others["__id"], "left_anti")
+    kept = _without(docs, id_column, others)
     if again.isEmpty():
         return kept
     once = kept.join(again, kept[id_column] == again["__id"], "left_semi").dropDuplicates([id_column, text_column])

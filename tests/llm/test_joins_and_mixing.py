@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tally.llm.components import components
 from tally.llm.mixing import mix_sources, mixed_rows
-from tally.llm.shingle_join import keep_one, shingle_components
+from tally.llm.shingle_join import _shared, _without, keep_one, shingle_components
 from tally.llm.vector_join import nearest, nearest_in_tile
+from tally.sources.scratch import Scratch
 from tests.conftest import plan_of
 from tests.llm.awkward import collected, documents, prose, texts
 
@@ -88,6 +89,50 @@ def test_one_of_each_class_stays(spark):
     assert Counter(r["doc_id"] for r in collected(kept)) == Counter([*(i for i, (_, c) in expected.items() if i == c), None])
 
 
+def test_no_text_is_shuffled_to_keep_one_of_each_class(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in keep_one(documents(spark, near_copies()))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("every", [8, 2])
+def test_ids_left_out_by_bit_tables(spark, every):
+    """Both with tables that are filled enough to hold many wrong ids, and with more ids than they may hold."""
+    ids = [None, None, 0, 0, *range(-500, 40_000, 7), 14, 14]
+    docs = spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string")
+    gone = [i for i in ids if i is not None and i % every == 0]
+    got = _without(docs, "doc_id", spark.createDataFrame([(i,) for i in gone], "id long"), bits=1 << (15 if every == 8 else 13))
+    assert got.columns == docs.columns
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter(i for i in ids if i not in set(gone))
+
+
+def test_texts_under_many_shingles_are_posted_under_their_first(spark):
+    groups = {10: "ab", 11: "ab", 12: "abc", 13: "bc", 14: "bc", 15: "d", 16: "dd", 17: "ab"}
+    rows = [(s, ord(x), 9, s - 10, 1000 + ord(x)) for s, members in groups.items() for x in members]
+    rows += [(18, ord(x), 8, 1, 1000 + ord(x)) for x in "ab"]  # texts of the same ids, but others
+    got = _shared(spark.createDataFrame(rows, "shingle long, id long, n long, at long, lead long"))
+    assert got.columns == ["shingle", "id", "n", "at", "lead", "first"]
+    assert Counter(r["shingle"] for r in got.collect()) == {10: 2, 12: 3, 13: 2, 16: 2, 18: 2}
+    assert all(r["first"] == 1000 + ord(min(groups.get(r["shingle"], "ab"))) for r in got.collect())
+
+
+def test_links_that_are_stars_take_no_round(spark):
+    names = []
+
+    class Counted(Scratch):
+        def written(self, df, name):
+            names.append(name.split("/")[-1])
+            return super().written(df, name)
+
+    edges = [(1, 10 + i) for i in range(9)] + [(50 + i, 2) for i in range(9)] + [(4, 4), (2, 50)]
+    with Counted(spark) as scratch:
+        got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), scratch=scratch).collect()}
+    assert got == {1: 1, 2: 2} | {10 + i: 1 for i in range(9)} | {50 + i: 2 for i in range(9)}
+    assert names == ["links", "least"]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
