@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tally.llm.batches import balanced, byte_slices, texts_of
 from tally.llm.components import components
-from tally.llm.scratch import session_scratch, written
+from tally.llm.scratch import files_for, session_scratch, written
 from tally.llm.words import Words, mixed
 from tally.sources.scratch import Scratch
 
@@ -295,10 +295,10 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, width: int, scratch: Scratch) ->
 
 
 def _verified(
-    pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.ndarray, percent: int, width: int, orders: int, scratch: Scratch
+    pairs: DataFrame, texts: DataFrame, docs: DataFrame, frequent: np.ndarray, percent: int, width: int, orders: int, scratch: Scratch, files: int | None = None
 ) -> DataFrame:
     """The pairs (a, b) that the sketches and the other orders' prefixes let through and whose sets overlap enough."""
-    pairs = written(_possible(pairs, texts, percent), "candidates", scratch)
+    pairs = written(_possible(pairs, texts, percent), "candidates", scratch, files)
     if pairs.isEmpty():
         return pairs
     sets = _sets_of(docs, pairs, width, scratch)
@@ -330,7 +330,7 @@ def _verified(
     left = sets.where("is_a").select(F.col("id").alias("a"), F.col("set").alias("left"))
     right = sets.where("is_b").select(F.col("id").alias("b"), F.col("set").alias("right"))
     joined = pairs.join(right, "b").join(left, "a")
-    links = written(joined.select("a", "b", "left", "right").mapInArrow(verify, pairs.schema).distinct(), "links", scratch)
+    links = written(joined.select("a", "b", "left", "right").mapInArrow(verify, pairs.schema).distinct(), "links", scratch, files)
     scratch.drop(pairs, sets)
     shared.destroy()
     return links
@@ -400,29 +400,30 @@ def shingle_components(
     posted = written(_postings(known, frequent, several, percent, width), "postings", scratch)
 
     texts = written(posted.where("shingle is null").select("id", "n", "f1", "f2", "sketch"), "texts", scratch)
-    same = written(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "equal-sets", scratch)  # equal sets link
+    files = files_for(docs.sparkSession, texts.count())  # of all tables of ids and posts; what texts are read for is dealt by bytes
+    same = written(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "equal-sets", scratch, files)  # equal sets link
     copies = texts.join(same, ["n", "f1", "f2"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    copies = written(copies, "copies", scratch)
+    copies = written(copies, "copies", scratch, files)
     scratch.drop(same)
 
     def fit(x: str, y: str):
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
     posts = posted.where("shingle is not null").select("shingle", "id", "n", F.col("f1").alias("at"), F.col("f2").alias("lead"))
-    open_posts = written(_shared(posts), "shared-shingles", scratch)
+    open_posts = written(_shared(posts), "shared-shingles", scratch, files)
     scratch.drop(posted)
     tried, found, known_links = None, None, copies
     for turn in range(ROUNDS):
-        held = _led(written(_without_leaders(open_posts), "without-leaders", scratch)) if turn else open_posts
-        pairs = written(_stars(held, fit), "stars", scratch)
+        held = _led(written(_without_leaders(open_posts), "without-leaders", scratch, files)) if turn else open_posts
+        pairs = written(_stars(held, fit), "stars", scratch, files)
         tried = pairs if tried is None else tried.unionAll(pairs)
-        more = _verified(pairs, texts, known, frequent, percent, width, orders, scratch)
+        more = _verified(pairs, texts, known, frequent, percent, width, orders, scratch, files)
         # the components so far stand for all links so far
-        grown = written(components(known_links.unionAll(more), scratch=scratch), "components", scratch)
+        grown = written(components(known_links.unionAll(more), scratch=scratch, files=files), "components", scratch, files)
         scratch.drop(known_links if found is None else found, more)
         found, known_links = grown, grown.select(F.col("component").alias("a"), F.col("node").alias("b"))
         # components only grow, so a shingle that is in one component stays there
-        still = written(_classed(open_posts.drop("c", "first"), found), "open-posts", scratch)
+        still = written(_classed(open_posts.drop("c", "first"), found), "open-posts", scratch, files)
         scratch.drop(open_posts)
         open_posts = still
 
@@ -432,11 +433,11 @@ def shingle_components(
     pairs = open_posts.withColumnRenamed("id", "a").join(other, "shingle").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fit("n", "m") & far)
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
-    more = _verified(pairs, texts, known, frequent, percent, width, orders, scratch)
+    more = _verified(pairs, texts, known, frequent, percent, width, orders, scratch, files)
     scratch.drop(open_posts)
 
-    merged = found if more.isEmpty() else components(known_links.unionAll(more), scratch=scratch)
-    out = texts.select("id", "n").join(merged.withColumnRenamed("node", "id"), "id", "left")
+    merged = found if more.isEmpty() else components(known_links.unionAll(more), scratch=scratch, files=files)
+    out = texts.select("id", "n").join(merged.withColumnRenamed("node", "id"), "id", "left").coalesce(files)
     classed = out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     unknown = narrow.where(F.col("id").isNull())
     lost = _postings(unknown, frequent[:0], several, percent, width).where("shingle is null")
@@ -464,7 +465,7 @@ def _without(docs: DataFrame, id_column: str, gone: DataFrame, bits: int = 1 <<
     it. Where ``gone`` would fill a quarter of a table, the rows are joined instead.
     """
     plain = docs.join(gone.withColumnRenamed("id", "__id"), docs[id_column] == F.col("__id"), "left_anti")
-    if gone.count() * 4 > bits:
+    if (leaving := gone.count()) * 4 > bits:
         return plain
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
@@ -473,7 +474,7 @@ def _without(docs: DataFrame, id_column: str, gone: DataFrame, bits: int = 1 <<
             salt = len(tables)
             tables.append(spark.sparkContext.broadcast(_bit_tables(inside.select("id", F.lit(0).alias("side")), bits, 1, salt)[0]))
             wrong = outside.where(_held(tables[-1:], bits, F.col("id"), salt))
-            wrong = written(wrong if salt else wrong.join(gone, "id", "left_anti"), "wrong-ids", scratch)
+            wrong = written(wrong if salt else wrong.join(gone, "id", "left_anti"), "wrong-ids", scratch, files_for(spark, leaving))
             if wrong.isEmpty():
                 break
             inside, outside = wrong, inside

@@ -118,6 +118,32 @@ def test_texts_under_many_shingles_are_posted_under_their_first(spark):
     assert all(r["first"] == 1000 + ord(min(groups.get(r["shingle"], "ab"))) for r in got.collect())
 
 
+def test_tables_of_ids_have_few_files_in_a_session_of_many_partitions(spark, tmp_path):
+    class Counted(Scratch):
+        files: list[tuple[str, int]] = []
+
+        def written(self, df, name):
+            table = super().written(df, name)
+            self.files.append((name, len(table.inputFiles())))
+            return table
+
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    rows = near_copies()
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        with Counted(spark, str(tmp_path)) as scratch:
+            found = shingle_components(documents(spark, rows), scratch=scratch)
+            assert found.rdd.getNumPartitions() <= 16 + 8
+            assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == classes(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    most = max(n for name, n in scratch.files if not name.endswith("counted-shingles"))
+    assert 1 < most <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_links_that_are_stars_take_no_round(spark):
     names = []
 
