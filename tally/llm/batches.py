@@ -25,7 +25,11 @@ def balanced(df: DataFrame) -> DataFrame:
 
 
 def byte_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices whose ``column`` holds about ``limit`` bytes; a longer value is a slice of its own."""
+    """Consecutive slices whose ``column`` holds about ``limit`` bytes; a longer value is a slice of its own.
+
+    Arrow's pool keeps what was freed. Behind the last slice it is given back, else a worker keeps the most that any task
+    took for as long as it lives.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -34,6 +38,7 @@ def byte_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit:
         cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), batch.num_rows]
         for start, stop in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(start, stop - start)
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
